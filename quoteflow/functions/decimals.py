@@ -37,6 +37,11 @@ def digits(text: Column) -> Column:
 
 def money(text: Column) -> Column:
     """The value as ``decimal(38,2)``, or null unless it is exactly representable with two places."""
+    # One element list: the text is worked out once, however often the checks read it.
+    return F.get(F.transform(F.array(text), _money), F.lit(0))
+
+
+def _money(text: Column) -> Column:
     exact = F.when(is_literal(text) & (scale(text) <= 2), text.try_cast("decimal(38,2)"))
     return F.when(text.rlike(_PLAIN), text.try_cast("decimal(38,2)")).otherwise(exact)
 

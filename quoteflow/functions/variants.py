@@ -33,8 +33,21 @@ def member(obj: Column, name: str) -> Column:
     return F.try_element_at(obj, F.lit(name))
 
 
+def is_object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "struct<>").isNotNull()
+
+
 def number_text(value: Column, kind_: Column) -> Column:
     """A JSON number as text, with fractions read in double precision like common JSON readers."""
     return F.when(
         kind_ == "BIGINT", F.try_variant_get(value, "$", "bigint").cast("string")
     ).when(is_number(kind_), F.try_variant_get(value, "$", "double").cast("string"))
+
+
+def number_or_text(value: Column) -> Column:
+    """Text of a JSON string or number; null for other types."""
+    as_text = F.try_variant_get(value, "$", "string")
+    return (
+        F.when(kind(value).isin("STRING", "BIGINT"), as_text)
+        .when(is_number(kind(value)), F.try_variant_get(value, "$", "double").cast("string"))
+    )

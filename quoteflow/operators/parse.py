@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quoteflow import rules
 from quoteflow.functions import decimals, texts, variants as V
+from quoteflow.functions.rows import once
 
 EVENTS = (
     "array<struct<job_id string, position int, region string, item_count int, "
@@ -22,20 +23,17 @@ def validated(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add ``error`` (null when valid) and ``events`` (one per quote, empty when invalid)."""
     # Each step is its own projection: an intermediate value that several checks use is computed once.
     steps = messages.withColumn("_json", F.try_parse_json(F.col(value)))
-    steps = steps.withColumn("_root", V.fields(F.col("_json")))
     steps = steps.withColumns(
         {
-            "_job_id": V.text(V.member(F.col("_root"), "job_id")),
-            "_quotes": V.elements(V.member(F.col("_root"), "quotes")),
+            "_job_id": V.text(F.try_variant_get("_json", "$.job_id", "variant")),
+            "_quotes": F.try_variant_get("_json", "$.quotes", "variant"),
         }
     )
+    steps = steps.withColumn("_q", _read_quotes(F.col("_quotes")))
     steps = steps.withColumn("_message_error", _message_error(F.col(value)))
     # Quotes of a message that is already rejected are not looked at.
-    steps = steps.withColumn(
-        "_q", F.when(F.col("_message_error").isNull(), F.transform("_quotes", V.fields))
-    )
-    steps = steps.withColumn("_q", F.transform("_q", _read_quote))
-    steps = steps.withColumn("_q", F.transform("_q", _read_items))
+    steps = steps.withColumn("_q", F.when(F.col("_message_error").isNull(), F.col("_q")))
+    steps = steps.withColumn("_q", F.transform("_q", _type_quote))
     steps = steps.withColumn("_q", F.transform("_q", _check_quote))
     quote_errors = F.filter(F.transform("_q", lambda q: q["error"]), lambda e: e.isNotNull())
     steps = steps.withColumn("error", F.coalesce(F.col("_message_error"), F.get(quote_errors, F.lit(0))))
@@ -53,9 +51,7 @@ def validated(messages: DataFrame, value: str = "value") -> DataFrame:
             ),
         ).cast(EVENTS),
     ).otherwise(F.array().cast(EVENTS))
-    return steps.withColumn("events", events).drop(
-        "_json", "_root", "_job_id", "_quotes", "_message_error", "_q"
-    )
+    return once(steps, messages.columns, {"error": F.col("error"), "events": events})
 
 
 def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -68,49 +64,61 @@ def _message_error(value: Column) -> Column:
     return (
         F.when(value.isNull(), rules.EMPTY_MESSAGE)
         .when(unreadable & ~texts.is_json_blank(value), rules.MALFORMED_JSON)
-        .when(F.col("_root").isNull(), rules.NOT_AN_OBJECT)
+        .when(unreadable | ~V.is_object(F.col("_json")), rules.NOT_AN_OBJECT)
         .when(F.col("_job_id").isNull() | texts.is_blank(F.col("_job_id")), rules.MISSING_JOB_ID)
         .when(
-            F.col("_quotes").isNull() | ~F.size("_quotes").between(1, rules.MAX_QUOTES),
+            F.col("_q").isNull() | ~F.size("_q").between(1, rules.MAX_QUOTES),
             rules.BAD_QUOTES,
         )
     )
 
 
-def _read_quote(members: Column) -> Column:
-    coupon = V.member(members, "coupon")
-    return F.struct(
-        members.isNotNull().alias("is_object"),
-        V.text(V.member(members, "region")).alias("region"),
-        V.elements(V.member(members, "items")).alias("items"),
-        V.kind(coupon).alias("coupon_kind"),
-        V.text(coupon).alias("coupon"),
+# Layout of a job's quotes. Scalars stay VARIANT, so their JSON types can still be checked.
+_ITEM = "struct<sku:variant,qty:variant,unit_price:variant>"
+_QUOTE = f"struct<region:variant,items:array<{_ITEM}>,coupon:variant>"
+
+
+def _read_quotes(quotes: Column) -> Column:
+    """The list in the layout above: a null element is not an object, null items are not a list.
+
+    A list of the right shape is read in one step. Only when that fails is it read element by
+    element, to tell which part has the wrong shape.
+    """
+    return F.coalesce(
+        F.try_variant_get(quotes, "$", f"array<{_QUOTE}>"),
+        F.transform(V.elements(quotes), _read_quote),
     )
 
 
-def _read_items(quote: Column) -> Column:
+def _read_quote(quote: Column) -> Column:
+    items = F.try_variant_get(quote, "$.items", "variant")
+    piecewise = F.struct(
+        F.try_variant_get(quote, "$.region", "variant").alias("region"),
+        F.transform(V.elements(items), lambda item: F.try_variant_get(item, "$", _ITEM)).alias("items"),
+        F.try_variant_get(quote, "$.coupon", "variant").alias("coupon"),
+    )
+    return F.coalesce(F.try_variant_get(quote, "$", _QUOTE), F.when(V.is_object(quote), piecewise))
+
+
+def _type_quote(quote: Column) -> Column:
     # Oversized lists are rejected by their size alone, so their items are not read.
-    items = F.when(F.size(quote["items"]) <= rules.MAX_ITEMS, F.transform(quote["items"], V.fields))
+    items = F.when(F.size(quote["items"]) <= rules.MAX_ITEMS, F.transform(quote["items"], _type_item))
     return F.struct(
-        quote["is_object"].alias("is_object"),
-        quote["region"].alias("region"),
+        quote.isNotNull().alias("is_object"),
+        V.text(quote["region"]).alias("region"),
         F.size(quote["items"]).alias("item_count"),
-        F.transform(F.transform(items, _read_item), _check_item).alias("lines"),
-        quote["coupon_kind"].alias("coupon_kind"),
-        quote["coupon"].alias("coupon"),
+        F.transform(items, _check_item).alias("lines"),
+        V.kind(quote["coupon"]).alias("coupon_kind"),
+        V.text(quote["coupon"]).alias("coupon"),
     )
 
 
-def _read_item(members: Column) -> Column:
-    qty = V.member(members, "qty")
-    price = V.member(members, "unit_price")
-    price_kind = V.kind(price)
-    price_text = F.coalesce(V.text(price), V.number_text(price, price_kind))
+def _type_item(item: Column) -> Column:
     return F.struct(
-        members.isNotNull().alias("is_object"),
-        V.text(V.member(members, "sku")).alias("sku"),
-        F.when(V.kind(qty) == "BIGINT", F.try_variant_get(qty, "$", "bigint")).alias("qty"),
-        decimals.money(price_text).alias("price"),
+        item.isNotNull().alias("is_object"),
+        V.text(item["sku"]).alias("sku"),
+        F.when(V.kind(item["qty"]) == "BIGINT", F.try_variant_get(item["qty"], "$", "bigint")).alias("qty"),
+        decimals.money(V.number_or_text(item["unit_price"])).alias("price"),
     )
 
 

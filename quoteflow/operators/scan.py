@@ -43,11 +43,18 @@ def running(
     return out if keep_order else out.drop("_seq", "_part")
 
 
-def accumulate(rows: DataFrame, measures: dict[str, tuple[str, Column]], by: list[str]) -> DataFrame:
-    """Running measures over rows already placed by :func:`ordered` on ``by`` first."""
-    inside = (
-        Window.partitionBy("_part", *by).orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
-    )
+def accumulate(
+    rows: DataFrame,
+    measures: dict[str, tuple[str, Column]],
+    by: list[str],
+    before_row: bool = False,
+) -> DataFrame:
+    """Running measures over rows already placed by :func:`ordered` on ``by`` first.
+
+    With ``before_row`` a measure covers the earlier rows only (a ``max`` over none of them is null).
+    """
+    last = -1 if before_row else 0
+    inside = Window.partitionBy("_part", *by).orderBy("_seq").rowsBetween(Window.unboundedPreceding, last)
     summary = rows.groupBy("_part", *by).agg(
         *[_FOLD[fold](value).alias(name) for name, (fold, value) in measures.items()]
     )
@@ -67,7 +74,7 @@ def accumulate(rows: DataFrame, measures: dict[str, tuple[str, Column]], by: lis
     joined = local.join(F.broadcast(carried), ["_part", *by], "left")
     combined = {
         name: (
-            F.col(name) + F.coalesce(F.col(f"_in_{name}"), F.lit(0))
+            F.coalesce(F.col(name), F.lit(0)) + F.coalesce(F.col(f"_in_{name}"), F.lit(0))
             if fold == "sum"
             else F.greatest(F.col(name), F.col(f"_in_{name}"))
         )

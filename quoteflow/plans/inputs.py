@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return carts(table(spark, sf_dir, "events"))
+    return session.spread(carts(table(spark, sf_dir, "events")))
 
 
 def carts(raw: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def _list(values: Column) -> Column:
 
 
 def _upto(n: Column) -> Column:
-    return F.sequence(F.lit(0), n - 1)
+    return F.sequence(F.lit(0), n - F.lit(1))
 
 
 def region_of(i: Column) -> Column:
@@ -80,7 +80,7 @@ def coupon_json(i: Column) -> Column:
 
 
 def item_count(i: Column) -> Column:
-    return (F.floor(F.col("e") / 3) + i) % 3 + 1
+    return (F.expr("e div 3") + i) % 3 + 1
 
 
 def _item(i: Column, j: Column, c: Column, last: Column) -> Column:
@@ -157,3 +157,181 @@ def messages(cart_rows: DataFrame) -> DataFrame:
 
 def job_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages(events(spark, sf_dir))
+
+
+def _slot(n: int) -> Column:
+    return F.col("e") % BODY_CYCLE == n
+
+
+def bodies(cart_rows: DataFrame) -> DataFrame:
+    """One single-quote request body per cart: ``request_id``, ``body``; every rule is broken by some."""
+    zero = F.lit(0)
+    n = F.when(_slot(37), F.lit(101)).otherwise(item_count(zero)).cast("int")
+    items = _list(F.transform(_upto(n), _body_item))
+    items = _case(items, (_slot(7), "[]"), (_slot(14), "3"))
+    region = _case(region_of(zero), (_slot(6) | _slot(35), "UK"))
+    coupon = _case(coupon_json(zero), (_slot(33), '"' + "y" * 33 + '"'), (_slot(34), "5"))
+    members = F.concat_ws(
+        ", ",
+        F.when(~_slot(13), F.concat(F.lit('"items": '), items)),
+        F.when(~_slot(5), F.concat(F.lit('"region": '), _quoted(region))),
+        F.concat(F.lit('"coupon": '), coupon),
+        F.when(_slot(12), F.lit('"priority": true')),
+    )
+    body = F.concat(F.lit("{"), members, F.lit("}"))
+    body = _case(
+        body,
+        (_slot(0), F.lit(None).cast("string")),
+        (_slot(1), ""),
+        (_slot(2), F.substring(body, F.lit(1), F.length(body) - 1)),
+        (_slot(3), "[1, 2, 3]"),
+        (_slot(4), "null"),
+        (_slot(38), F.concat(body, F.lit(" {}"))),
+    )
+    return cart_rows.select(
+        F.concat(F.lit("req-"), F.col("e")).alias("request_id"), body.alias("body"), "timestamp"
+    )
+
+
+def _body_item(j: Column) -> Column:
+    first = j == 0
+    sku = _case(
+        _quoted(F.concat(F.lit("sku-"), j.cast("string"))),
+        (first & _slot(17), "9"),
+        (first & _slot(18), '""'),
+        (first & _slot(19), '"' + "x" * 65 + '"'),
+    )
+    qty = _case(
+        ((F.col("k") + j) % 5 + 1).cast("string"),
+        (first & (_slot(8) | _slot(35)), "0"),
+        (first & _slot(9), '"two"'),
+        (first & _slot(21), "true"),
+        (first & _slot(22), '"3"'),
+        (first & _slot(23), "3.0"),
+        (first & _slot(24), "1.5"),
+        (first & _slot(25), "1001"),
+    )
+    plain = (F.col("p") + (j * 10).cast("decimal(10,2)")).cast("decimal(10,2)").cast("string")
+    price = _case(
+        F.when((F.col("e") + j) % 2 == 0, _quoted(plain)).otherwise(plain),
+        (first & _slot(10), '"-1"'),
+        (first & _slot(11), '"1.999"'),
+        (first & _slot(27), "true"),
+        (first & _slot(28), '"abc"'),
+        (first & _slot(29), "100000.01"),
+        (first & _slot(30), '"1234567.00"'),
+        (first & _slot(31), '"123456789"'),
+        (first & _slot(32), '" 5 "'),
+        (first & _slot(39), '"NaN"'),
+        (first & _slot(40), '"1_0"'),
+    )
+    members = F.concat_ws(
+        ", ",
+        F.when(~(first & _slot(16)), F.concat(F.lit('"sku": '), sku)),
+        F.when(~(first & _slot(20)), F.concat(F.lit('"qty": '), qty)),
+        F.when(~(first & _slot(26)), F.concat(F.lit('"unit_price": '), price)),
+        F.when(first & _slot(36), F.lit('"note": "x"')),
+    )
+    item = F.concat(F.lit("{"), members, F.lit("}"))
+    return F.when(first & _slot(15), F.lit("8")).otherwise(item)
+
+
+def quote_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bodies(events(spark, sf_dir))
+
+
+def job_states(cart_rows: DataFrame) -> DataFrame:
+    """Jobs already on record: every 7th is done, every 3rd of the others pending, the rest unknown."""
+    e = F.col("e")
+    status = F.when(e % 7 == 0, "done").when(e % 3 == 1, "pending")
+    return cart_rows.select(
+        F.concat(F.lit("job-"), e).alias("job_id"),
+        status.alias("status"),
+        (e % 3 + 1).cast("int").alias("total_requests"),
+        F.array().cast("array<string>").alias("quote_ids"),
+        F.lit(None).cast("string").alias("error"),
+    ).filter("status is not null")
+
+
+def redelivered(message_rows: DataFrame) -> DataFrame:
+    """The messages with a second copy of every 10th, delivered later."""
+    again = message_rows.filter(F.col("offset") % 10 == 0).withColumn(
+        "offset", F.col("offset") + 1000000000000
+    )
+    return message_rows.unionByName(again)
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as priced items; a line over the price limit makes its order invalid."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("part"),
+        F.col("l_quantity").cast("int").alias("qty"),
+        F.col("l_extendedprice").cast("decimal(10,2)").alias("unit_price"),
+    )
+
+
+def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One quote request per order: pricing region from the customer's nation, coupon from priority.
+
+    Nations and regions are fixed lists of 25 and 5 rows, so they are broadcast; customers join by
+    key, with hot customers split by the adaptive skew join.
+    """
+    names = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    markets = nations.join(F.broadcast(names), F.col("n_regionkey") == F.col("r_regionkey"))
+    region = (
+        F.when(F.col("r_name") == "ASIA", "IN")
+        .when(F.col("r_name") == "AMERICA", "US")
+        .when(F.col("r_name") == "EUROPE", "EU")
+        .otherwise(F.col("r_name"))
+    )
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    customers = customers.join(
+        F.broadcast(markets), F.col("c_nationkey") == F.col("n_nationkey")
+    ).select("c_custkey", region.alias("region"))
+    priority = F.substring("o_orderpriority", 1, 1)
+    coupon = (
+        F.when(priority == "1", "SAVE10")
+        .when(priority == "2", " save10 ")
+        .when(priority == "3", "FLAT50")
+        .when(priority == "4", "BOGUS")
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), "o_custkey", coupon.alias("coupon")
+    )
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        "order_id", "region", "coupon"
+    )
+
+
+def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gateway log derived from the events: one request per event."""
+    raw = table(spark, sf_dir, "events")
+    e, t = F.col("event_id"), F.col("event_type")
+    return raw.select(
+        e.alias("seq"),
+        F.when(e % 50 != 49, F.concat(F.lit("req-"), e)).alias("request_id"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.when(e % 40 == 7, "").when(e % 5 == 0, "stable").otherwise("canary").alias("backend"),
+        F.when((t == "error") & (e % 3 == 0), F.lit(None).cast("int"))
+        .when(t == "error", 502)
+        .when((t == "signup") & (e % 7 == 0), 404)
+        .otherwise(201)
+        .alias("status"),
+        F.col("value").alias("latency_ms"),
+        F.concat(F.lit("user-"), F.col("user_id")).alias("consumer"),
+        F.when(e % 30 == 12, "key-stolen")
+        .when(e % 30 != 11, F.concat(F.lit("key-"), F.col("user_id")))
+        .alias("api_key"),
+        F.when(e % 3 == 0, "quote-jobs").otherwise("quotes").alias("service"),
+    )
+
+
+def consumers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registered consumers: every user but those whose number leaves 3 when divided by 17."""
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    return users.filter(F.col("user_id") % 17 != 3).select(
+        F.concat(F.lit("key-"), F.col("user_id")).alias("api_key")
+    )

@@ -1,8 +1,8 @@
 """All registered queries with the SQL that must give the same rows."""
 
-from quoteflow.plans import analytics
+from quoteflow.plans import analytics, pricing
 
-_MODULES = (analytics,)
+_MODULES = (analytics, pricing)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: text for module in _MODULES for name, text in module.ORACLE.items()}

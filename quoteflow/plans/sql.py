@@ -90,3 +90,59 @@ quote_event AS (
 
 def with_inputs(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select.strip()}"
+
+
+# From ``base`` (any columns plus region, coupon, subtotal) to ``totals``.
+TOTALS = """
+rules(region, currency, rate, fee, free_from) AS (
+  VALUES ('IN', 'INR', CAST(0.18 AS DECIMAL(5,4)), CAST(49 AS DECIMAL(13,2)), CAST(999 AS DECIMAL(13,2))),
+         ('US', 'USD', 0.0825, 15, 100), ('EU', 'EUR', 0.20, 12, 90)
+),
+coded AS (SELECT *, upper(trim(coalesce(coupon, ''))) AS code FROM base),
+discounted AS (
+  SELECT *, CAST(CASE WHEN code = 'SAVE10' THEN least(round(subtotal * CAST(0.10 AS DECIMAL(3,2)), 2), 500)
+                      WHEN code = 'FLAT50' AND subtotal >= 500 THEN 50 ELSE 0 END AS DECIMAL(13,2)) AS discount
+  FROM coded
+),
+taxed AS (
+  SELECT d.*, r.currency, CAST(round((subtotal - discount) * r.rate, 2) AS DECIMAL(13,2)) AS tax,
+    CAST(CASE WHEN subtotal - discount >= r.free_from THEN 0 ELSE r.fee END AS DECIMAL(13,2)) AS shipping
+  FROM discounted d JOIN rules r ON r.region = d.region
+),
+totals AS (
+  SELECT *, CAST(subtotal - discount + tax + shipping AS DECIMAL(13,2)) AS total FROM taxed
+)"""
+
+# Valid jobs by the request contract, which accepts "3" and 1.0 as integers (slots 18 and 28).
+CONTRACT_VALID = (
+    SRC
+    + """,
+bad_item AS (
+  SELECT DISTINCT e FROM item
+  WHERE (target AND c IN (13, 14, 15, 16, 17, 19, 20, 21, 22)) OR price <= 0
+),
+bad_quote AS (
+  SELECT DISTINCT e FROM quote
+  WHERE region NOT IN ('IN', 'US', 'EU') OR ni NOT BETWEEN 1 AND 100
+     OR (c = 9 AND i = nq - 1) OR (c IN (23, 24) AND i = 0)
+),
+readable AS (SELECT *, 'job-' || e AS job_id FROM job WHERE c NOT IN (0, 1, 2, 3, 4, 5, 30)),
+valid_job AS (
+  SELECT * FROM readable WHERE c NOT IN (6, 7, 8)
+    AND e NOT IN (SELECT e FROM bad_item) AND e NOT IN (SELECT e FROM bad_quote)
+),
+hashed AS (
+  SELECT v.e, v.ts, v.job_id, CAST(q.i AS INTEGER) AS position, q.region, q.coupon,
+    sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('quote-job:' || v.job_id || ':' || q.i)) AS h
+  FROM valid_job v JOIN quote q ON q.e = v.e
+),
+base AS (
+  SELECT hashed.*, substr(h, 1, 12) || '5' || substr(h, 14, 3) ||
+      translate(substr(h, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h, 18, 15) AS id,
+    s.subtotal
+  FROM hashed JOIN (SELECT e, i, CAST(sum(round(price * qty, 2)) AS DECIMAL(13,2)) AS subtotal
+                    FROM item GROUP BY e, i) s ON s.e = hashed.e AND s.i = hashed.position
+)"""
+)
+
+PRICED = CONTRACT_VALID + "," + TOTALS + ", priced AS (SELECT * FROM totals)"

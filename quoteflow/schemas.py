@@ -45,3 +45,8 @@ REQUEST_LOG = _struct(
 SNAPSHOT = _struct(
     "samples bigint, errors bigint, by_backend map<string,bigint>, p95_ms double, updated_at timestamp"
 )
+
+
+def expiring(schema: T.StructType) -> T.StructType:
+    """Layout of a stored document that lives for a limited time."""
+    return T.StructType([*schema.fields, T.StructField("expires_at", T.TimestampType())])

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Settings every quoteflow job relies on; all of them are runtime SQL settings.
 REQUIRED = {
@@ -59,6 +59,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/quoteflow/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when the scan has fewer tasks than the cluster has cores.
+
+    Files of one small row group are one task, which starves CPU-heavy parsing. With enough input
+    for every core, as with any large table, the rows stay where they were read.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
 
@@ -67,3 +79,12 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_side(df: DataFrame, label: str, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast ``df`` in a join if it really is small; beyond ``max_rows`` join it the normal way.
+
+    The rows are written once, so the check does not compute them a second time.
+    """
+    stored = durable(df, label)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored
