@@ -115,15 +115,22 @@ QUOTE_COLUMNS = [
 
 
 def price_lines(lines: DataFrame, key: str) -> DataFrame:
-    """Subtotals of requests kept as flat rows (``key``, ``qty``, ``unit_price``).
+    """Subtotals of requests kept as flat rows (``key``, ``qty``, ``unit_price``), and ``valid``.
 
     Never gathers the lines of a request: each task adds up its own rows first, so an order of any
     size reaches the shuffle as one row per task.
     """
-    totalled = lines.withColumn("line_total", line_total(F.col("unit_price"), F.col("qty")))
-    return totalled.groupBy(key).agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("line_total").cast(MONEY).alias("subtotal")
+    bad = ~(
+        F.col("unit_price").between(F.lit(Decimal("0.01")), F.lit(rules.MAX_UNIT_PRICE))
+        & F.col("qty").between(1, rules.MAX_QTY)
     )
+    totals_ = lines.groupBy(key).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.coalesce(bad, F.lit(True))).alias("_bad"),
+        F.sum(line_total(F.col("unit_price"), F.col("qty"))).cast(MONEY).alias("subtotal"),
+    )
+    valid = (F.col("_bad") == 0) & (F.col("lines") <= rules.MAX_ITEMS)
+    return totals_.select(key, "lines", "subtotal", valid.alias("valid"))
 
 
 def quote_body() -> Column:

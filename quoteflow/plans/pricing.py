@@ -65,20 +65,16 @@ def price_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _order_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    subtotals = pricing.price_lines(inputs.order_lines(spark, sf_dir), "order_id").filter("valid")
+    headers = inputs.order_headers(spark, sf_dir).filter(F.col("region").isin("IN", "US", "EU"))
+    return pricing.totals(subtotals.join(headers, "order_id"))
+
+
 def price_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders priced as one quote each. Orders without lines, with a line over the price limit, or
     from a region without prices are invalid and left out."""
-    lines = inputs.order_lines(spark, sf_dir)
-    bad = ~F.col("unit_price").between("0.01", "100000") | ~F.col("qty").between(1, 1000)
-    flags = lines.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(bad).alias("bad"),
-        F.sum(pricing.line_total(F.col("unit_price"), F.col("qty"))).cast(pricing.MONEY).alias("subtotal"),
-    )
-    valid = flags.filter((F.col("bad") == 0) & F.col("lines").between(1, 100))
-    headers = inputs.order_headers(spark, sf_dir).filter(F.col("region").isin("IN", "US", "EU"))
-    quotes = pricing.totals(valid.join(headers, "order_id"))
-    return quotes.select(
+    return _order_quotes(spark, sf_dir).select(
         "order_id",
         "region",
         "currency",
@@ -89,10 +85,7 @@ def price_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_market_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priced order totals per region and coupon code."""
-    lines = inputs.order_lines(spark, sf_dir)
-    subtotals = pricing.price_lines(lines, "order_id")
-    headers = inputs.order_headers(spark, sf_dir).filter(F.col("region").isin("IN", "US", "EU"))
-    quotes = pricing.totals(subtotals.join(headers, "order_id"))
+    quotes = _order_quotes(spark, sf_dir)
     quotes = quotes.withColumn("code", pricing.coupon_code(F.col("coupon")))
     return quotes.groupBy("region", "code").agg(
         F.count(F.lit(1)).alias("orders"),
@@ -137,7 +130,9 @@ line AS (
 _PRICED_ORDERS = _HEADERS + """,
 valid AS (
   SELECT order_id, count(*) AS lines, CAST(sum(round(unit_price * qty, 2)) AS DECIMAL(13,2)) AS subtotal
-  FROM line GROUP BY order_id {having}
+  FROM line GROUP BY order_id
+  HAVING count(*) <= 100 AND count(*) FILTER
+    (WHERE unit_price NOT BETWEEN 0.01 AND 100000 OR qty NOT BETWEEN 1 AND 1000) = 0
 ),
 base AS (
   SELECT valid.*, region, coupon FROM valid JOIN header USING (order_id)
@@ -177,17 +172,14 @@ ORACLE = {
                AS DECIMAL(11,2)) AS VARCHAR) AS line_total
         FROM lineitem""",
     "price_orders": sql.with_inputs(
-        _PRICED_ORDERS.format(
-            having="HAVING count(*) <= 100 AND count(*) FILTER "
-            "(WHERE unit_price NOT BETWEEN 0.01 AND 100000 OR qty NOT BETWEEN 1 AND 1000) = 0"
-        ),
+        _PRICED_ORDERS,
         """SELECT order_id, region, currency, lines, CAST(subtotal AS VARCHAR) AS subtotal,
              CAST(discount AS VARCHAR) AS discount, CAST(tax AS VARCHAR) AS tax,
              CAST(shipping AS VARCHAR) AS shipping, CAST(total AS VARCHAR) AS total
            FROM totals""",
     ),
     "order_market_totals": sql.with_inputs(
-        _PRICED_ORDERS.format(having=""),
+        _PRICED_ORDERS,
         """SELECT region, code, count(*) AS orders, CAST(sum(subtotal) AS VARCHAR) AS subtotal,
              CAST(sum(discount) AS VARCHAR) AS discount, CAST(sum(tax) AS VARCHAR) AS tax,
              CAST(sum(shipping) AS VARCHAR) AS shipping, CAST(sum(total) AS VARCHAR) AS total
