@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quoteflow import rules
-from quoteflow.functions import decimals, texts, variants as V
+from quoteflow.functions import clean, decimals, texts, variants as V
 from quoteflow.functions.rows import once, present
 
 ISSUE = "struct<loc array<string>, type string, msg string, input string, ctx string>"
@@ -27,13 +27,13 @@ _PLAIN_PRICE = r"^\d{1,6}(\.\d{1,2})?\z"
 def check_quotes(requests: DataFrame, body: str = "body") -> DataFrame:
     """Bodies of single-quote requests: add ``issues`` and ``request`` (null unless valid)."""
     steps = _read_body(requests, body)
-    steps = _check_each(
-        steps, F.when(V.is_object(F.col("_body")), F.array("_body")), lambda i: F.array(F.lit("body"))
-    )
+    steps = clean.add(steps, F.when(F.col("_body").isNotNull(), F.col("_list")))
+    unsure = F.when(F.col("_clean").isNull() & V.is_object(F.col("_body")), F.array("_body"))
+    steps = _check_each(steps, unsure, lambda i: F.array(F.lit("body")))
     issues = F.concat(_body_issues(F.col(body)), _all_issues())
     steps = steps.withColumn("_issues", issues.cast(f"array<{ISSUE}>"))
-    request = F.when(F.size("_issues") == 0, F.get("_q", F.lit(0))["request"])
-    return once(steps, requests.columns, {"issues": F.col("_issues"), "request": request.cast(REQUEST)})
+    request = F.get(_requests(F.col("_issues")), F.lit(0))
+    return once(steps, requests.columns, {"issues": F.col("_issues"), "request": request})
 
 
 def check_jobs(requests: DataFrame, body: str = "body") -> DataFrame:
@@ -41,11 +41,11 @@ def check_jobs(requests: DataFrame, body: str = "body") -> DataFrame:
     steps = _read_body(requests, body)
     members = V.fields(F.col("_body"))
     steps = steps.withColumn("_members", members)
-    steps = steps.withColumn("_list", V.member(F.col("_members"), "quotes"))
-    steps = _check_list(steps, F.col("_list"), F.lit("body"))
+    steps = steps.withColumn("_quotes", V.member(F.col("_members"), "quotes"))
+    steps = _check_list(steps, F.col("_quotes"), F.lit("body"))
     extras = _extra_issues(F.col("_members"), ["quotes"], F.array(F.lit("body")))
     missing = _missing(
-        F.col("_members").isNotNull() & F.col("_list").isNull(),
+        F.col("_members").isNotNull() & F.col("_quotes").isNull(),
         F.array(F.lit("body"), F.lit("quotes")),
         F.col("_body"),
     )
@@ -69,11 +69,11 @@ def check_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     steps = steps.withColumns(
         {
             "_job_id": V.text(F.try_variant_get("_body", "$.job_id", "variant")),
-            "_list": F.try_variant_get("_body", "$.quotes", "variant"),
+            "_quotes": F.try_variant_get("_body", "$.quotes", "variant"),
         }
     )
-    steps = _check_list(steps, F.col("_list"), F.lit("body"))
-    missing = _missing(F.col("_list").isNull(), F.array(F.lit("body"), F.lit("quotes")), F.col("_body"))
+    steps = _check_list(steps, F.col("_quotes"), F.lit("body"))
+    missing = _missing(F.col("_quotes").isNull(), F.array(F.lit("body"), F.lit("quotes")), F.col("_body"))
     issues = F.concat(present(F.array(missing)), F.col("_list_issues"))
     steps = steps.withColumn("_issues", issues.cast(f"array<{ISSUE}>"))
     return once(
@@ -152,7 +152,8 @@ def normalized(quotes: Column, job_id: Column) -> Column:
 
 
 def _read_body(df: DataFrame, body: str) -> DataFrame:
-    """``_body``: the JSON value, null unless the whole text is exactly one JSON value.
+    """``_body``: the JSON value, null unless the whole text is exactly one JSON value; ``_list``:
+    the value as the only element of a list.
 
     The JSON reader stops after the first value. Wrapping the text in two different ways makes
     anything that follows the value visible: no text can complete both wrappers early.
@@ -160,10 +161,11 @@ def _read_body(df: DataFrame, body: str) -> DataFrame:
     text = F.col(body)
     steps = df.withColumns(
         {
-            "_one": V.elements(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))),
+            "_list": F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))),
             "_whole": F.try_parse_json(F.concat(F.lit('{"value":'), text, F.lit("}"))).isNotNull(),
         }
     )
+    steps = steps.withColumn("_one", V.elements(F.col("_list")))
     return steps.withColumn(
         "_body", F.when(F.col("_whole") & (F.size("_one") == 1), F.get("_one", F.lit(0)))
     ).drop("_one", "_whole")
@@ -255,14 +257,16 @@ def _length_issue(size: Column, limits: tuple[int, int], where: Column, value: C
 
 def _check_list(steps: DataFrame, value: Column, root: Column) -> DataFrame:
     """Check a job's list of quotes; adds ``_q`` and ``_list_issues``."""
-    steps = steps.withColumn("_elements", V.elements(value))
+    steps = clean.add(steps, value)
+    unsure = F.when(F.col("_clean").isNull(), value)
+    steps = steps.withColumn("_elements", V.elements(unsure))
     size = F.size("_elements")
     where = F.array(root, F.lit("quotes"))
     usable = F.when(size <= rules.MAX_QUOTES, F.col("_elements"))
     steps = _check_each(steps, usable, lambda i: F.concat(where, F.array(i.cast("string"))))
     shape = F.coalesce(
         _issue(
-            value.isNotNull() & F.col("_elements").isNull(),
+            unsure.isNotNull() & F.col("_elements").isNull(),
             where,
             "list_type",
             "Input should be a valid list",
@@ -290,8 +294,8 @@ def _all_issues() -> Column:
 
 
 def _requests(issues: Column) -> Column:
-    requests = F.transform("_q", lambda q: q["request"])
-    return F.when(F.size(issues) == 0, requests).cast(f"array<{REQUEST}>")
+    checked = F.transform("_q", lambda q: q["request"]).cast(f"array<{REQUEST}>")
+    return F.when(F.size(issues) == 0, F.coalesce("_clean", checked))
 
 
 def _open_quote(q: Column) -> Column:

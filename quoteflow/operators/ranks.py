@@ -65,13 +65,14 @@ def at_ranks(
             lambda w: (w["rank"] > F.col("_upto") - F.col("_n")) & (w["rank"] <= F.col("_upto")),
         ).alias("_hit"),
     )
-    picks = [
-        F.max(F.when(F.exists("_hit", lambda w, n=name: w["name"] == n), F.col("_value"))).alias(name)
-        for name in ranks
-    ]
+    picks = [F.max(F.when(_names(name), F.col("_value"))).alias(name) for name in ranks]
     return found.groupBy(*by).agg(F.max("_rows").alias("rows"), *picks)
 
 
+def _names(name: str) -> Column:
+    return F.exists("_hit", lambda w: w["name"] == name)
+
+
 def nearest_rank(percent: int) -> Callable[[Column], Column]:
     """Rank of the smallest value with at least ``percent`` of the rows at or below it."""
     return lambda n: F.greatest(F.ceil(n * F.lit(percent) / F.lit(100)), F.lit(1))

@@ -2,51 +2,88 @@
 
 from pyspark.sql import types as T
 
+_TEXT, _INT, _LONG, _TIME, _DOUBLE = (
+    T.StringType(),
+    T.IntegerType(),
+    T.LongType(),
+    T.TimestampType(),
+    T.DoubleType(),
+)
 MONEY = T.DecimalType(13, 2)
 UNIT_PRICE = T.DecimalType(8, 2)
 LINE_TOTAL = T.DecimalType(11, 2)
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-LINE_ITEM_IN = _struct("sku string, qty int, unit_price decimal(8,2)")
-LINE_ITEM_OUT = _struct("sku string, qty int, unit_price decimal(8,2), line_total decimal(11,2)")
-QUOTE_REQUEST = _struct(
-    "items array<struct<sku string, qty int, unit_price decimal(8,2)>>, region string, coupon string"
-)
+def expiring(schema: T.StructType) -> T.StructType:
+    """Layout of a stored document that lives for a limited time."""
+    return T.StructType([*schema.fields, T.StructField("expires_at", _TIME)])
+
+
+LINE_ITEM_IN = _struct(sku=_TEXT, qty=_INT, unit_price=UNIT_PRICE)
+LINE_ITEM_OUT = _struct(sku=_TEXT, qty=_INT, unit_price=UNIT_PRICE, line_total=LINE_TOTAL)
+QUOTE_REQUEST = _struct(items=T.ArrayType(LINE_ITEM_IN), region=_TEXT, coupon=_TEXT)
+HEADERS = T.ArrayType(_struct(key=_TEXT, value=T.BinaryType()))
 MESSAGE = _struct(
-    "key string, value string, timestamp timestamp, topic string, partition int, offset bigint, "
-    "headers array<struct<key string, value binary>>"
+    key=_TEXT,
+    value=_TEXT,
+    timestamp=_TIME,
+    topic=_TEXT,
+    partition=_INT,
+    offset=_LONG,
+    headers=HEADERS,
 )
 QUOTE_EVENT = _struct(
-    "job_id string, position int, region string, item_count int, gross_amount_cents bigint, coupon string"
+    job_id=_TEXT,
+    position=_INT,
+    region=_TEXT,
+    item_count=_INT,
+    gross_amount_cents=_LONG,
+    coupon=_TEXT,
 )
 QUOTE = _struct(
-    "id string, region string, currency string, coupon string, "
-    "line_items array<struct<sku string, qty int, unit_price decimal(8,2), line_total decimal(11,2)>>, "
-    "subtotal decimal(13,2), discount decimal(13,2), tax decimal(13,2), shipping decimal(13,2), "
-    "total decimal(13,2), created_at string"
+    id=_TEXT,
+    region=_TEXT,
+    currency=_TEXT,
+    coupon=_TEXT,
+    line_items=T.ArrayType(LINE_ITEM_OUT),
+    subtotal=MONEY,
+    discount=MONEY,
+    tax=MONEY,
+    shipping=MONEY,
+    total=MONEY,
+    created_at=_TEXT,
 )
 QUOTE_JOB = _struct(
-    "job_id string, status string, total_requests int, quote_ids array<string>, error string"
+    job_id=_TEXT,
+    status=_TEXT,
+    total_requests=_INT,
+    quote_ids=T.ArrayType(_TEXT),
+    error=_TEXT,
 )
-REGION_TOTALS = _struct("quote_count bigint, item_count bigint, gross_amount_cents bigint")
-REGION_STATS = _struct(
-    "region string, window_start timestamp, window_end timestamp, "
-    "quote_count bigint, item_count bigint, gross_amount_cents bigint"
+REGION_TOTALS = _struct(quote_count=_LONG, item_count=_LONG, gross_amount_cents=_LONG)
+REGION_STATS = T.StructType(
+    [*_struct(region=_TEXT, window_start=_TIME, window_end=_TIME).fields, *REGION_TOTALS.fields]
 )
-DEAD_LETTER = _struct("key string, value string, headers array<struct<key string, value binary>>")
+DEAD_LETTER = _struct(key=_TEXT, value=_TEXT, headers=HEADERS)
 REQUEST_LOG = _struct(
-    "request_id string, ts timestamp, backend string, status int, latency_ms double, "
-    "consumer string, api_key string, body string"
+    seq=_LONG,
+    request_id=_TEXT,
+    ts=_TIME,
+    backend=_TEXT,
+    status=_INT,
+    latency_ms=_DOUBLE,
+    consumer=_TEXT,
+    api_key=_TEXT,
+    service=_TEXT,
 )
 SNAPSHOT = _struct(
-    "samples bigint, errors bigint, by_backend map<string,bigint>, p95_ms double, updated_at timestamp"
+    samples=_LONG,
+    errors=_LONG,
+    by_backend=T.MapType(_TEXT, _LONG),
+    p95_ms=_DOUBLE,
+    updated_at=_TIME,
 )
-
-
-def expiring(schema: T.StructType) -> T.StructType:
-    """Layout of a stored document that lives for a limited time."""
-    return T.StructType([*schema.fields, T.StructField("expires_at", T.TimestampType())])

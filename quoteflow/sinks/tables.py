@@ -3,7 +3,7 @@
 Plain Parquet has no in-place update. Each writer puts batch ``n`` into its own folder
 ``writer=<name>/batch=<n>`` and replaces that folder when the batch is run again, so a retried batch
 leaves the same rows (exactly-once by key) and no write touches another batch. The last write wins:
-reading keeps the row of the latest ``written_at`` per key.
+reading keeps the row of the latest ``stored_at`` per key.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from quoteflow import rules
 
 EXPIRES = "expires_at"
-_BOOKKEEPING = ["written_at", "writer", "batch"]
+_BOOKKEEPING = ["stored_at", "writer", "batch"]
 
 
 class KeyedTable:
@@ -35,19 +35,19 @@ class KeyedTable:
     def create(self) -> KeyedTable:
         """Write an empty first batch, so that an unused table can be read."""
         empty = self.spark.createDataFrame([], self.schema)
-        stamped = empty.withColumn("written_at", F.current_timestamp())
+        stamped = empty.withColumn("stored_at", F.current_timestamp())
         stamped.write.mode("ignore").parquet(self._folder("create", 0))
         return self
 
     def upsert(self, rows: DataFrame, batch: int, writer: str = "main") -> None:
         """Insert or replace ``rows`` by key. Running the same batch again replaces it."""
         columns = self.schema.fieldNames()
-        stamped = rows.select(*columns, F.current_timestamp().alias("written_at"))
+        stamped = rows.select(*columns, F.current_timestamp().alias("stored_at"))
         stamped.write.mode("overwrite").parquet(self._folder(writer, batch))
 
     def history(self, without: tuple[str, int] | None = None) -> DataFrame:
         """Every written row, optionally without one (writer, batch); added columns get defaults."""
-        stored = T.StructType(self.schema.fields).add("written_at", "timestamp")
+        stored = T.StructType(list(self.schema.fields)).add("stored_at", "timestamp")
         stored = stored.add("writer", "string").add("batch", "long")
         rows = self.spark.read.schema(stored).parquet(self.path)
         if without is not None:
@@ -56,7 +56,7 @@ class KeyedTable:
         return rows.withColumns(filled) if filled else rows
 
     def latest(self, without: tuple[str, int] | None = None) -> DataFrame:
-        newest = latest_by(self.history(without), self.keys, F.struct("written_at", "batch"))
+        newest = latest_by(self.history(without), self.keys, F.struct("stored_at", "batch"))
         return newest.drop(*_BOOKKEEPING)
 
     def live(self, now: Column | datetime, without: tuple[str, int] | None = None) -> DataFrame:
