@@ -9,10 +9,12 @@ full checks, which say what is wrong with it; so nothing is accepted or rejected
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
 from quoteflow import rules
+from quoteflow.functions.rows import Stage
 
 # Fixed value: what the description of a list of plain quotes looks like.
 _LAYOUT = (
@@ -28,13 +30,17 @@ _TYPED = (
 )
 
 
-def add(steps: DataFrame, quotes: Column, name: str = "_clean") -> DataFrame:
-    """Add the typed requests of a list of quotes (VARIANT), or null where it needs the full checks."""
+@cache
+def stages(quotes: str) -> tuple[Stage, ...]:
+    """Add ``_clean``: the typed requests of a list of quotes (the VARIANT column ``quotes``), or
+    null where the list needs the full checks."""
     plain = F.coalesce(F.schema_of_variant(quotes).rlike(_LAYOUT), F.lit(False))
-    steps = steps.withColumn(name, F.when(plain, F.try_variant_get(quotes, "$", _TYPED)))
-    steps = steps.withColumn(name, F.transform(name, _type_quote))
-    sized = F.size(name).between(1, rules.MAX_QUOTES)
-    return steps.withColumn(name, F.when(sized & F.forall(name, _quote_ok), F.col(name)))
+    typed = F.when(plain, F.try_variant_get(quotes, "$", _TYPED))
+    sized = F.size("_clean").between(1, rules.MAX_QUOTES)
+    return (
+        {"_clean": F.transform(typed, _type_quote)},
+        {"_clean": F.when(sized & F.forall("_clean", _quote_ok), F.col("_clean"))},
+    )
 
 
 def _type_quote(quote: Column) -> Column:

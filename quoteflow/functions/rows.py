@@ -2,8 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Named columns added together; each may use the columns of the stages before it.
+Stage = dict[str, Column]
+
+
+def add_stages(df: DataFrame, stages: Iterable[Stage]) -> DataFrame:
+    """Add the columns stage by stage, each stage its own projection.
+
+    An intermediate value that several later checks use is thereby computed once. The stages are
+    cached by the functions that build them: a column only names its inputs, and building a large
+    expression costs far more calls into the JVM than using it.
+    """
+    for stage in stages:
+        df = df.withColumns(stage)
+    return df
+
 
 def once(steps: DataFrame, keep: list[str], results: dict[str, Column]) -> DataFrame:
     """Columns ``keep`` plus ``results``, evaluated exactly once per row.

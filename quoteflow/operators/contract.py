@@ -8,12 +8,13 @@ offending input and the limit that was broken.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quoteflow import rules
 from quoteflow.functions import clean, decimals, texts, variants as V
-from quoteflow.functions.rows import once, present
+from quoteflow.functions.rows import Stage, add_stages, once, present
 
 ISSUE = "struct<loc array<string>, type string, msg string, input string, ctx string>"
 ITEM = "struct<sku string, qty int, unit_price decimal(8,2)>"
@@ -26,36 +27,15 @@ _PLAIN_PRICE = r"^\d{1,6}(\.\d{1,2})?\z"
 
 def check_quotes(requests: DataFrame, body: str = "body") -> DataFrame:
     """Bodies of single-quote requests: add ``issues`` and ``request`` (null unless valid)."""
-    steps = _read_body(requests, body)
-    steps = clean.add(steps, F.when(F.col("_body").isNotNull(), F.col("_list")))
-    unsure = F.when(F.col("_clean").isNull() & V.is_object(F.col("_body")), F.array("_body"))
-    steps = _check_each(steps, unsure, lambda i: F.array(F.lit("body")))
-    issues = F.concat(_body_issues(F.col(body)), _all_issues())
-    steps = steps.withColumn("_issues", issues.cast(f"array<{ISSUE}>"))
-    request = F.get(_requests(F.col("_issues")), F.lit(0))
+    steps = add_stages(requests, (*_body_stages(body), *clean.stages("_list"), *_single_stages(body)))
+    request = F.get("_requests", F.lit(0))
     return once(steps, requests.columns, {"issues": F.col("_issues"), "request": request})
 
 
 def check_jobs(requests: DataFrame, body: str = "body") -> DataFrame:
     """Bodies of bulk-job requests: add ``issues`` and ``quotes`` (null unless valid)."""
-    steps = _read_body(requests, body)
-    members = V.fields(F.col("_body"))
-    steps = steps.withColumn("_members", members)
-    steps = steps.withColumn("_quotes", V.member(F.col("_members"), "quotes"))
-    steps = _check_list(steps, F.col("_quotes"), F.lit("body"))
-    extras = _extra_issues(F.col("_members"), ["quotes"], F.array(F.lit("body")))
-    missing = _missing(
-        F.col("_members").isNotNull() & F.col("_quotes").isNull(),
-        F.array(F.lit("body"), F.lit("quotes")),
-        F.col("_body"),
-    )
-    issues = F.concat(
-        _body_issues(F.col(body)), present(F.array(missing)), F.col("_list_issues"), extras
-    )
-    steps = steps.withColumn("_issues", issues.cast(f"array<{ISSUE}>"))
-    return once(
-        steps, requests.columns, {"issues": F.col("_issues"), "quotes": _requests(F.col("_issues"))}
-    )
+    steps = add_stages(requests, (*_body_stages(body), *_job_stages(body)))
+    return once(steps, requests.columns, {"issues": F.col("_issues"), "quotes": F.col("_requests")})
 
 
 def check_messages(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -65,26 +45,13 @@ def check_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     business. A message without a readable job id cannot be recorded against any job, so ``job_id``
     is null for it and the caller dead-letters it.
     """
-    steps = _read_body(messages, value)
-    steps = steps.withColumns(
-        {
-            "_job_id": V.text(F.try_variant_get("_body", "$.job_id", "variant")),
-            "_quotes": F.try_variant_get("_body", "$.quotes", "variant"),
-        }
-    )
-    steps = _check_list(steps, F.col("_quotes"), F.lit("body"))
-    missing = _missing(F.col("_quotes").isNull(), F.array(F.lit("body"), F.lit("quotes")), F.col("_body"))
-    issues = F.concat(present(F.array(missing)), F.col("_list_issues"))
-    steps = steps.withColumn("_issues", issues.cast(f"array<{ISSUE}>"))
-    return once(
-        steps,
-        messages.columns,
-        {
-            "job_id": F.when(~texts.is_blank(F.col("_job_id")), F.col("_job_id")),
-            "issues": F.col("_issues"),
-            "quotes": _requests(F.col("_issues")),
-        },
-    )
+    steps = add_stages(messages, (*_body_stages(value), *_message_stages()))
+    results = {
+        "job_id": F.when(~texts.is_blank(F.col("_job_id")), F.col("_job_id")),
+        "issues": F.col("_issues"),
+        "quotes": F.col("_requests"),
+    }
+    return once(steps, messages.columns, results)
 
 
 def issue_rows(checked: DataFrame, keys: list[str]) -> DataFrame:
@@ -151,7 +118,8 @@ def normalized(quotes: Column, job_id: Column) -> Column:
 # --- body ----------------------------------------------------------------------------------------
 
 
-def _read_body(df: DataFrame, body: str) -> DataFrame:
+@cache
+def _body_stages(body: str) -> tuple[Stage, ...]:
     """``_body``: the JSON value, null unless the whole text is exactly one JSON value; ``_list``:
     the value as the only element of a list.
 
@@ -159,16 +127,18 @@ def _read_body(df: DataFrame, body: str) -> DataFrame:
     anything that follows the value visible: no text can complete both wrappers early.
     """
     text = F.col(body)
-    steps = df.withColumns(
+    single = F.col("_whole") & (F.size("_one") == 1)
+    return (
         {
             "_list": F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))),
             "_whole": F.try_parse_json(F.concat(F.lit('{"value":'), text, F.lit("}"))).isNotNull(),
-        }
+        },
+        {"_one": V.elements(F.col("_list"))},
+        {
+            "_body": F.when(single, F.get("_one", F.lit(0))),
+            "_list": F.when(single, F.col("_list")),
+        },
     )
-    steps = steps.withColumn("_one", V.elements(F.col("_list")))
-    return steps.withColumn(
-        "_body", F.when(F.col("_whole") & (F.size("_one") == 1), F.get("_one", F.lit(0)))
-    ).drop("_one", "_whole")
 
 
 def _body_issues(text: Column) -> Column:
@@ -255,47 +225,99 @@ def _length_issue(size: Column, limits: tuple[int, int], where: Column, value: C
 # --- quotes --------------------------------------------------------------------------------------
 
 
-def _check_list(steps: DataFrame, value: Column, root: Column) -> DataFrame:
-    """Check a job's list of quotes; adds ``_q`` and ``_list_issues``."""
-    steps = clean.add(steps, value)
-    unsure = F.when(F.col("_clean").isNull(), value)
-    steps = steps.withColumn("_elements", V.elements(unsure))
-    size = F.size("_elements")
-    where = F.array(root, F.lit("quotes"))
-    usable = F.when(size <= rules.MAX_QUOTES, F.col("_elements"))
-    steps = _check_each(steps, usable, lambda i: F.concat(where, F.array(i.cast("string"))))
+@cache
+def _single_stages(body: str) -> tuple[Stage, ...]:
+    unsure = F.when(F.col("_clean").isNull() & V.is_object(F.col("_body")), F.array("_body"))
+    issues = F.concat(_body_issues(F.col(body)), _quote_issues())
+    return (*_each_stages(unsure, lambda i: F.array(F.lit("body"))), *_result_stages(issues))
+
+
+@cache
+def _job_stages(body: str) -> tuple[Stage, ...]:
+    where = F.array(F.lit("body"))
+    missing = _missing(
+        F.col("_members").isNotNull() & F.col("_quotes").isNull(), _quotes_loc(), F.col("_body")
+    )
+    issues = F.concat(
+        _body_issues(F.col(body)),
+        present(F.array(missing)),
+        _list_issues(),
+        _extra_issues(F.col("_members"), ["quotes"], where),
+    )
+    return (
+        {"_members": V.fields(F.col("_body"))},
+        {"_quotes": V.member(F.col("_members"), "quotes")},
+        *_list_stages(),
+        *_result_stages(issues),
+    )
+
+
+@cache
+def _message_stages() -> tuple[Stage, ...]:
+    missing = _missing(F.col("_quotes").isNull(), _quotes_loc(), F.col("_body"))
+    return (
+        {
+            "_job_id": V.text(F.try_variant_get("_body", "$.job_id", "variant")),
+            "_quotes": F.try_variant_get("_body", "$.quotes", "variant"),
+        },
+        *_list_stages(),
+        *_result_stages(F.concat(present(F.array(missing)), _list_issues())),
+    )
+
+
+def _quotes_loc() -> Column:
+    return F.array(F.lit("body"), F.lit("quotes"))
+
+
+@cache
+def _list_stages() -> tuple[Stage, ...]:
+    """Check a job's list of quotes, the VARIANT column ``_quotes``."""
+    usable = F.when(F.size("_elements") <= rules.MAX_QUOTES, F.col("_elements"))
+    return (
+        *clean.stages("_quotes"),
+        {"_unsure": F.when(F.col("_clean").isNull(), F.col("_quotes"))},
+        {"_elements": V.elements(F.col("_unsure"))},
+        *_each_stages(usable, lambda i: F.concat(_quotes_loc(), F.array(i.cast("string")))),
+    )
+
+
+@cache
+def _list_issues() -> Column:
     shape = F.coalesce(
         _issue(
-            unsure.isNotNull() & F.col("_elements").isNull(),
-            where,
+            F.col("_unsure").isNotNull() & F.col("_elements").isNull(),
+            _quotes_loc(),
             "list_type",
             "Input should be a valid list",
-            F.to_json(value),
+            F.to_json("_unsure"),
         ),
-        _length_issue(size, (1, rules.MAX_QUOTES), where, value),
+        _length_issue(F.size("_elements"), (1, rules.MAX_QUOTES), _quotes_loc(), F.col("_unsure")),
     )
-    return steps.withColumn("_list_issues", F.concat(present(F.array(shape)), _all_issues()))
+    return F.concat(present(F.array(shape)), _quote_issues())
 
 
-def _check_each(steps: DataFrame, values: Column, where: Callable[[Column], Column]) -> DataFrame:
-    """Check quote values (``array<variant>``); adds ``_q`` with issues and typed request of each."""
-    steps = steps.withColumn(
-        "_q", F.transform(values, lambda v: F.struct(v.alias("v"), V.fields(v).alias("m")))
+def _each_stages(values: Column, where: Callable[[Column], Column]) -> tuple[Stage, ...]:
+    """Check quote values (``array<variant>``): ``_q`` has the issues and the typed request of each."""
+    opened = F.transform(values, lambda v: F.struct(v.alias("v"), V.fields(v).alias("m")))
+    return (
+        {"_q": F.transform(opened, _open_quote)},
+        {"_q": F.transform(F.transform("_q", _type_lines), lambda q, i: _check_quote(q, where(i)))},
     )
-    steps = steps.withColumn("_q", F.transform("_q", _open_quote))
-    steps = steps.withColumn("_q", F.transform("_q", _type_lines))
-    return steps.withColumn("_q", F.transform("_q", lambda q, i: _check_quote(q, where(i))))
 
 
-def _all_issues() -> Column:
+@cache
+def _quote_issues() -> Column:
     return F.coalesce(
         F.flatten(F.transform("_q", lambda q: q["issues"])), F.array().cast(f"array<{ISSUE}>")
     )
 
 
-def _requests(issues: Column) -> Column:
+def _result_stages(issues: Column) -> tuple[Stage, ...]:
     checked = F.transform("_q", lambda q: q["request"]).cast(f"array<{REQUEST}>")
-    return F.when(F.size(issues) == 0, F.coalesce("_clean", checked))
+    return (
+        {"_issues": issues.cast(f"array<{ISSUE}>")},
+        {"_requests": F.when(F.size("_issues") == 0, F.coalesce("_clean", checked))},
+    )
 
 
 def _open_quote(q: Column) -> Column:

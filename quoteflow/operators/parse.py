@@ -7,11 +7,13 @@ All checks are built-in expressions, so parsing is one narrow stage with no shuf
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quoteflow import rules
 from quoteflow.functions import decimals, texts, variants as V
-from quoteflow.functions.rows import once
+from quoteflow.functions.rows import Stage, add_stages, once
 
 EVENTS = (
     "array<struct<job_id string, position int, region string, item_count int, "
@@ -21,37 +23,44 @@ EVENTS = (
 
 def validated(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add ``error`` (null when valid) and ``events`` (one per quote, empty when invalid)."""
-    # Each step is its own projection: an intermediate value that several checks use is computed once.
-    steps = messages.withColumn("_json", F.try_parse_json(F.col(value)))
-    steps = steps.withColumns(
+    steps = add_stages(messages, _stages(value))
+    return once(steps, messages.columns, _results())
+
+
+@cache
+def _stages(value: str) -> tuple[Stage, ...]:
+    quote_errors = F.filter(F.transform("_q", lambda q: q["error"]), lambda e: e.isNotNull())
+    return (
+        {"_json": F.try_parse_json(F.col(value))},
         {
             "_job_id": V.text(F.try_variant_get("_json", "$.job_id", "variant")),
             "_quotes": F.try_variant_get("_json", "$.quotes", "variant"),
-        }
+        },
+        {"_q": _read_quotes(F.col("_quotes"))},
+        {"_message_error": _message_error(F.col(value))},
+        # Quotes of a message that is already rejected are not looked at.
+        {"_q": F.when(F.col("_message_error").isNull(), F.col("_q"))},
+        {"_q": F.transform(F.transform("_q", _type_quote), _check_quote)},
+        {"_error": F.coalesce(F.col("_message_error"), F.get(quote_errors, F.lit(0)))},
+    )
+
+
+@cache
+def _results() -> Stage:
+    valid = F.col("_error").isNull()
+    events = F.when(valid, F.transform("_q", _event).cast(EVENTS)).otherwise(F.array().cast(EVENTS))
+    return {"error": F.col("_error"), "events": events}
+
+
+def _event(quote: Column, position: Column) -> Column:
+    return F.struct(
+        F.col("_job_id").alias("job_id"),
+        position.alias("position"),
+        quote["region"].alias("region"),
+        quote["item_count"].alias("item_count"),
+        quote["cents"].alias("gross_amount_cents"),
+        quote["coupon"].alias("coupon"),
     )
-    steps = steps.withColumn("_q", _read_quotes(F.col("_quotes")))
-    steps = steps.withColumn("_message_error", _message_error(F.col(value)))
-    # Quotes of a message that is already rejected are not looked at.
-    steps = steps.withColumn("_q", F.when(F.col("_message_error").isNull(), F.col("_q")))
-    steps = steps.withColumn("_q", F.transform("_q", _type_quote))
-    steps = steps.withColumn("_q", F.transform("_q", _check_quote))
-    quote_errors = F.filter(F.transform("_q", lambda q: q["error"]), lambda e: e.isNotNull())
-    steps = steps.withColumn("error", F.coalesce(F.col("_message_error"), F.get(quote_errors, F.lit(0))))
-    events = F.when(
-        F.col("error").isNull(),
-        F.transform(
-            "_q",
-            lambda q, i: F.struct(
-                F.col("_job_id").alias("job_id"),
-                i.alias("position"),
-                q["region"].alias("region"),
-                q["item_count"].alias("item_count"),
-                q["cents"].alias("gross_amount_cents"),
-                q["coupon"].alias("coupon"),
-            ),
-        ).cast(EVENTS),
-    ).otherwise(F.array().cast(EVENTS))
-    return once(steps, messages.columns, {"error": F.col("error"), "events": events})
 
 
 def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

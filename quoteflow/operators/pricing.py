@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quoteflow import rules
 from quoteflow.functions import decimals, texts
+from quoteflow.functions.rows import Stage, add_stages
 
 MONEY = "decimal(13,2)"
 
@@ -62,17 +64,22 @@ def totals(quotes: DataFrame) -> DataFrame:
 
     The free-shipping threshold and the tax both look at the discounted subtotal.
     """
-    priced = quotes.withColumn("discount", discount(F.col("coupon"), F.col("subtotal")))
-    priced = priced.withColumn("_taxable", (F.col("subtotal") - F.col("discount")).cast(MONEY))
-    priced = priced.withColumns(
+    return add_stages(quotes, _total_stages()).drop("_taxable")
+
+
+@cache
+def _total_stages() -> tuple[Stage, ...]:
+    region, taxable = F.col("region"), F.col("_taxable")
+    return (
+        {"discount": discount(F.col("coupon"), F.col("subtotal"))},
+        {"_taxable": (F.col("subtotal") - F.col("discount")).cast(MONEY)},
         {
-            "tax": tax(F.col("region"), F.col("_taxable")),
-            "shipping": shipping(F.col("region"), F.col("_taxable")),
-            "currency": currency(F.col("region")),
-        }
+            "tax": tax(region, taxable),
+            "shipping": shipping(region, taxable),
+            "currency": currency(region),
+        },
+        {"total": (taxable + F.col("tax") + F.col("shipping")).cast(MONEY)},
     )
-    total = (F.col("_taxable") + F.col("tax") + F.col("shipping")).cast(MONEY)
-    return priced.withColumn("total", total).drop("_taxable")
 
 
 def price(requests: DataFrame) -> DataFrame:
@@ -80,6 +87,13 @@ def price(requests: DataFrame) -> DataFrame:
 
     A request holds at most 100 items, so its lines stay an array and nothing is shuffled.
     """
+    priced = totals(add_stages(requests, _subtotal_stages()))
+    priced = priced.withColumn("created_at", texts.iso_seconds(F.col("ts")))
+    return priced.withColumnRenamed("quote_id", "id").drop("items", "ts")
+
+
+@cache
+def _subtotal_stages() -> tuple[Stage, ...]:
     lines = F.transform(
         "items",
         lambda i: F.struct(
@@ -94,9 +108,7 @@ def price(requests: DataFrame) -> DataFrame:
         F.lit(Decimal("0.00")).cast(MONEY),
         lambda sum_, line: (sum_ + line["line_total"]).cast(MONEY),
     )
-    priced = requests.withColumn("line_items", lines).withColumn("subtotal", subtotal)
-    priced = totals(priced).withColumn("created_at", texts.iso_seconds(F.col("ts")))
-    return priced.withColumnRenamed("quote_id", "id").drop("items", "ts")
+    return {"line_items": lines}, {"subtotal": subtotal}
 
 
 QUOTE_COLUMNS = [

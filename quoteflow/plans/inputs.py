@@ -7,6 +7,8 @@ work on batch and streaming DataFrames and grow with the table. Poison of every
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quoteflow import session
@@ -125,6 +127,18 @@ def _quote(i: Column, c: Column, last: Column) -> Column:
 
 def messages(cart_rows: DataFrame) -> DataFrame:
     """One bulk-job message per cart, 1 to 3 quotes each: key, value, timestamp, topic, offset."""
+    return cart_rows.select(
+        F.concat(F.lit("job-"), F.col("e")).alias("key"),
+        _message_text().alias("value"),
+        "timestamp",
+        F.lit("quote-jobs").alias("topic"),
+        (F.col("e") % 3).cast("int").alias("partition"),
+        F.col("e").alias("offset"),
+    )
+
+
+@cache
+def _message_text() -> Column:
     c = F.col("e") % MESSAGE_CYCLE
     n = F.when(c == 8, F.lit(51)).otherwise(F.col("e") % 3 + 1).cast("int")
     quotes = _list(F.transform(_upto(n), lambda i: _quote(i, c, n - 1)))
@@ -138,21 +152,13 @@ def messages(cart_rows: DataFrame) -> DataFrame:
         quotes,
         F.lit("}"),
     )
-    value = _case(
+    return _case(
         value,
         (c == 0, F.lit(None).cast("string")),
         (c == 1, F.substring(value, F.lit(1), F.length(value) - 1)),
         (c == 2, "[1, 2, 3]"),
         (c == 30, ""),
     )
-    return cart_rows.select(
-        F.concat(F.lit("job-"), F.col("e")).alias("key"),
-        value.alias("value"),
-        "timestamp",
-        F.lit("quote-jobs").alias("topic"),
-        (F.col("e") % 3).cast("int").alias("partition"),
-        F.col("e").alias("offset"),
-    )
 
 
 def job_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,6 +171,12 @@ def _slot(n: int) -> Column:
 
 def bodies(cart_rows: DataFrame) -> DataFrame:
     """One single-quote request body per cart: ``request_id``, ``body``; every rule is broken by some."""
+    request_id = F.concat(F.lit("req-"), F.col("e")).alias("request_id")
+    return cart_rows.select(request_id, _body_text().alias("body"), "timestamp")
+
+
+@cache
+def _body_text() -> Column:
     zero = F.lit(0)
     n = F.when(_slot(37), F.lit(101)).otherwise(item_count(zero)).cast("int")
     items = _list(F.transform(_upto(n), _body_item))
@@ -179,7 +191,7 @@ def bodies(cart_rows: DataFrame) -> DataFrame:
         F.when(_slot(12), F.lit('"priority": true')),
     )
     body = F.concat(F.lit("{"), members, F.lit("}"))
-    body = _case(
+    return _case(
         body,
         (_slot(0), F.lit(None).cast("string")),
         (_slot(1), ""),
@@ -188,9 +200,6 @@ def bodies(cart_rows: DataFrame) -> DataFrame:
         (_slot(4), "null"),
         (_slot(38), F.concat(body, F.lit(" {}"))),
     )
-    return cart_rows.select(
-        F.concat(F.lit("req-"), F.col("e")).alias("request_id"), body.alias("body"), "timestamp"
-    )
 
 
 def _body_item(j: Column) -> Column:

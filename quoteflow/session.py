@@ -32,7 +32,8 @@ def local(cpus: int | str = "*", app: str = "quoteflow") -> SparkSession:
         .config("spark.driver.memory", os.environ.get("QUOTEFLOW_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Records a Python call site with every column expression; costs more than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
