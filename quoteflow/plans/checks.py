@@ -11,7 +11,8 @@ from quoteflow.sinks.tables import KeyedTable
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quotes = pricing.priced(spark, sf_dir)
+    """Priced quotes, written once: the comparisons below read them several times."""
+    quotes = session.durable(pricing.priced(spark, sf_dir), "answers")
     return quotes.withColumns(
         {
             "e": F.substring("job_id", 5, 20).cast("bigint"),
@@ -85,7 +86,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconcile_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quote events accepted against the sum stored in the per-minute totals."""
-    events = _events(spark, sf_dir)
+    events = session.durable(_events(spark, sf_dir), "accepted")
     return reconcile.totals(events, windows.region_totals(events), minimum=2)
 
 
