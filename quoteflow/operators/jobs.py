@@ -108,14 +108,15 @@ def decide(checked: DataFrame, jobs: DataFrame) -> DataFrame:
 
 def settled(decided: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Quote rows and job rows of decided jobs."""
-    finished = decided.filter(F.col("quotes").isNotNull())
-    poisoned = decided.filter(F.col("quotes").isNull()).select(
+    valid = F.col("quotes").isNotNull()
+    rows = decided.select(
         "job_id",
-        F.col("_requests").alias("total_requests"),
-        F.coalesce("_ids", _no_ids()).alias("quote_ids"),
+        F.when(valid, rules.DONE).otherwise(rules.FAILED).alias("status"),
+        F.when(valid, F.size("quotes")).otherwise(F.col("_requests")).alias("total_requests"),
+        F.coalesce(quote_ids(), F.col("_ids"), _no_ids()).alias("quote_ids"),
+        F.when(~valid, rules.PAYLOAD_ERROR).alias("error"),
     )
-    rows = done(finished).unionByName(failed(poisoned, rules.PAYLOAD_ERROR))
-    return price_quotes(finished), rows
+    return price_quotes(decided.filter(valid)), rows
 
 
 def ordered_quotes(jobs: DataFrame, quotes: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ which bucket holds each wanted rank, and only the values of these buckets are pu
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -53,8 +54,12 @@ def at_ranks(
     inside = (
         Window.partitionBy(*by, "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     )
-    # ``counted`` is the same shuffle in both branches, so the table is read once.
-    values = counted.join(located, [*by, "_bucket"])
+    # Null-safe equality keeps groups with a null key, and adds no filter on one side only: the counts
+    # stay the same shuffle in both branches, so the table is read once.
+    keys = [*by, "_bucket"]
+    located = located.withColumnsRenamed({k: f"_at_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in keys])
+    values = counted.join(located, same).drop(*[f"_at_{k}" for k in keys])
     values = values.withColumn("_upto", F.col("_below") + F.sum("_n").over(inside))
     found = values.select(
         *by,

@@ -240,8 +240,14 @@ def failure_kind(status: Column) -> Column:
 
 
 def unauthenticated(log: DataFrame, consumers: DataFrame) -> DataFrame:
-    """Requests without an API key or with a key no consumer owns (``consumers`` has ``api_key``)."""
-    return log.join(consumers.select("api_key"), "api_key", "left_anti")
+    """Requests without an API key or with a key no consumer owns (``consumers`` has ``api_key``).
+
+    Requests without a key match nothing; a value of their own spreads them over the tasks instead
+    of sending them all to the task of the null key.
+    """
+    spread = F.coalesce(F.col("api_key"), F.concat(F.lit("\u0000"), F.col("seq").cast("string")))
+    owned = consumers.select(F.col("api_key").alias("_key"))
+    return log.withColumn("_key", spread).join(owned, "_key", "left_anti").drop("_key")
 
 
 def request_id_gaps(log: DataFrame) -> DataFrame:

@@ -55,13 +55,23 @@ class KeyedTable:
         filled = {n: F.coalesce(F.col(n), F.lit(v)) for n, v in self.defaults.items()}
         return rows.withColumns(filled) if filled else rows
 
-    def latest(self, without: tuple[str, int] | None = None) -> DataFrame:
-        newest = latest_by(self.history(without), self.keys, F.struct("stored_at", "batch"))
-        return newest.drop(*_BOOKKEEPING)
-
-    def live(self, now: Column | datetime, without: tuple[str, int] | None = None) -> DataFrame:
+    def latest(
+        self, without: tuple[str, int] | None = None, only: DataFrame | None = None
+    ) -> DataFrame:
+        """The newest row of each key, or just of the keys in ``only`` (filtered before the shuffle)."""
+        rows = self.history(without)
+        if only is not None:
+            rows = rows.join(only.select(*self.keys).distinct(), self.keys, "left_semi")
+        return latest_by(rows, self.keys, F.struct("stored_at", "batch")).drop(*_BOOKKEEPING)
+
+    def live(
+        self,
+        now: Column | datetime,
+        without: tuple[str, int] | None = None,
+        only: DataFrame | None = None,
+    ) -> DataFrame:
         """Latest rows that have not expired at ``now``."""
-        return not_expired(self.latest(without), now)
+        return not_expired(self.latest(without, only), now)
 
     def rewrite(self, path: str, now: Column | datetime | None = None) -> KeyedTable:
         """Compact into a new table with one batch, leaving out expired rows if ``now`` is given."""

@@ -103,8 +103,10 @@ def work_batch(messages: DataFrame, batch_id: int, quotes: KeyedTable, job_table
     quotes. State written by this batch itself is left out when it runs again.
     """
     now = F.current_timestamp()
-    earlier = job_table.live(now, without=(WORKER, batch_id))
-    decided = jobs.decide(contract.check_messages(messages), earlier).persist()
+    # Parsed once, for the ids to look up and for the work itself.
+    checked = contract.check_messages(messages).persist()
+    earlier = job_table.live(now, without=(WORKER, batch_id), only=checked)
+    decided = jobs.decide(checked, earlier).persist()
     try:
         quote_rows, job_rows = jobs.settled(decided)
         quote_rows = tables.with_expiry(quote_rows.drop("job_id", "position"), now)
@@ -112,6 +114,7 @@ def work_batch(messages: DataFrame, batch_id: int, quotes: KeyedTable, job_table
         job_table.upsert(tables.with_expiry(job_rows, now), batch_id, WORKER)
     finally:
         decided.unpersist()
+        checked.unpersist()
 
 
 def job_worker(
