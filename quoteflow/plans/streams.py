@@ -14,9 +14,10 @@ from quoteflow.streaming import queries as streams
 
 def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job messages of the batch queries as a stream over the same table."""
-    schema = inputs.table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return inputs.messages(inputs.carts(reader.parquet(sf_dir)))
+    table = inputs.table(spark, sf_dir, "events")
+    reader = spark.readStream.schema(table.schema).option("pathGlobFilter", "events.parquet")
+    rows = session.spread(inputs.carts(reader.parquet(sf_dir)), scan=table)
+    return inputs.messages(rows)
 
 
 def _validated(spark: SparkSession, sf_dir: str, root: str) -> str:

@@ -60,16 +60,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/quoteflow/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
     """Use every core when the scan has fewer tasks than the cluster has cores.
 
     Files of one small row group are one task, which starves CPU-heavy parsing. With enough input
-    for every core, as with any large table, the rows stay where they were read.
+    for every core, as with any large table, the rows stay where they were read. A stream is judged
+    by ``scan``, a batch read of the same files.
     """
-    if df.isStreaming:
-        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = (df if scan is None else scan).rdd.getNumPartitions()
+    return df.repartition(cores) if tasks < cores else df
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:

@@ -6,20 +6,34 @@ keyed topics, where a repeat replaces itself, may be fed by it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quoteflow import rules
 from quoteflow.operators import windows
 
 
-def quote_requests(events: DataFrame) -> DataFrame:
+def as_json(record: Column) -> Column:
+    return F.to_json(record, {"ignoreNullFields": "false"})
+
+
+def as_avro(record: Column) -> Column:
+    """Needs Spark's Avro package."""
+    from pyspark.sql.avro.functions import to_avro
+
+    return to_avro(record)
+
+
+def quote_requests(events: DataFrame, encode: Callable[[Column], Column] = as_json) -> DataFrame:
+    """Quote events keyed by their job."""
     fields = [c for c in events.columns if c != "timestamp"]
-    value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    return events.select(F.col("job_id").alias("key"), value.alias("value"))
+    return events.select(F.col("job_id").alias("key"), encode(F.struct(*fields)).alias("value"))
 
 
-def region_stats(stats: DataFrame) -> DataFrame:
-    return windows.keyed(stats).select("key", F.to_json(F.struct(*stats.columns)).alias("value"))
+def region_stats(stats: DataFrame, encode: Callable[[Column], Column] = as_json) -> DataFrame:
+    """Totals keyed by region and window start."""
+    return windows.keyed(stats).select("key", encode(F.struct(*stats.columns)).alias("value"))
 
 
 def producer_options(brokers: str, topic: str) -> dict[str, str]:

@@ -69,11 +69,13 @@ def region_stats(
     grace: str = rules.GRACE,
     available_now: bool = True,
     interval: str | None = None,
+    final_only: bool = False,
 ) -> StreamingQuery:
     """Running totals per region and window, upserted by region and window start.
 
-    Update mode: each batch writes the totals it changed, and the newest batch wins per key. Spark
-    judges lateness between batches; ``windows.accepted_in_grace`` is the exact per-record replay.
+    Update mode: each batch writes the totals it changed, and the newest batch wins per key. With
+    ``final_only`` a window is written once, when its grace period has passed. Spark judges lateness
+    between batches; ``windows.accepted_in_grace`` is the exact per-record replay.
     """
     spark = events.sparkSession
     stats = windows.region_totals(events, window, grace)
@@ -81,7 +83,7 @@ def region_stats(
     def write(batch: DataFrame, batch_id: int) -> None:
         table.upsert(batch, batch_id)
 
-    writer = stats.writeStream.outputMode("update").foreachBatch(write)
+    writer = stats.writeStream.outputMode("append" if final_only else "update").foreachBatch(write)
     writer = _trigger(writer.option("checkpointLocation", checkpoint), available_now, interval)
     # A query takes its settings when it starts; the checkpoint does not keep this one, so it is set
     # at every start and the session's own value is put back.

@@ -129,3 +129,14 @@ def test_window_keys_show_fractions_only_when_there_are_some(spark):
     later = base.withColumn("timestamp", F.col("timestamp") + F.lit(timedelta(milliseconds=600)))
     stats = windows.keyed(windows.region_totals(later, "500 milliseconds"))
     assert {r.key for r in stats.collect()} == {"IN@2024-05-01T10:00:05.500Z", "US@2024-05-01T10:00:05.500Z"}
+
+
+def test_final_only_writes_a_window_once_it_is_closed(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "stats"), schemas.REGION_STATS, ["region", "window_start"]).create()
+    source = str(tmp_path / "topic")
+    for time in ("10:00:05", "10:00:50", "10:02:00", "10:02:05"):
+        frame(spark, [time]).coalesce(1).write.mode("append").parquet(source)
+        checked = fanout.quote_events(parse.validated(sources.replay(spark, source, files_per_batch=1)))
+        streams.region_stats(checked, table, str(tmp_path / "check"), final_only=True).awaitTermination()
+    rows = table.history().filter("region = 'IN' and quote_count is not null").collect()
+    assert [(r.window_start.minute, r.quote_count) for r in rows] == [(0, 2)]
