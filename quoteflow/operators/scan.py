@@ -22,7 +22,8 @@ def ordered(df: DataFrame, order: list[str], label: str = "ordered") -> DataFram
     """Rows in total order with ``_seq`` (increasing in that order) and ``_part`` (sort partition).
 
     The result is written to the shared folder: part numbers must not change between the passes
-    that use them, also when an executor is lost and its tasks run again.
+    that use them, also when an executor is lost and its tasks run again. Sorting samples the input
+    first and so computes it twice: pass a stored table rather than an expensive expression.
     """
     ranked = df.sort(*order).withColumn("_seq", F.monotonically_increasing_id())
     stored = session.durable(ranked, label)

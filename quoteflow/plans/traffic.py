@@ -243,6 +243,10 @@ totals AS (
         """SELECT seq, CASE WHEN (row_number() OVER (ORDER BY ts, seq) - 1) % 5 < 1
                             THEN 'stable' ELSE 'canary' END AS assigned FROM log""",
     ),
+    # Which backend a consumer gets is up to the hash; that it is always the same one is not.
+    "sticky_assignment": sql.with_inputs(
+        _LOG, "SELECT consumer, 1 AS backends, count(*) AS requests FROM log GROUP BY consumer"
+    ),
     "split_after_change": sql.with_inputs(
         _LOG,
         """SELECT backend, requests, round(share, 9) AS share, expected,
