@@ -33,8 +33,6 @@ def once(steps: DataFrame, keep: list[str], results: dict[str, Column]) -> DataF
     return steps.select(*keep, F.inline(F.array(result)))
 
 
-
-
 def present(values: Column) -> Column:
     """The array without its nulls."""
     return F.filter(values, lambda v: v.isNotNull())

@@ -79,5 +79,6 @@ def write(
         finally:
             connection.close()
 
-    # The database, not the cluster, bounds how many connections are wise.
-    rows.coalesce(connections).foreachPartition(write_partition)
+    # The database, not the cluster, bounds how many connections are wise. Rows are repartitioned, so
+    # that the work before this point keeps its own parallelism.
+    rows.repartition(connections).foreachPartition(write_partition)
