@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quoteflow.llm import quality
+from quoteflow.llm import quality, secrets, urls
 from quoteflow.llm.common import table
 from quoteflow.llm.sql import ORACLE
 
@@ -17,6 +17,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs).select("doc_id", *names)
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan(docs)
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages)
+
+
 QUERIES = {
+    "op4_secret_scan": op4_secret_scan,
     "op8_quality_rules": op8_quality_rules,
+    "op10_url_filter": op10_url_filter,
 }

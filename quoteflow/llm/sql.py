@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quoteflow.llm import quality
+from quoteflow.llm import quality, urls
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
@@ -65,6 +65,34 @@ FROM v
 """
 
 
+def _urls() -> str:
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urls.HOST_RULES)
+    globs = ", ".join(f"({i}, '{g}')" for i, g in enumerate(urls.BLOCK_GLOBS))
+    return f"""
+WITH r(verdict, of, prefix) AS (VALUES {rules}),
+g(i, pat) AS (VALUES {globs}),
+u AS (
+    SELECT row_number() OVER () AS rid, page_id,
+        CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest
+    FROM pages
+),
+p AS (
+    SELECT rid, page_id, rest,
+        translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest[length(regexp_extract(rest, '^[^/?#]*')) + 1:], '^[^?#]*') AS path
+    FROM u
+),
+fit AS (
+    SELECT rid, arg_max(of || prefix, length(of || prefix)) AS rule, arg_max(verdict, length(of || prefix)) AS said
+    FROM p JOIN r ON (host = of OR ends_with(host, '.' || of)) AND starts_with(path, prefix) GROUP BY rid
+),
+hit AS (SELECT rid, arg_min(pat, i) AS matched FROM p JOIN g ON host || path GLOB pat GROUP BY rid)
+SELECT page_id, host, path, rule, coalesce(said, CASE WHEN matched IS NULL THEN 'allow' ELSE 'block' END) AS verdict, matched
+FROM p LEFT JOIN fit USING (rid) LEFT JOIN hit USING (rid)
+"""
+
+
 ORACLE = {
     "op8_quality_rules": _quality(),
+    "op10_url_filter": _urls(),
 }
