@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quoteflow.llm import quality, urls
+from quoteflow.llm import benchmarks, chat, quality, urls
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
@@ -92,7 +92,68 @@ FROM p LEFT JOIN fit USING (rid) LEFT JOIN hit USING (rid)
 """
 
 
+def _benchmarks() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS words FROM documents),
+b AS (SELECT item_id, {words} AS words FROM benchmark),
+bn AS (SELECT item_id, words, least(len(words), {benchmarks.WINDOW}) AS n FROM b WHERE len(words) > 0),
+bw AS (
+    SELECT DISTINCT item_id, n, array_to_string(words[i:i + n - 1], ' ') AS gram
+    FROM (SELECT item_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM bn)
+),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+    SELECT rid, i, n, array_to_string(words[i:i + n - 1], ' ') AS gram
+    FROM (SELECT rid, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM d, sizes)
+),
+hit AS (SELECT rid, i, bw.n, item_id FROM dw JOIN bw USING (gram, n)),
+cov AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS k FROM hit) GROUP BY rid),
+it AS (
+    SELECT rid, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+    FROM (SELECT DISTINCT rid, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY rid
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (rid) LEFT JOIN it USING (rid)
+"""
+
+
+def _escaped(text: str) -> str:
+    text = f"replace({text}, '\\', '\\\\')"
+    for control in chat.CONTROLS:
+        text = f"replace({text}, '{control}', '{control[0]}\\{control[1:]}')"
+    return text
+
+
+def _chat() -> str:
+    fixed = len(chat.START) + 1 + len(chat.END) + 1
+    said = "</s>[INST] ok [/INST]"
+    return f"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '{said}'), (-1, 1, 'assistant', '{said}')
+),
+p AS (
+    SELECT *, {fixed} + length(replace({_escaped("role")}, chr(10), '\\' || chr(10))) + length({_escaped("text")}) AS size,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+        count(*) OVER (PARTITION BY conv_id) AS n
+    FROM t
+),
+r AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY k) AS so_far FROM p)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(so_far) FILTER (role = 'assistant' OR k = n)::BIGINT AS formatted_chars
+FROM r GROUP BY conv_id
+"""
+
+
 ORACLE = {
+    "op5_benchmark_decontamination": _benchmarks(),
+    "op7_chat_format": _chat(),
     "op8_quality_rules": _quality(),
     "op10_url_filter": _urls(),
 }
