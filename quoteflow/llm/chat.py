@@ -76,7 +76,8 @@ def _target(i: Column) -> Column:
 
 def turns_of(text: Column) -> Column:
     """The turns of a formatted text as an array of (role, text), unescaped."""
-    parts = F.slice(F.split(text, r"<\|im_start\|>", -1), F.lit(2), F.lit(2**31 - 1))
+    split = F.split(text, r"<\|im_start\|>", -1)
+    parts = F.slice(split, F.lit(2), F.size(split))
     tail = len(END) + 1
 
     def turn(part: Column) -> Column:
