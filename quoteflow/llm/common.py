@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
+from quoteflow import session
+
 # One call of a text function sees about this many characters (or one longer text).
 _SLICE_CHARS = 4_000_000
 
@@ -70,6 +72,13 @@ def per_text(
     return df.select(*keep, df[text].cast("string").alias("_text")).mapInArrow(run, schema)
 
 
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+    """``df`` written to the cluster's shared folder and read back: cuts lineage, outlives executors."""
+    path = session.scratch_path(df.sparkSession, label)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished phases, whose results are in written tables.
 

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quoteflow.llm import benchmarks, chat, quality, secrets, sharding, urls
+from quoteflow.llm import benchmarks, chat, packing, quality, secrets, sharding, urls
 from quoteflow.llm.common import table
 from quoteflow.llm.sql import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
+def default_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     names = [f.name for f in quality.FIELDS]
@@ -38,6 +44,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.examples(rows.unionAll(control)))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer or default_tokenizer())
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages)
@@ -49,5 +59,6 @@ QUERIES = {
     "op6_sharding": op6_sharding,
     "op7_chat_format": op7_chat_format,
     "op8_quality_rules": op8_quality_rules,
+    "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
 }
