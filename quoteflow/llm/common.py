@@ -86,3 +86,47 @@ def release(spark: SparkSession) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def per_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    schema: StructType,
+    fn: Callable[[tuple, list[tuple]], list[tuple]],
+) -> DataFrame:
+    """``fn(key, rows)`` for every group of ``keys``; rows are the other columns, results are rows.
+
+    For many small groups of bounded size: one exchange and one sort, then the groups are read off
+    the sorted rows one at a time, without starting Python work for each.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    width = len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows)) or [()] * len(arrow)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow
+            )
+
+        key, members, made = None, [], []
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                if row[:width] != key:
+                    if members:
+                        made += fn(key, members)
+                    key, members = row[:width], []
+                    if len(made) >= 10_000:
+                        yield out(made)
+                        made = []
+                members.append(row[width:])
+        if members:
+            made += fn(key, members)
+        yield out(made)
+
+    dealt = df.select(*keys, *rest).repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(run, schema)
