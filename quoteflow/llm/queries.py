@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quoteflow.llm import benchmarks, chat, near, packing, quality, secrets, sharding, urls
+from quoteflow.llm import benchmarks, chat, near, packing, quality, secrets, sharding, substrings, urls
 from quoteflow.llm.common import table
 from quoteflow.llm.sql import ORACLE
 
@@ -23,6 +23,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs).select("doc_id", *names)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.cut(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.join(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_secret_scan": op4_secret_scan,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,

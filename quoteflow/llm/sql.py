@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quoteflow.llm import benchmarks, chat, quality, urls
+from quoteflow.llm import benchmarks, chat, quality, substrings, urls
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
@@ -13,6 +13,26 @@ def _count(text: str, characters: str) -> str:
     return f"(length({text}) - length(regexp_replace({text}, '[{kept}]', '', 'g')))"
 
 
+def _substrings() -> str:
+    k = substrings.K
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format("coalesce(text, '')")} AS words FROM documents),
+win AS (
+    SELECT rid, doc_id, i, array_to_string(words[i:i + {k - 1}], ' ') AS gram
+    FROM (SELECT rid, doc_id, words, unnest(range(1, len(words) - {k - 2})) AS i FROM d)
+),
+late AS (SELECT rid, i FROM (SELECT rid, i, doc_id, min(doc_id) OVER (PARTITION BY gram) AS m FROM win) WHERE m < doc_id),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + {k})) AS j FROM late),
+w AS (SELECT rid, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS j FROM d),
+kept AS (
+    SELECT rid, string_agg(word, ' ' ORDER BY j) AS text FROM w ANTI JOIN gone USING (rid, j) GROUP BY rid
+),
+n AS (SELECT rid, count(*) AS n_removed FROM gone GROUP BY rid)
+SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+
 def _quality() -> str:
     rules = quality.Rules()
     phrases = " OR ".join(
@@ -152,6 +172,7 @@ FROM r GROUP BY conv_id
 
 
 ORACLE = {
+    "op1_substring_dedup": _substrings(),
     "op5_benchmark_decontamination": _benchmarks(),
     "op7_chat_format": _chat(),
     "op8_quality_rules": _quality(),
