@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quoteflow.llm import benchmarks, chat, near, packing, quality, secrets, sharding, substrings, urls
+from quoteflow.llm import benchmarks, chat, licenses, near, packing, quality, secrets, sharding, substrings, urls
 from quoteflow.llm.common import table
 from quoteflow.llm.sql import ORACLE
 
@@ -28,6 +28,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.cut(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.join(table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_secret_scan": op4_secret_scan,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
