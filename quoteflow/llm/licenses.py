@@ -8,7 +8,7 @@ little else between, and none of its versions or distinguishing words is missing
 difference in wording at all, ``variant`` some; the differences are reported.
 
 Everything happens in the document's task. Defined cases: null text counts as empty and has no
-blocks; texts are scanned whole, positions are code points; equal savings go by template name;
+blocks; texts are scanned whole, positions are code points; equal savings go to the shorter template, then by name;
 repeated rows are scanned one by one; an empty table gives an empty result; other columns are kept
 unless a result has their name.
 """
@@ -181,11 +181,11 @@ class Matcher:
         self.similarity, self.ranked = similarity, ranked
         self.templates = []
         for name, text in sorted(templates.items()):
+            own = [w for w, _, _ in words(text)]
             data = zstandard.ZstdCompressionDict(
-                text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
+                " ".join(own).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
             )
             data.precompute_compress(compression_params=parameters)
-            own = [w for w, _, _ in words(text)]
             needed = frozenset(w for w in own if w in TELLING or any(c.isdigit() for c in w))
             self.templates.append(
                 _Template(
@@ -193,12 +193,15 @@ class Matcher:
                 )
             )
 
-    def rank(self, block: str) -> list[tuple[int, _Template]]:
-        """The templates that save bytes, the best first, with the bytes they save in percent."""
-        raw = block.encode()
+    def rank(self, block: list[tuple[str, int, int]]) -> list[tuple[int, _Template]]:
+        """The templates that save bytes, the best first, with the bytes they save in percent.
+
+        Case, punctuation and line breaks are no difference: words are compressed, not the raw text.
+        """
+        raw = " ".join(w for w, _, _ in block).encode()
         alone = len(self.plain.compress(raw))
         saved = [(alone - len(t.compressor.compress(raw)), t) for t in self.templates]
-        best = sorted(((s, t) for s, t in saved if s > 0), key=lambda x: (-x[0], x[1].name))
+        best = sorted(((s, t) for s, t in saved if s > 0), key=lambda x: (-x[0], len(x[1].words), x[1].name))
         return [(100 * s // alone, t) for s, t in best]
 
     def compare(self, block: list[tuple[str, int, int]], template: _Template):
@@ -232,12 +235,11 @@ class Matcher:
         """Number of blocks and the confirmed templates, in order."""
         found, ranges = [], blocks(text)
         for begin, end in ranges:
-            block = text[begin:end]
-            in_block = words(block)
+            in_block = words(text[begin:end])
             taken: list[tuple[int, int]] = []
             # A block may hold several licenses, so the list is worked until enough were refused.
             refused = 0
-            for saved, template in self.rank(block):
+            for saved, template in self.rank(in_block):
                 confirmed = self.compare(in_block, template)
                 if confirmed is None:
                     refused += 1

@@ -36,7 +36,6 @@ SEPARATORS = "|»›•·"
 SENTENCE_ENDS = ".!?:;…\"')]}”’»"
 PHRASES = (
     "accept all cookies",
-    "all rights reserved",
     "back to top",
     "click here",
     "cookie policy",

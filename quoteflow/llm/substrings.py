@@ -295,24 +295,26 @@ def _sources(docs: DataFrame, spans: DataFrame) -> DataFrame:
     return found.distinct()  # an id may stand for several rows
 
 
-def _finished(docs: DataFrame, lists: DataFrame) -> DataFrame:
+def _finished(docs: DataFrame, lists: DataFrame, k: int) -> DataFrame:
     """Cut every row by the spans whose words are those of their source."""
     keep = others(docs, [f.name for f in RESULTS] + ["text"])
-    schema = StructType([docs.schema[c] for c in keep] + RESULTS)
-    rows = _with_text(docs, lists, "left").select(*keep, "text", "_k", "spans", "copied")
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")  # out of the way of other names
+    joined = _with_text(docs.select(row, "doc_id", "text"), lists, "left")
+    rows = joined.select("row", "text", "spans", "copied")
+    schema = StructType([rows.schema["row"]] + RESULTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow, at = to_arrow_schema(schema), len(keep)
+        arrow = to_arrow_schema(schema)
         for batch in batches:
-            for part in slices(batch, at):
-                made = [_cut(*row) for row in zip(*[part.column(at + i).to_pylist() for i in range(4)])]
-                columns = [part.column(i).cast(arrow.field(i).type) for i in range(at)]
-                columns += [pa.array(c, f.type) for c, f in zip(zip(*made), list(arrow)[at:])]
+            for part in slices(batch, 1):
+                made = [_cut(t, k, s, c) for t, s, c in zip(*[part.column(i).to_pylist() for i in (1, 2, 3)])]
+                columns = [part.column(0).cast(arrow.field(0).type)]
+                columns += [pa.array(c, f.type) for c, f in zip(zip(*made), list(arrow)[1:])]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).select("row.*", *[f.name for f in RESULTS])
 
 
 def _cut(text: str | None, k: int, spans: list[dict] | None, copied: list[str] | None) -> tuple:
@@ -374,4 +376,4 @@ def cut(docs: DataFrame, k: int = K, anchor: int = ANCHOR) -> DataFrame:
     lists = both.groupBy("doc_id").agg(
         F.collect_list("span").alias("spans"), F.collect_set("mark").alias("copied")
     )
-    return _finished(docs.withColumn("_k", F.lit(k)), lists)
+    return _finished(docs, lists, k)
