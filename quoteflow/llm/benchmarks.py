@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quoteflow.functions.rows import once
+from quoteflow.llm.common import stored
 
 WINDOW = 10
 MAX_WINDOWS = 50_000
@@ -35,6 +36,10 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def _no_hits() -> Column:
+    return F.array().cast("array<struct<start:int,length:int,gram:string>>")
+
+
 def _gram(words: Column, start: Column, length: int) -> Column:
     return F.array_join(F.slice(words, start, F.lit(length)), " ")
 
@@ -91,8 +96,7 @@ class Windows:
                     ),
                 )
             )
-        empty = F.array().cast("array<struct<start:int,length:int,gram:string>>")
-        return F.concat(empty, *found)
+        return F.concat(_no_hits(), *found)
 
     @staticmethod
     def _hash(start: Column, length: int) -> Column:
@@ -168,19 +172,19 @@ def remove(
     ``max_hit_percent`` of its words hit goes as a whole.
     """
     of = Windows(benchmark, window, max_windows)
-    cells = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
-    split = once(docs.select(cells), ["_doc"], {"words": words(F.col("_doc.text"))})
-    found = once(split, ["_doc"], {"n": F.size("words"), "hits": of.hits()})
+    cells = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    if not of.small:
+        # Read twice: for the windows, and for the texts that their hits are joined to.
+        cells = stored(cells.withColumn("_row", F.monotonically_increasing_id()), "benchmark-texts")
+    keys = [c for c in cells.columns if c != "_doc"]
+    split = once(cells, ["_doc", *keys], {"words": words(F.col("_doc.text"))})
+    found = once(split, ["_doc", *keys], {"n": F.size("words"), "hits": of.hits()})
     if not of.small:
-        keyed = found.withColumn("_row", F.monotonically_increasing_id())
-        spread = keyed.select("_row", "_doc", "n", F.explode_outer("hits").alias("hit"))
-        known = of.table.select(F.col("gram").alias("_gram"), F.lit(True).alias("_known"))
-        joined = spread.join(known, F.col("hit.gram") == F.col("_gram"), "left")
-        found = joined.groupBy("_row").agg(
-            F.first("_doc").alias("_doc"),
-            F.first("n").alias("n"),
-            F.collect_list(F.when(F.col("_known"), F.col("hit"))).alias("hits"),
-        )
+        spread = found.select("_row", F.explode("hits").alias("hit"))
+        joined = spread.join(of.table.select("gram"), F.col("hit.gram") == F.col("gram"))
+        known = joined.groupBy(F.col("_row").alias("of")).agg(F.collect_list("hit").alias("known"))
+        found = found.select("_doc", "_row", "n").join(known, F.col("_row") == F.col("of"), "left")
+        found = found.select("_doc", "n", F.coalesce("known", _no_hits()).alias("hits"))
     judged = found.withColumn("n_hit", covered(F.col("hits"))).filter(
         F.lit(100) * F.col("n_hit") <= F.lit(max_hit_percent) * F.col("n")
     )
