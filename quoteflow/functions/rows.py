@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -33,6 +34,13 @@ def once(steps: DataFrame, keep: list[str], results: dict[str, Column]) -> DataF
     return steps.select(*keep, F.inline(F.array(result)))
 
 
+def matched(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on ``keys`` where null equals null; a group whose key is null keeps its partner."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(Column.__and__, [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def present(values: Column) -> Column:
     """The array without its nulls."""
     return F.filter(values, lambda v: v.isNotNull())

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quoteflow import rules, session
+from quoteflow.functions.rows import matched
 from quoteflow.operators import ranks, scan
 
 
@@ -49,7 +50,8 @@ def cumulative_split(log: DataFrame, round_: str) -> DataFrame:
 def snapshot(log: DataFrame, round_: str, width: float = 1.0) -> DataFrame:
     """Per sampling round: samples, errors, requests by backend, 95th percentile, last update.
 
-    Rounds without a healthy sample have an empty map and a percentile of 0.
+    Rounds without a healthy sample have an empty map and a percentile of 0. A sample without a
+    latency counts, but not in the percentile. A null round is a round like any other.
     """
     rows = labelled(log)
     totals = rows.groupBy(round_).agg(
@@ -62,7 +64,7 @@ def snapshot(log: DataFrame, round_: str, width: float = 1.0) -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("backend", "requests")))).alias("by_backend")
     )
     p95 = ranks.percentiles(rows.filter(~F.col("is_error")), [round_], "latency_ms", [95], width)
-    joined = totals.join(backends, round_, "left").join(p95.drop("rows"), round_, "left")
+    joined = matched(matched(totals, backends, [round_]), p95.drop("rows"), [round_])
     return joined.select(
         round_,
         "samples",
@@ -74,22 +76,29 @@ def snapshot(log: DataFrame, round_: str, width: float = 1.0) -> DataFrame:
 
 
 def metrics(log: DataFrame, round_: str) -> DataFrame:
-    """Counters over all rounds and the gauge of the latest round as ``(metric, label, value)``."""
-    requests = split(log).select(
-        F.lit("probe_requests_total").alias("metric"),
+    """Counters over all rounds and the gauge of the latest round as ``(metric, label, value)``.
+
+    The log is read once for the counts and once for the percentiles; everything else works on one
+    row per round and backend.
+    """
+    rows = labelled(log)
+    counts = rows.groupBy(round_, "backend").agg(
+        F.count_if(~F.col("is_error")).alias("healthy"), F.count_if("is_error").alias("errors")
+    )
+    counts = session.durable(counts, "metrics")
+    requests = counts.filter("healthy > 0").groupBy("backend").agg(F.sum("healthy").alias("n"))
+    requests = requests.select(
+        F.lit(rules.REQUESTS_METRIC).alias("metric"),
         F.col("backend").alias("label"),
-        F.col("requests").cast("double").alias("value"),
+        F.col("n").cast("double").alias("value"),
     )
-    errors = labelled(log).agg(F.count_if("is_error").cast("double").alias("value")).select(
-        F.lit("probe_errors_total").alias("metric"), F.lit("").alias("label"), "value"
+    errors = counts.agg(F.coalesce(F.sum("errors"), F.lit(0)).cast("double").alias("value")).select(
+        F.lit(rules.ERRORS_METRIC).alias("metric"), F.lit("").alias("label"), "value"
     )
-    latest = log.agg(F.max(round_).alias(round_))
-    rows = labelled(log).filter(~F.col("is_error"))
-    # The latest round is a single row, so looking it up is a broadcast of one row.
-    newest = rows.join(F.broadcast(latest), round_, "left_semi")
-    gauge = ranks.percentiles(newest.withColumn("_all", F.lit(0)), ["_all"], "latency_ms", [95])
-    gauge = latest.withColumn("_all", F.lit(0)).join(gauge, "_all", "left").select(
-        F.lit("probe_latency_p95_ms").alias("metric"),
+    latest = counts.agg(F.max(round_).alias(round_))
+    gauges = ranks.percentiles(rows.filter(~F.col("is_error")), [round_], "latency_ms", [95])
+    gauge = matched(latest, gauges, [round_]).select(
+        F.lit(rules.LATENCY_METRIC).alias("metric"),
         F.lit("").alias("label"),
         F.coalesce("p95", F.lit(0.0)).alias("value"),
     )
@@ -97,49 +106,54 @@ def metrics(log: DataFrame, round_: str) -> DataFrame:
 
 
 def after_warmup(log: DataFrame, warmup: int, by: str = "backend") -> DataFrame:
-    """Drop each backend's first ``warmup`` requests.
+    """Drop the first ``warmup`` requests of each group; a null group is one too.
 
-    The rank filter keeps at most ``warmup`` rows per backend in every task before the shuffle. Only
-    the position of the last of them is then compared with the other rows.
+    Requests are numbered over range-sorted parts, so a hot backend stays spread over many tasks
+    whatever ``warmup`` is.
     """
     if warmup <= 0:
         return log
-    first = Window.partitionBy(by).orderBy("ts", "seq")
-    head = log.select(by, "ts", "seq").withColumn("_rank", F.row_number().over(first))
-    head = head.filter(F.col("_rank") <= warmup)
-    cut = head.groupBy(by).agg(F.max(F.struct("ts", "seq")).alias("_cut"))
-    kept = log.join(session.small_side(cut, "warmup"), by)
-    return kept.filter(F.struct("ts", "seq") > F.col("_cut")).drop("_cut")
+    numbered = scan.running(log, ["ts", "seq"], {"_nth": ("sum", F.lit(1).cast("bigint"))}, by=[by])
+    return numbered.filter(F.col("_nth") > warmup).drop("_nth")
 
 
 def load_report(log: DataFrame, ok_status: int = 201, by: str = "backend", width: float = 1.0) -> DataFrame:
-    """Per backend: requests per second, interpolated p50 / p95 / p99, requests with another status."""
+    """Per backend: requests per second, interpolated p50 / p95 / p99, requests with another status.
+
+    A request without a latency counts as a request that ended when it began; it is in no percentile.
+    A group with none at all, or in which no time passes, has null for what cannot be said.
+    """
     start = F.unix_micros("ts").cast("double")
-    finish = start + F.col("latency_ms") * 1000.0
+    finish = start + F.coalesce("latency_ms", F.lit(0.0)) * 1000.0
+    span = F.max(finish) - F.min(start)
     totals = log.groupBy(by).agg(
         F.count(F.lit(1)).alias("requests"),
-        (F.count(F.lit(1)) * 1000000.0 / (F.max(finish) - F.min(start))).alias("rps"),
+        F.when(span > 0, F.count(F.lit(1)) * 1000000.0 / span).alias("rps"),
         F.count_if(~F.col("status").eqNullSafe(ok_status)).alias("errors"),
     )
     latency = ranks.interpolated(log, [by], "latency_ms", [50, 95, 99], width).drop("rows")
-    return totals.join(latency, by, "left")
+    return matched(totals, latency, [by])
 
 
 def gate(log: DataFrame, budget_ms: float = rules.P95_BUDGET_MS, by: str = "backend") -> DataFrame:
-    """Pass when there are no errors and the nearest-rank p95 stays within the budget."""
+    """Pass when there are no errors and the nearest-rank p95 stays within the budget.
+
+    A group without any latency has nothing to show that it is within the budget: it does not pass.
+    """
     totals = log.groupBy(by).agg(
         F.count(F.lit(1)).alias("requests"),
         F.count_if(~F.col("status").eqNullSafe(201)).alias("errors"),
     )
     p95 = ranks.percentiles(log, [by], "latency_ms", [95]).drop("rows")
-    return totals.join(p95, by).select(
+    within = F.coalesce(F.col("p95") <= budget_ms, F.lit(False))
+    return matched(totals, p95, [by]).select(
         by,
         "requests",
         "errors",
         F.col("p95").alias("p95_ms"),
         (F.col("errors") == 0).alias("no_errors"),
-        (F.col("p95") <= budget_ms).alias("within_budget"),
-        ((F.col("errors") == 0) & (F.col("p95") <= budget_ms)).alias("passed"),
+        within.alias("within_budget"),
+        ((F.col("errors") == 0) & within).alias("passed"),
     )
 
 
@@ -201,7 +215,8 @@ def rate_limit_excess(
     rows = log.withColumn("period", F.date_trunc(per, "ts"))
     over = rows.groupBy("consumer", "period").count().filter(F.col("count") > limit).drop("count")
     # Only periods over the limit are put in order; everyone else's requests stay where they are.
-    busy = rows.join(over, ["consumer", "period"], "left_semi")
+    # Sorting samples its input first, so the join is stored and not run twice.
+    busy = session.durable(rows.join(over, ["consumer", "period"], "left_semi"), "over-limit")
     numbered = scan.running(
         busy, ["ts", "seq"], {"nth": ("sum", F.lit(1).cast("bigint"))}, by=["consumer", "period"]
     )
@@ -259,5 +274,10 @@ def request_id_gaps(log: DataFrame) -> DataFrame:
 
 
 def status_metrics(log: DataFrame, by: list[str], width: float = 1.0) -> DataFrame:
-    """Requests and nearest-rank p50 / p95 / p99 latency per group (service, status)."""
-    return ranks.percentiles(log, by, "latency_ms", [50, 95, 99], width)
+    """Requests and nearest-rank p50 / p95 / p99 latency per group (service, status).
+
+    ``rows`` counts all requests of the group, the percentiles those with a latency.
+    """
+    totals = log.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+    measured = ranks.percentiles(log, by, "latency_ms", [50, 95, 99], width).drop("rows")
+    return matched(totals, measured, by)

@@ -290,12 +290,12 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One quote request per order: pricing region from the customer's nation, coupon from priority.
 
-    Nations and regions are fixed lists of 25 and 5 rows, so they are broadcast; customers join by
-    key, with hot customers split by the adaptive skew join.
+    How the sides are joined is left to the optimizer, which knows their sizes; hot customers are split
+    by the adaptive skew join.
     """
     names = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    markets = nations.join(F.broadcast(names), F.col("n_regionkey") == F.col("r_regionkey"))
+    markets = nations.join(names, F.col("n_regionkey") == F.col("r_regionkey"))
     region = (
         F.when(F.col("r_name") == "ASIA", "IN")
         .when(F.col("r_name") == "AMERICA", "US")
@@ -303,9 +303,9 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("r_name"))
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    customers = customers.join(
-        F.broadcast(markets), F.col("c_nationkey") == F.col("n_nationkey")
-    ).select("c_custkey", region.alias("region"))
+    customers = customers.join(markets, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", region.alias("region")
+    )
     priority = F.substring("o_orderpriority", 1, 1)
     coupon = (
         F.when(priority == "1", "SAVE10")
@@ -329,13 +329,17 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         e.alias("seq"),
         F.when(e % 50 != 49, F.concat(F.lit("req-"), e)).alias("request_id"),
         F.col("ts").cast("timestamp").alias("ts"),
-        F.when(e % 40 == 7, "").when(e % 5 == 0, "stable").otherwise("canary").alias("backend"),
+        F.when(e % 40 == 7, "")
+        .when(e % 41 == 9, F.lit(None).cast("string"))
+        .when(e % 5 == 0, "stable")
+        .otherwise("canary")
+        .alias("backend"),
         F.when((t == "error") & (e % 3 == 0), F.lit(None).cast("int"))
         .when(t == "error", 502)
         .when((t == "signup") & (e % 7 == 0), 404)
         .otherwise(201)
         .alias("status"),
-        F.col("value").alias("latency_ms"),
+        F.when(e % 53 != 5, F.col("value")).alias("latency_ms"),
         F.concat(F.lit("user-"), F.col("user_id")).alias("consumer"),
         F.when(e % 30 == 12, "key-stolen")
         .when(e % 30 != 11, F.concat(F.lit("key-"), F.col("user_id")))

@@ -14,10 +14,10 @@ from quoteflow.streaming import queries as streams
 
 def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job messages of the batch queries as a stream over the same table."""
-    table = inputs.table(spark, sf_dir, "events")
-    reader = spark.readStream.schema(table.schema).option("pathGlobFilter", "events.parquet")
-    rows = session.spread(inputs.carts(reader.parquet(sf_dir)), scan=table)
-    return inputs.messages(rows)
+    schema = inputs.table(spark, sf_dir, "events").schema
+    # A pattern that only the table's own name fits: unlike a plain path it may be a file or a folder.
+    raw = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    return inputs.messages(session.spread(inputs.carts(raw)))
 
 
 def _validated(spark: SparkSession, sf_dir: str, root: str) -> str:

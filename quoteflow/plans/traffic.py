@@ -52,12 +52,14 @@ def latency_nearest_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latency_exclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ranks.interpolated(_log(spark, sf_dir), ["backend", "day"], "latency_ms", [50, 95, 99])
+    log = traffic.labelled(_log(spark, sf_dir))
+    rows = ranks.interpolated(log, ["backend", "day"], "latency_ms", [50, 95, 99])
     return rows.select("backend", "day", "rows", *[F.round(f"p{p}", 6).alias(f"p{p}") for p in (50, 95, 99)])
 
 
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = traffic.after_warmup(_log(spark, sf_dir), _WARMUP)
+    log = traffic.labelled(_log(spark, sf_dir))
+    measured = traffic.after_warmup(log, _WARMUP)
     rounded = [F.round(c, 6).alias(c) for c in ("rps", "p50", "p95", "p99")]
     return traffic.load_report(measured).select("backend", "requests", "errors", *rounded)
 
@@ -138,11 +140,13 @@ _LOG = """
 log AS (
   SELECT event_id AS seq, ts, strftime(ts, '%Y-%m-%d') AS day,
     CASE WHEN event_id % 50 <> 49 THEN 'req-' || event_id END AS request_id,
-    CASE WHEN event_id % 40 = 7 THEN '' WHEN event_id % 5 = 0 THEN 'stable' ELSE 'canary' END AS raw_backend,
-    CASE WHEN event_id % 40 = 7 THEN 'unknown' WHEN event_id % 5 = 0 THEN 'stable' ELSE 'canary' END AS named,
+    CASE WHEN event_id % 40 = 7 THEN '' WHEN event_id % 41 = 9 THEN NULL
+         WHEN event_id % 5 = 0 THEN 'stable' ELSE 'canary' END AS raw_backend,
+    CASE WHEN event_id % 40 = 7 OR event_id % 41 = 9 THEN 'unknown'
+         WHEN event_id % 5 = 0 THEN 'stable' ELSE 'canary' END AS named,
     CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN NULL WHEN event_type = 'error' THEN 502
          WHEN event_type = 'signup' AND event_id % 7 = 0 THEN 404 ELSE 201 END AS status,
-    event_type = 'error' AS failed, value AS latency_ms, 'user-' || user_id AS consumer,
+    event_type = 'error' AS failed, CASE WHEN event_id % 53 <> 5 THEN value END AS latency_ms, 'user-' || user_id AS consumer,
     CASE WHEN event_id % 30 = 12 THEN 'key-stolen' WHEN event_id % 30 <> 11 THEN 'key-' || user_id END AS api_key,
     CASE WHEN event_id % 3 = 0 THEN 'quote-jobs' ELSE 'quotes' END AS service, user_id
   FROM events
@@ -152,7 +156,7 @@ log AS (
 _EXCLUSIVE = """
 numbered AS (
   SELECT g, v, row_number() OVER (PARTITION BY g ORDER BY v) AS r, count(*) OVER (PARTITION BY g) AS n
-  FROM sample
+  FROM sample WHERE v IS NOT NULL
 ),
 ranked AS (
   SELECT g, v, r, n, pct, greatest(least((n + 1) * pct // 100, n - 1), 1) AS j
@@ -173,10 +177,10 @@ interpolated AS (
 
 _LOAD = """
 measured AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY raw_backend ORDER BY ts, seq) AS r FROM log)
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY named ORDER BY ts, seq) AS r FROM log)
   WHERE r > 20
 ),
-sample AS (SELECT raw_backend AS g, latency_ms AS v FROM measured),""" + _EXCLUSIVE
+sample AS (SELECT named AS g, latency_ms AS v FROM measured),""" + _EXCLUSIVE
 
 ORACLE = {
     "traffic_split": sql.with_inputs(
@@ -211,25 +215,25 @@ totals AS (
     ),
     "latency_nearest_rank": sql.with_inputs(
         _LOG,
-        """SELECT named AS backend, count(*) AS rows, quantile_disc(latency_ms, 0.5) AS p50,
+        """SELECT named AS backend, count(latency_ms) AS rows, quantile_disc(latency_ms, 0.5) AS p50,
              quantile_disc(latency_ms, 0.95) AS p95, quantile_disc(latency_ms, 0.99) AS p99
            FROM log WHERE NOT failed GROUP BY named""",
     ),
     "latency_exclusive": sql.with_inputs(
         _LOG
-        + ", sample AS (SELECT raw_backend || '|' || day AS g, latency_ms AS v FROM log),"
+        + ", sample AS (SELECT named || '|' || day AS g, latency_ms AS v FROM log),"
         + _EXCLUSIVE,
         """SELECT split_part(g, '|', 1) AS backend, split_part(g, '|', 2) AS day, n AS rows,
              round(p50, 6) AS p50, round(p95, 6) AS p95, round(p99, 6) AS p99 FROM interpolated""",
     ),
     "load_report": sql.with_inputs(
         _LOG + "," + _LOAD,
-        """SELECT raw_backend AS backend, count(*) AS requests,
+        """SELECT named AS backend, count(*) AS requests,
              count(*) FILTER (WHERE status IS DISTINCT FROM 201) AS errors,
-             round(count(*) * 1000000.0::DOUBLE / (max(epoch_us(ts)::DOUBLE + latency_ms * 1000.0::DOUBLE)
+             round(count(*) * 1000000.0::DOUBLE / (max(epoch_us(ts)::DOUBLE + coalesce(latency_ms, 0) * 1000.0::DOUBLE)
                    - min(epoch_us(ts)::DOUBLE)), 6) AS rps,
              round(any_value(i.p50), 6) AS p50, round(any_value(i.p95), 6) AS p95, round(any_value(i.p99), 6) AS p99
-           FROM measured JOIN interpolated i ON i.g = raw_backend GROUP BY raw_backend""",
+           FROM measured LEFT JOIN interpolated i ON i.g = named GROUP BY named""",
     ),
     "budget_gate": sql.with_inputs(
         _LOG,

@@ -82,3 +82,8 @@ CANARY_WEIGHTS = {"stable": 20, "canary": 80}
 LIVE_FAILURES_TO_UNHEALTHY = {"http": 3, "tcp": 2}
 ACTIVE_FAILURES_TO_UNHEALTHY = {"http": 2, "tcp": 2, "timeout": 2}
 P95_BUDGET_MS = 1000.0
+
+# Names of the probe's metrics.
+REQUESTS_METRIC = "probe_requests_total"
+ERRORS_METRIC = "probe_errors_total"
+LATENCY_METRIC = "probe_latency_p95_ms"

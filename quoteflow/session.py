@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every quoteflow job relies on; all of them are runtime SQL settings.
 REQUIRED = {
@@ -15,6 +15,9 @@ REQUIRED = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# Number of tasks that small input files are dealt over before they are parsed.
+SPREAD = "spark.quoteflow.spread"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     for name, value in REQUIRED.items():
@@ -31,6 +34,7 @@ def local(cpus: int | str = "*", app: str = "quoteflow") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("QUOTEFLOW_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", partitions)
+        .config(SPREAD, partitions)
         .config("spark.sql.adaptive.enabled", "true")
         # Records a Python call site with every column expression; costs more than building it.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
@@ -43,33 +47,43 @@ def local(cpus: int | str = "*", app: str = "quoteflow") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only a local session may fall back to a temporary folder: on a cluster a machine-local path
-    would be lost with its machine, so a missing setting is an error there.
+    Only a local session may do without the setting: it then uses its checkpoint folder, or a new
+    temporary one. On a cluster a machine-local path would be lost with its machine, so a missing
+    setting is an error there.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="quoteflow-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    # The setting itself cannot be changed once a session runs.
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quoteflow-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/quoteflow/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/quoteflow/{label}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the intermediate tables this application has written; results not yet read go with them."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def spread(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
-    """Use every core when the scan has fewer tasks than the cluster has cores.
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan over ``spark.quoteflow.spread`` tasks; without the setting, as they are.
 
-    Files of one small row group are one task, which starves CPU-heavy parsing. With enough input
-    for every core, as with any large table, the rows stay where they were read. A stream is judged
-    by ``scan``, a batch read of the same files.
+    Files of one small row group are one task, which starves CPU-heavy parsing. Whoever runs such
+    files says so with the setting; a large table needs no shuffle before it is parsed.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = (df if scan is None else scan).rdd.getNumPartitions()
-    return df.repartition(cores) if tasks < cores else df
+    tasks = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:
@@ -80,12 +94,3 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, label: str, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` in a join if it really is small; beyond ``max_rows`` join it the normal way.
-
-    The rows are written once, so the check does not compute them a second time.
-    """
-    stored = durable(df, label)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored

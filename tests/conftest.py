@@ -4,9 +4,8 @@ from quoteflow import session
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     made = session.local(4, "quoteflow-tests")
-    if not made.conf.get("spark.checkpoint.dir", None):
-        made.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield made
+    session.clean(made)
     made.stop()

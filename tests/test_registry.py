@@ -21,9 +21,8 @@ def test_query_equals_its_sql(spark, duck, name):
     assert not oracle.differences(spark, duck, registry.QUERIES[name], registry.ORACLE[name], SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE)))
-def test_query_without_sql_has_rows(spark, name):
-    assert registry.QUERIES[name](spark, SF).count() > 0
+def test_every_query_has_its_sql():
+    assert set(registry.ORACLE) == set(registry.QUERIES)
 
 
 def test_every_sql_text_belongs_to_a_query():
