@@ -78,13 +78,53 @@ def of_known_jobs(messages: DataFrame, jobs: DataFrame) -> DataFrame:
     return messages.join(jobs.select("job_id"), "job_id", "left_semi")
 
 
+def arrival() -> list[F.Column]:
+    """Order of messages: offsets alone compare only within a partition."""
+    return [F.col("timestamp"), F.col("partition"), F.col("offset")]
+
+
+def message_outcomes(checked: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Every message with its ``outcome``: done, failed, skipped or dead_letter, and the ``reason``.
+
+    A message without a readable job id, or with an invalid payload for a job that nobody knows, is a
+    dead letter. A valid message settles its job, unless the job is done: then it is skipped, like
+    everything behind the message that settled it. Per job only the place of the first valid message
+    is computed and joined back, so a job with any number of messages is not put in order.
+    """
+    valid = F.col("quotes").isNotNull()
+    place = F.struct(*[c.alias(n) for n, c in zip(("t", "p", "o"), arrival())])
+    first = (
+        checked.filter(F.col("job_id").isNotNull() & valid)
+        .groupBy(F.col("job_id").alias("_job"))
+        .agg(F.min(place).alias("_first"))
+    )
+    known = jobs.select(F.col("job_id").alias("_known"), F.col("status").alias("_status"))
+    # A null id meets nobody; a value of its own keeps such messages from filling one task.
+    key = F.coalesce("job_id", F.concat(F.lit("\u0000"), F.col("partition"), F.lit("-"), F.col("offset")))
+    rows = checked.withColumn("_key", key)
+    rows = rows.join(first, F.col("_key") == F.col("_job"), "left")
+    rows = rows.join(known, F.col("_key") == F.col("_known"), "left")
+    outcome = (
+        F.when(F.col("job_id").isNull(), rules.DEAD_LETTER)
+        .when(F.col("_status").eqNullSafe(rules.DONE) | (place > F.col("_first")), rules.SKIPPED)
+        .when(valid, rules.DONE)
+        .when(F.col("_status").isNotNull(), rules.FAILED)
+        .otherwise(rules.DEAD_LETTER)
+    )
+    unreadable = F.when(F.col("job_id").isNull(), rules.UNREADABLE)
+    reason = F.when(outcome.isin(rules.DEAD_LETTER, rules.FAILED), F.coalesce(unreadable, F.lit(rules.PAYLOAD_ERROR)))
+    return rows.withColumns({"outcome": outcome, "reason": reason}).select(
+        *checked.columns, "outcome", "reason"
+    )
+
+
 def decide(checked: DataFrame, jobs: DataFrame) -> DataFrame:
     """What a batch of worker messages does to each job, one row per job that changes.
 
-    Messages of a job take effect in arrival order (``offset``): the first valid one settles the job
-    and later ones are skipped, so a job is ``done`` if any message is valid. An invalid payload only
-    fails a job that is known. Copies of a message are reduced inside each task before the shuffle,
-    and both sides of the join then have one row per job.
+    Messages of a job take effect in arrival order (:func:`arrival`): the first valid one settles the
+    job and later ones are skipped, so a job is ``done`` if any message is valid. An invalid payload
+    only fails a job that is known. Copies of a message are reduced inside each task before the
+    shuffle, and both sides of the join then have one row per job.
     """
     valid = F.col("quotes").isNotNull()
     # The first column of the ordering makes any valid message win over all invalid ones.
@@ -92,7 +132,7 @@ def decide(checked: DataFrame, jobs: DataFrame) -> DataFrame:
         checked.filter(F.col("job_id").isNotNull())
         .groupBy("job_id")
         .agg(
-            F.min_by(F.struct("quotes", "timestamp"), F.struct(~valid, F.col("offset"))).alias("_first"),
+            F.min_by(F.struct("quotes", "timestamp"), F.struct(~valid, *arrival())).alias("_first"),
             F.count(F.lit(1)).alias("messages"),
         )
         .select("job_id", "messages", "_first.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quoteflow import rules
 from quoteflow.operators import scan
@@ -45,24 +45,44 @@ def keyed(stats: DataFrame) -> DataFrame:
     )
 
 
-def accepted_in_grace(
+def added(partials: DataFrame) -> DataFrame:
+    """Totals per region and window from partial totals of disjoint sets of events."""
+    sums = [F.sum(c).alias(c) for c in ("quote_count", "item_count", "gross_amount_cents")]
+    return partials.groupBy("region", "window_start", "window_end").agg(*sums)
+
+
+def judged_in_grace(
     events: DataFrame,
     arrival: list[str],
     window: str = rules.WINDOW,
     grace: str = rules.GRACE,
     time: str = "timestamp",
     partition: str | None = None,
+    since: Column | None = None,
 ) -> DataFrame:
-    """Keep the events a record-at-a-time stream would keep, replayed exactly in arrival order.
+    """Add ``stream_time`` and ``late`` as a record-at-a-time stream would judge each event.
 
-    Stream time is the largest event time seen so far (per ``partition`` if given, else overall),
-    the event itself included. An event counts while its window's end is after stream time minus
-    grace. ``arrival`` must order the rows totally.
+    Stream time is the largest event time seen so far (per ``partition`` if given, else overall), the
+    event itself and what came before the first event (``since``) included. An event counts while its
+    window's end is after stream time minus grace. ``arrival`` must order the rows totally.
     """
     by = [partition] if partition else []
     timed = scan.running(events, arrival, {"stream_time": ("max", F.col(time))}, by=by)
+    if since is not None:
+        timed = timed.withColumn("stream_time", F.greatest("stream_time", since))
     window_end = F.window(time, window)["end"]
-    kept = timed.withColumn("_end", window_end).filter(
-        F.col("_end") > F.col("stream_time") - F.expr(f"INTERVAL {grace}")
-    )
-    return kept.drop("_end")
+    timed = timed.withColumn("_end", window_end)
+    late = F.col("_end") <= F.col("stream_time") - F.expr(f"INTERVAL {grace}")
+    return timed.withColumn("late", late).drop("_end")
+
+
+def accepted_in_grace(
+    events: DataFrame,
+    arrival: list[str],
+    window: str = rules.WINDOW,
+    grace: str = rules.GRACE,
+    time: str = "timestamp",
+    partition: str | None = None,
+) -> DataFrame:
+    """Keep the events a record-at-a-time stream would keep, replayed exactly in arrival order."""
+    return judged_in_grace(events, arrival, window, grace, time, partition).filter("not late").drop("late")

@@ -82,6 +82,20 @@ SELECT region || '@' || strftime(w, '%Y-%m-%dT%H:%M:%SZ') AS key, region,
        CAST(sum(gross_amount_cents) AS BIGINT) AS gross_amount_cents
 FROM {source} GROUP BY region, w"""
 
+_ARRIVAL = """
+arrival AS (
+  SELECT *, date_trunc('hour', ts) AS w,
+    max(ts) OVER (ORDER BY ts + to_minutes(e * 37 % 120), e, position
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_time
+  FROM quote_event
+)"""
+
+LATE_ROWS = sql.with_inputs(
+    sql.CHECKED + "," + _ARRIVAL,
+    """SELECT job_id, position, region, gross_amount_cents FROM arrival
+       WHERE w + INTERVAL 1 HOUR <= stream_time - INTERVAL 30 MINUTE""",
+)
+
 ORACLE = {
     "validate_jobs": sql.with_inputs(
         sql.CHECKED,
@@ -110,13 +124,9 @@ ORACLE = {
     ),
     "region_totals_with_grace": sql.with_inputs(
         sql.CHECKED
+        + ","
+        + _ARRIVAL
         + """,
-arrival AS (
-  SELECT *, date_trunc('hour', ts) AS w,
-    max(ts) OVER (ORDER BY ts + to_minutes(e * 37 % 120), e, position
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_time
-  FROM quote_event
-),
 kept AS (SELECT * FROM arrival WHERE w + INTERVAL 1 HOUR > stream_time - INTERVAL 30 MINUTE)""",
         _STATS.format(source="kept"),
     ),

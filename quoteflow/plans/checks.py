@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quoteflow import schemas, session
 from quoteflow.operators import diff, evolve, fanout, parse, pricing as P, reconcile, windows
-from quoteflow.plans import inputs, pricing, sql
+from quoteflow.plans import inputs, pricing, sql, streams as plan_streams
 from quoteflow.sinks.tables import KeyedTable
+from quoteflow.streaming import queries as streams
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,9 +86,20 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quote events accepted against the sum stored in the per-minute totals."""
+    """Quote events accepted against the stored totals of a stream, and again with a batch missing."""
+    root = session.scratch_path(spark, "reconcile")
     events = session.durable(_events(spark, sf_dir), "accepted")
-    return reconcile.totals(events, windows.region_totals(events), minimum=2)
+    number = F.substring("job_id", 5, 20).cast("bigint")
+    table = KeyedTable(spark, f"{root}/stats", schemas.REGION_STATS, ["region", "window_start"]).create()
+    source = plan_streams.in_files(events, f"{root}/topic", number % 3, 3)
+    streams.totals_in_order(source, table, f"{root}/checkpoint").awaitTermination()
+    writer = streams.writer_of(spark, f"{root}/checkpoint")
+    cases = {"stored": table.history(), "batch missing": table.history(without=(writer, 2))}
+    rows = [
+        reconcile.totals(events, stored, minimum=2).withColumn("case", F.lit(case))
+        for case, stored in cases.items()
+    ]
+    return rows[0].unionByName(rows[1])
 
 
 def region_gross(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,8 +186,10 @@ answers AS (
     ),
     "reconcile_totals": sql.with_inputs(
         sql.CHECKED,
-        """SELECT count(*) AS accepted, count(*) AS stored, true AS complete, count(*) >= 2 AS enough
-           FROM quote_event""",
+        """SELECT "case", (SELECT count(*) FROM quote_event) AS accepted, stored,
+             stored = (SELECT count(*) FROM quote_event) AS complete, stored >= 2 AS enough
+           FROM (SELECT 'stored' AS "case", count(*) AS stored FROM quote_event
+                 UNION ALL SELECT 'batch missing', count(*) FROM quote_event WHERE e % 3 <> 2)""",
     ),
     "region_gross": sql.with_inputs(
         sql.CHECKED,

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quoteflow import session
 from quoteflow.operators import contract, jobs
 from quoteflow.plans import inputs, pricing, sql
 from quoteflow.sinks import tables
+from quoteflow.sinks.tables import KeyedTable
 
 _NOW = "2024-01-20 00:00:00"
 
@@ -61,6 +63,13 @@ def job_status_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def job_message_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of every delivered message; their number is that of the messages."""
+    checked = contract.check_messages(_redelivered(spark, sf_dir))
+    rows = jobs.message_outcomes(checked, _states(spark, sf_dir))
+    return rows.select("offset", "outcome", "reason")
+
+
 def job_quotes_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A job's quotes read back by the ids listed in the job."""
     quotes, done = jobs.run(pricing.checked_messages(spark, sf_dir))
@@ -80,8 +89,19 @@ def _quote_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_quote_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = tables.latest_by(_quote_writes(spark, sf_dir), ["id"], F.col("version"))
-    return rows.select("id", "total", "version")
+    """Three batches of writes, each with several of a key, upserted into a stored table."""
+    writes = session.durable(_quote_writes(spark, sf_dir), "quote-writes")
+    table = KeyedTable(
+        spark,
+        session.scratch_path(spark, "latest-quotes"),
+        writes.select("id", "total", "version").schema,
+        ["id"],
+    ).create()
+    last = writes.agg(F.max("version")).first()[0] or 0
+    for batch in range(3):
+        rows = writes.filter(F.floor(F.col("version") * 3 / (last + 1)) == batch)
+        table.upsert(rows, batch, order=F.col("version"))
+    return table.latest()
 
 
 def ttl_live_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +118,7 @@ QUERIES = {
     "redelivery_skip": redelivery_skip,
     "poison_of_known_jobs": poison_of_known_jobs,
     "job_status_after_batch": job_status_after_batch,
+    "job_message_outcomes": job_message_outcomes,
     "job_quotes_in_order": job_quotes_in_order,
     "latest_quote_upsert": latest_quote_upsert,
     "ttl_live_quotes": ttl_live_quotes,
@@ -155,6 +176,21 @@ ORACLE = {
              CASE WHEN was IS DISTINCT FROM 'done' AND NOT valid AND readable THEN 'invalid job payload' END AS error
            FROM judged WHERE was IS NOT NULL OR valid""",
     ),
+    "job_message_outcomes": sql.with_inputs(
+        _BATCH
+        + """,
+delivered AS (
+  SELECT event_id AS e, event_id AS "offset", 1 AS nth FROM events
+  UNION ALL SELECT event_id, event_id + 1000000000000, 2 FROM events WHERE event_id % 10 = 0
+),
+fate AS (
+  SELECT d."offset", CASE WHEN NOT j.readable THEN 'dead_letter' WHEN j.was = 'done' OR (j.valid AND d.nth = 2) THEN 'skipped'
+    WHEN j.valid THEN 'done' WHEN j.was IS NOT NULL THEN 'failed' ELSE 'dead_letter' END AS outcome, j.readable
+  FROM delivered d JOIN judged j USING (e)
+)""",
+        """SELECT "offset", outcome, CASE WHEN outcome IN ('dead_letter', 'failed')
+             THEN CASE WHEN readable THEN 'invalid job payload' ELSE 'no readable job id' END END AS reason FROM fate""",
+    ),
     "job_quotes_in_order": sql.with_inputs(
         sql.PRICED, "SELECT job_id, position, id, CAST(total AS VARCHAR) AS total FROM priced"
     ),

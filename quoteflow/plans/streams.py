@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quoteflow import schemas, session
 from quoteflow.operators import fanout, windows
@@ -25,19 +25,54 @@ def _validated(spark: SparkSession, sf_dir: str, root: str) -> str:
     return f"{root}/outcomes"
 
 
+def _totals_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, schemas.REGION_STATS, ["region", "window_start"]).create()
+
+
 def stream_region_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages to validated rows to running totals, stored by region and window start."""
+    """Messages to validated rows to totals; no event of the replay is lost, however it is cut."""
     root = session.scratch_path(spark, "region-totals")
     outcomes = _validated(spark, sf_dir, root)
     requests = streams.requests_of(sources.committed(spark, outcomes, streaming=True))
-    keys = ["region", "window_start"]
-    table = KeyedTable(spark, f"{root}/stats", schemas.REGION_STATS, keys).create()
-    streams.region_stats(requests, table, f"{root}/totals").awaitTermination()
-    return windows.keyed(table.latest()).select(
+    table = _totals_table(spark, f"{root}/stats")
+    streams.totals_in_order(requests, table, f"{root}/totals").awaitTermination()
+    return windows.keyed(windows.added(table.history())).select(
         "key", "region", "quote_count", "item_count", "gross_amount_cents"
     )
 
 
+def in_files(rows: DataFrame, path: str, part: Column, parts: int) -> DataFrame:
+    """``rows`` as a stream of files, one per trigger, in the order of ``part`` (0 to ``parts`` - 1)."""
+    spark = rows.sparkSession
+    for number in range(parts):  # one after another: a file source goes by time of change
+        rows.filter(part == number).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrive after their window's grace, from a stream that keeps them apart."""
+    root = session.scratch_path(spark, "late-rows")
+    events = session.durable(analytics.late_events(spark, sf_dir), "late-events")
+    # Four files of equal spans of arrival time.
+    first, last = events.agg(F.min(F.unix_micros("arrived")), F.max(F.unix_micros("arrived"))).first()
+    span = max(1, ((last or 0) - (first or 0)) // 4 + 1)
+    part = F.floor((F.unix_micros("arrived") - F.lit(first or 0)) / span)
+    keys = ["job_id", "position"]
+    late = KeyedTable(spark, f"{root}/late", schemas.LATE_EVENT, keys).create()
+    clock = KeyedTable(spark, f"{root}/clock", schemas.STREAM_CLOCK, ["stream"], buckets=1).create()
+    streams.totals_in_order(
+        in_files(events, f"{root}/topic", part, 4),
+        _totals_table(spark, f"{root}/stats"),
+        f"{root}/checkpoint",
+        "1 hour",
+        "30 minutes",
+        ["arrived", "number", "position"],
+        late,
+        clock,
+    ).awaitTermination()
+    return late.history().select("job_id", "position", "region", "gross_amount_cents")
+
+
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters as committed by the validating stream."""
     root = session.scratch_path(spark, "dead-letters")
@@ -54,7 +89,7 @@ def stream_job_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jobs on record after the worker has consumed the message stream."""
     root = session.scratch_path(spark, "worker")
     job_table = KeyedTable(
-        spark, f"{root}/jobs", schemas.expiring(schemas.QUOTE_JOB), ["job_id"]
+        spark, f"{root}/jobs", schemas.expiring(schemas.QUOTE_JOB), ["job_id"], final="status = 'done'"
     ).create()
     quotes = KeyedTable(spark, f"{root}/quotes", schemas.expiring(schemas.QUOTE), ["id"]).create()
     states = inputs.job_states(inputs.events(spark, sf_dir))
@@ -69,12 +104,14 @@ def stream_job_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "stream_late_rows": stream_late_rows,
     "stream_region_totals": stream_region_totals,
     "stream_dead_letters": stream_dead_letters,
     "stream_job_worker": stream_job_worker,
 }
 
 ORACLE = {
+    "stream_late_rows": analytics.LATE_ROWS,
     "stream_region_totals": analytics.ORACLE["region_minute_totals"],
     "stream_dead_letters": analytics.ORACLE["dead_letters"],
     "stream_job_worker": job_plans.ORACLE["job_status_after_batch"],

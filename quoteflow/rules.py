@@ -87,3 +87,8 @@ P95_BUDGET_MS = 1000.0
 REQUESTS_METRIC = "probe_requests_total"
 ERRORS_METRIC = "probe_errors_total"
 LATENCY_METRIC = "probe_latency_p95_ms"
+
+# What becomes of a worker message besides ``done`` and ``failed``.
+SKIPPED = "skipped"
+DEAD_LETTER = "dead_letter"
+UNREADABLE = "no readable job id"

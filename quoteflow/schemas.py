@@ -87,3 +87,8 @@ SNAPSHOT = _struct(
     p95_ms=_DOUBLE,
     updated_at=_TIME,
 )
+MESSAGE_OUTCOME = _struct(
+    partition=_INT, offset=_LONG, key=_TEXT, value=_TEXT, job_id=_TEXT, outcome=_TEXT, reason=_TEXT
+)
+STREAM_CLOCK = _struct(stream=_TEXT, stream_time=_TIME)
+LATE_EVENT = T.StructType([*QUOTE_EVENT.fields, *_struct(timestamp=_TIME, stream_time=_TIME).fields])

@@ -1,13 +1,18 @@
 """Keyed tables on shared storage: append a batch of rows, read the latest row of each key.
 
-Plain Parquet has no in-place update. Each writer puts batch ``n`` into its own folder
-``writer=<name>/batch=<n>`` and replaces that folder when the batch is run again, so a retried batch
-leaves the same rows (exactly-once by key) and no write touches another batch. The last write wins:
-reading keeps the row of the latest ``stored_at`` per key.
+Plain Parquet has no in-place update. A writer puts each run of batch ``n`` into a folder of its own,
+``writer=<name>/batch=<n>/run=<id>``, and then publishes it with one empty marker file. Readers list
+the markers and read the newest run of every batch, so they see a batch whole or not at all, a
+repeated batch replaces itself, and no write touches a file that someone may be reading.
+
+Rows lie in hash buckets of their key, so that a lookup of some keys reads only their buckets.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -15,11 +20,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from quoteflow import rules
 
 EXPIRES = "expires_at"
-_BOOKKEEPING = ["stored_at", "writer", "batch"]
+BUCKETS = 16
+_WRITTEN = T.StructType().add("stored_at", "timestamp").add("writer", "string").add("batch", "long")
+# Where a row lies; a row that was merged keeps its own writer and batch.
+_PLACE = ["in_writer", "in_batch", "run", "bucket"]
+_MERGED = "merged"
 
 
 class KeyedTable:
-    """``keys`` identify a row; ``schema`` are its columns, ``defaults`` fill columns added later."""
+    """``keys`` identify a row; ``schema`` are its columns, ``defaults`` fill columns added later.
+
+    The last write of a key wins, by the writers' clocks. ``final`` is an SQL condition for rows that
+    no other row replaces, whatever the clocks say. ``buckets`` is fixed when the table is created.
+    """
 
     def __init__(
         self,
@@ -28,41 +41,58 @@ class KeyedTable:
         schema: T.StructType,
         keys: list[str],
         defaults: dict[str, object] | None = None,
+        final: str | None = None,
+        buckets: int = BUCKETS,
     ):
-        self.spark, self.path, self.schema, self.keys = spark, path, schema, keys
-        self.defaults = defaults or {}
+        self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, keys
+        self.defaults, self.final, self.buckets = defaults or {}, final, buckets
 
     def create(self) -> KeyedTable:
-        """Write an empty first batch, so that an unused table can be read."""
-        empty = self.spark.createDataFrame([], self.schema)
-        stamped = empty.withColumn("stored_at", F.current_timestamp())
-        stamped.write.mode("ignore").parquet(self._folder("create", 0))
+        """Record the number of buckets; an existing table must have the same."""
+        there = [name for name in self._names("layout") if name.startswith("buckets-")]
+        if there and there != [f"buckets-{self.buckets}"]:
+            raise ValueError(f"{self.path} has {there[0]}")
+        self._mark("layout", f"buckets-{self.buckets}")
         return self
 
-    def upsert(self, rows: DataFrame, batch: int, writer: str = "main") -> None:
-        """Insert or replace ``rows`` by key. Running the same batch again replaces it."""
+    def upsert(self, rows: DataFrame, batch: int, writer: str = "main", order: Column | None = None) -> None:
+        """Insert or replace ``rows`` by key. Running the same batch again replaces it.
+
+        With ``order`` the batch may hold several writes of a key, and its highest one counts.
+        """
         columns = self.schema.fieldNames()
-        stamped = rows.select(*columns, F.current_timestamp().alias("stored_at"))
-        stamped.write.mode("overwrite").parquet(self._folder(writer, batch))
-
-    def history(self, without: tuple[str, int] | None = None) -> DataFrame:
-        """Every written row, optionally without one (writer, batch); added columns get defaults."""
-        stored = T.StructType(list(self.schema.fields)).add("stored_at", "timestamp")
-        stored = stored.add("writer", "string").add("batch", "long")
-        rows = self.spark.read.schema(stored).parquet(self.path)
-        if without is not None:
-            rows = rows.filter(~((F.col("writer") == without[0]) & (F.col("batch") == without[1])))
+        rows = rows.select(*columns) if order is None else latest_by(
+            rows.select(*columns, order.alias("_order")), self.keys, F.col("_order")
+        ).drop("_order")
+        stamped = rows.withColumns(
+            {"stored_at": F.current_timestamp(), "writer": F.lit(writer), "batch": F.lit(batch).cast("long")}
+        )
+        self._write(stamped, writer, batch)
+
+    def history(
+        self, without: tuple[str, int] | None = None, only: DataFrame | None = None
+    ) -> DataFrame:
+        """Every published row, optionally without one (writer, batch), or of the keys in ``only``.
+
+        Added columns get their defaults.
+        """
+        runs = {at: run for at, run in self._runs().items() if at != without}
+        rows = self._read(runs)
+        if only is not None:
+            # At most as many numbers as the table has buckets; they prune the scan.
+            keys = only.select(*self.keys).distinct()
+            wanted = [str(r[0]) for r in keys.select(self._bucket()).distinct().collect()]
+            rows = rows.filter(F.col("bucket").isin(wanted))
+            rows = rows.join(keys, self.keys, "left_semi")
+        rows = rows.drop(*_PLACE)
         filled = {n: F.coalesce(F.col(n), F.lit(v)) for n, v in self.defaults.items()}
         return rows.withColumns(filled) if filled else rows
 
     def latest(
         self, without: tuple[str, int] | None = None, only: DataFrame | None = None
     ) -> DataFrame:
-        """The newest row of each key, or just of the keys in ``only`` (filtered before the shuffle)."""
-        rows = self.history(without)
-        if only is not None:
-            rows = rows.join(only.select(*self.keys).distinct(), self.keys, "left_semi")
-        return latest_by(rows, self.keys, F.struct("stored_at", "batch")).drop(*_BOOKKEEPING)
+        """The newest row of each key, or just of the keys in ``only``."""
+        return self._newest(self.history(without, only)).drop(*_WRITTEN.fieldNames())
 
     def live(
         self,
@@ -73,14 +103,102 @@ class KeyedTable:
         """Latest rows that have not expired at ``now``."""
         return not_expired(self.latest(without, only), now)
 
+    def compact(self, now: Column | datetime | None = None) -> None:
+        """Merge all batches but each writer's last, which may still be repeated, into one.
+
+        Keeps the newest row per key, and only live ones if ``now`` is given. The merged batches'
+        markers go after the new one is there: a reader in between sees rows twice, never none.
+        Their files stay for readers that have listed them, and :meth:`vacuum` deletes them.
+        """
+        runs = self._runs()
+        last: dict[str, int] = {}
+        for writer, batch in runs:
+            last[writer] = max(batch, last.get(writer, batch))
+        merged = {at: run for at, run in runs.items() if at[0] == _MERGED or at[1] < last[at[0]]}
+        if len(merged) < 2:
+            return
+        rows = self._newest(self._read(merged).drop(*_PLACE))
+        rows = rows if now is None else not_expired(rows, now)
+        self._write(rows, _MERGED, last.get(_MERGED, -1) + 1)
+        for name in self._names("published"):
+            writer, batch, _, _ = name.split("~")
+            if (writer, int(batch)) in merged:
+                self._delete(f"{self.path}/published/{name}")
+
+    def vacuum(self) -> None:
+        """Delete the files of runs that no marker publishes; no reader or writer may be active."""
+        known = {self._folder(*at, run) for at, run in self._runs().items()}
+        for writer in self._names("data"):
+            for batch in self._names(f"data/{writer}"):
+                for run in self._names(f"data/{writer}/{batch}"):
+                    folder = f"{self.path}/data/{writer}/{batch}/{run}"
+                    if folder not in known:
+                        self._delete(folder)
+
     def rewrite(self, path: str, now: Column | datetime | None = None) -> KeyedTable:
-        """Compact into a new table with one batch, leaving out expired rows if ``now`` is given."""
-        target = KeyedTable(self.spark, path, self.schema, self.keys, self.defaults).create()
+        """Copy the latest rows into a new table with one batch, without expired ones if ``now`` is given."""
+        target = KeyedTable(
+            self.spark, path, self.schema, self.keys, self.defaults, self.final, self.buckets
+        ).create()
         target.upsert(self.latest() if now is None else self.live(now), 0)
         return target
 
-    def _folder(self, writer: str, batch: int) -> str:
-        return f"{self.path}/writer={writer}/batch={batch}"
+    def _read(self, runs: dict[tuple[str, int], str]) -> DataFrame:
+        """The rows of these runs and where they lie."""
+        columns = T.StructType([*self.schema.fields, *_WRITTEN.fields])
+        columns = T.StructType(columns.fields + [T.StructField(c, T.StringType()) for c in _PLACE])
+        if not runs:
+            return self.spark.createDataFrame([], columns)
+        folders = [self._folder(*at, run) for at, run in runs.items()]
+        return self.spark.read.schema(columns).option("basePath", f"{self.path}/data").parquet(*folders)
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        settled = F.coalesce(F.expr(self.final), F.lit(False)) if self.final else F.lit(False)
+        return latest_by(rows, self.keys, F.struct(settled, "stored_at", "batch"))
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def _write(self, rows: DataFrame, writer: str, batch: int) -> None:
+        run = uuid.uuid4().hex
+        # One file per bucket; a batch of any size is dealt by the hash of its keys.
+        dealt = rows.withColumn("bucket", self._bucket()).repartition("bucket")
+        dealt.write.partitionBy("bucket").parquet(self._folder(writer, batch, run))
+        self._mark("published", f"{writer}~{batch}~{time.time_ns():020d}~{run}")
+
+    def _runs(self) -> dict[tuple[str, int], str]:
+        """The newest published run of every (writer, batch); as many entries as batches not merged."""
+        found: dict[tuple[str, int], tuple[str, str]] = {}
+        for name in self._names("published"):
+            writer, batch, at, run = name.split("~")
+            key = (writer, int(batch))
+            found[key] = max(found.get(key, ("", "")), (at, run))
+        kept = {key: run for key, (_, run) in found.items()}
+        return {k: run for k, run in kept.items() if self._exists(self._folder(*k, run))}
+
+    def _folder(self, writer: str, batch: int, run: str) -> str:
+        return f"{self.path}/data/in_writer={writer}/in_batch={batch}/run={run}"
+
+    def _fs(self, path: str):
+        made = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return made.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), made
+
+    def _exists(self, path: str) -> bool:
+        """Also whether it holds a bucket: an empty batch has none."""
+        fs, made = self._fs(path)
+        return fs.exists(made) and any(s.isDirectory() for s in fs.listStatus(made))
+
+    def _names(self, folder: str) -> Iterable[str]:
+        fs, made = self._fs(f"{self.path}/{folder}")
+        return [s.getPath().getName() for s in fs.listStatus(made)] if fs.exists(made) else []
+
+    def _mark(self, folder: str, name: str) -> None:
+        fs, made = self._fs(f"{self.path}/{folder}/{name}")
+        fs.create(made, True).close()
+
+    def _delete(self, path: str) -> None:
+        fs, made = self._fs(path)
+        fs.delete(made, True)
 
 
 def latest_by(rows: DataFrame, keys: list[str], version: Column) -> DataFrame:

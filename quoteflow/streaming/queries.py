@@ -1,22 +1,22 @@
 """The two streaming paths: region statistics from job messages, and the job worker.
 
 Every query has its own checkpoint. Outputs are either Spark's file sink, whose commit log makes it
-exactly-once, or keyed tables written by batch id, so a repeated batch replaces itself.
+exactly-once, or keyed tables written by the query's own id and batch, so a repeated batch replaces
+itself and neither a second query nor a new checkpoint touches what is stored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import json
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from quoteflow import rules
+from quoteflow import rules, session
 from quoteflow.operators import contract, fanout, jobs, parse, windows
 from quoteflow.sinks import tables
 from quoteflow.sinks.tables import KeyedTable
 
-# Name under which the worker writes its batches.
-WORKER = "worker"
-
 # Late rows must be judged by the current watermark. With chained stateful operators allowed, Spark
 # filters by the watermark of one batch earlier, which lets rows in after their window has closed.
 _CHAINED = "spark.sql.streaming.statefulOperator.allowMultiple"
@@ -28,6 +28,11 @@ def _trigger(writer: DataStreamWriter, available_now: bool, interval: str | None
     return writer.trigger(processingTime=interval) if interval else writer
 
 
+def writer_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the query of this checkpoint; a new checkpoint is a new writer."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def validate(
     messages: DataFrame,
     path: str,
@@ -73,6 +78,9 @@ def region_stats(
 ) -> StreamingQuery:
     """Running totals per region and window, upserted by region and window start.
 
+    For a live stream: what comes after its window's grace is gone. :func:`totals_in_order` replays
+    stored messages without losing any, and keeps late ones.
+
     Update mode: each batch writes the totals it changed, and the newest batch wins per key. With
     ``final_only`` a window is written once, when its grace period has passed. Spark judges lateness
     between batches; ``windows.accepted_in_grace`` is the exact per-record replay.
@@ -81,7 +89,7 @@ def region_stats(
     stats = windows.region_totals(events, window, grace)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, batch_id)
+        table.upsert(batch, batch_id, writer_of(spark, checkpoint))
 
     writer = stats.writeStream.outputMode("append" if final_only else "update").foreachBatch(write)
     writer = _trigger(writer.option("checkpointLocation", checkpoint), available_now, interval)
@@ -98,22 +106,75 @@ def region_stats(
             spark.conf.set(_CHAINED, before)
 
 
-def work_batch(messages: DataFrame, batch_id: int, quotes: KeyedTable, job_table: KeyedTable) -> None:
+def totals_in_order(
+    events: DataFrame,
+    partials: KeyedTable,
+    checkpoint: str,
+    window: str = rules.WINDOW,
+    grace: str | None = None,
+    arrival: list[str] | None = None,
+    late: KeyedTable | None = None,
+    clock: KeyedTable | None = None,
+    available_now: bool = True,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Partial totals per batch, which add up (``windows.added``) to the totals of all events.
+
+    Without ``grace`` every event counts, however the replay is cut into batches. With it, each event
+    is judged by the record before it in ``arrival`` order, as ``windows.judged_in_grace`` does in
+    batch: stream time is carried over in ``clock``, and what is too late goes to ``late``. The result
+    does not depend on the cut, as long as batches arrive in order.
+    """
+    spark = events.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer = writer_of(spark, checkpoint)
+        if grace is not None:
+            before = clock.latest(without=(writer, batch_id)).filter(F.col("stream") == writer)
+            since = before.agg(F.max("stream_time")).first()[0]
+            since = F.lit(since).cast("timestamp")
+            stored = session.durable(batch, "in-order")
+            judged = session.durable(
+                windows.judged_in_grace(stored, arrival, window, grace, since=since), "judged"
+            )
+            late.upsert(judged.filter("late"), batch_id, writer)
+            time = judged.agg(F.max("stream_time").alias("stream_time"))
+            clock.upsert(time.withColumn("stream", F.lit(writer)), batch_id, writer)
+            batch = judged.filter("not late")
+        partials.upsert(windows.region_totals(batch, window), batch_id, writer)
+
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, available_now, interval).start()
+
+
+def work_batch(
+    messages: DataFrame,
+    batch_id: int,
+    quotes: KeyedTable,
+    job_table: KeyedTable,
+    writer: str = "worker",
+    outcomes: KeyedTable | None = None,
+) -> None:
     """Apply one batch of job messages: quotes first, then the jobs that list them.
 
     A crash between the two writes is repaired by the repeated batch: derived ids rewrite the same
-    quotes. State written by this batch itself is left out when it runs again.
+    quotes. State written by this batch itself is left out when it runs again. ``outcomes`` gets a
+    row for every message, dead letters with their value.
     """
     now = F.current_timestamp()
     # Parsed once, for the ids to look up and for the work itself.
     checked = contract.check_messages(messages).persist()
-    earlier = job_table.live(now, without=(WORKER, batch_id), only=checked)
+    earlier = job_table.live(now, without=(writer, batch_id), only=checked.filter("job_id is not null"))
     decided = jobs.decide(checked, earlier).persist()
     try:
+        if outcomes is not None:
+            rows = jobs.message_outcomes(checked, earlier)
+            dead = F.when(F.col("outcome") == rules.DEAD_LETTER, F.col("value"))
+            outcomes.upsert(rows.withColumn("value", dead), batch_id, writer)
         quote_rows, job_rows = jobs.settled(decided)
         quote_rows = tables.with_expiry(quote_rows.drop("job_id", "position"), now)
-        quotes.upsert(quote_rows, batch_id, WORKER)
-        job_table.upsert(tables.with_expiry(job_rows, now), batch_id, WORKER)
+        quotes.upsert(quote_rows, batch_id, writer)
+        job_table.upsert(tables.with_expiry(job_rows, now), batch_id, writer)
     finally:
         decided.unpersist()
         checked.unpersist()
@@ -126,11 +187,20 @@ def job_worker(
     checkpoint: str,
     available_now: bool = True,
     interval: str | None = None,
+    outcomes: KeyedTable | None = None,
+    compact_every: int = 100,
 ) -> StreamingQuery:
-    """Price the jobs of a message stream; redelivered jobs that are done are skipped."""
+    """Price the jobs of a message stream; redelivered jobs that are done are skipped.
+
+    Every ``compact_every`` batches the tables are compacted, so that a lookup reads few files.
+    """
+    spark = messages.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        work_batch(batch, batch_id, quotes, job_table)
+        work_batch(batch, batch_id, quotes, job_table, writer_of(spark, checkpoint), outcomes)
+        if (batch_id + 1) % compact_every == 0:
+            quotes.compact()
+            job_table.compact()
 
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, interval).start()

@@ -20,7 +20,9 @@ NOW = F.current_timestamp
 @pytest.fixture
 def store(spark, tmp_path):
     quotes = KeyedTable(spark, str(tmp_path / "quotes"), schemas.expiring(schemas.QUOTE), ["id"]).create()
-    job_table = KeyedTable(spark, str(tmp_path / "jobs"), schemas.expiring(schemas.QUOTE_JOB), ["job_id"]).create()
+    job_table = KeyedTable(
+        spark, str(tmp_path / "jobs"), schemas.expiring(schemas.QUOTE_JOB), ["job_id"], final="status = 'done'"
+    ).create()
     return quotes, job_table
 
 
@@ -169,3 +171,66 @@ def test_lookup_and_expiry(spark, store):
     kept = store[0].rewrite(store[0].path + "-kept")
     purged = store[0].rewrite(store[0].path + "-purged", later)
     assert (kept.latest().count(), purged.latest().count()) == (1, 0)
+
+
+def test_every_message_has_one_outcome(spark, store, tmp_path):
+    bad = {**QUOTE, "items": []}
+    outcomes = KeyedTable(
+        spark, str(tmp_path / "outcomes"), schemas.MESSAGE_OUTCOME, ["partition", "offset"]
+    ).create()
+    pending(spark, store[1], "known", 1)
+    work(spark, store, 0, job("finished", QUOTE))
+    messages = [
+        job("finished", QUOTE),
+        job("finished", bad),
+        job("known", bad),
+        job("known", QUOTE),
+        job("known", QUOTE),
+        job("known", bad),
+        job("new", bad),
+        job("new", QUOTE),
+        ("x", "{bad"),
+        ("y", None),
+    ]
+    rows = batch(spark, *messages)
+    for _ in range(2):  # the batch again gives the same
+        streams.work_batch(rows, 1, *store, outcomes=outcomes)
+        got = {r.offset: (r.outcome, r.reason, r.value is None) for r in outcomes.latest().collect()}
+        assert [got[n][0] for n in range(10)] == [
+            "skipped", "skipped", "failed", "done", "skipped", "skipped", "dead_letter", "done", "dead_letter", "dead_letter",
+        ]
+    assert got[6][1:] == ("invalid job payload", False) and got[8][1:] == ("no readable job id", False)
+    assert all(got[n][2] for n in range(6))
+
+
+def test_done_stays_when_another_writers_clock_is_ahead(spark, store):
+    work(spark, store, 0, job("j", QUOTE))
+    pending(spark, store[1], "j", 1, 5)  # written later: without the rule it would win
+    assert state(store[1])["j"].status == "done"
+
+
+def test_messages_go_by_time_then_partition_then_offset(spark, store):
+    rows = [
+        ("j", json.dumps({"job_id": "j", "quotes": [QUOTE] * n}), datetime(2024, 5, 1, hour), "quote-jobs", part, offset, None)
+        for n, hour, part, offset in ((2, 2, 0, 1), (3, 1, 1, 9), (1, 1, 0, 10))
+    ]
+    streams.work_batch(spark.createDataFrame(rows, schemas.MESSAGE), 0, *store)
+    assert state(store[1])["j"].total_requests == 1
+
+
+def test_two_checkpoints_into_one_table_keep_both(spark, store, tmp_path):
+    for name in ("a", "b"):
+        source = str(tmp_path / f"topic-{name}")
+        batch(spark, job(name, QUOTE)).write.parquet(source)
+        streams.job_worker(sources.replay(spark, source), *store, str(tmp_path / f"check-{name}")).awaitTermination()
+    assert set(state(store[1])) == {"a", "b"} and store[0].latest().count() == 2
+
+
+def test_worker_reads_many_files_one_at_a_time(spark, store, tmp_path):
+    source = str(tmp_path / "topic")
+    for n in range(5):
+        batch(spark, job(f"j{n}", QUOTE), job("same", QUOTE)).coalesce(1).write.mode("append").parquet(source)
+    stream = sources.replay(spark, source, files_per_batch=1)
+    streams.job_worker(stream, *store, str(tmp_path / "check"), compact_every=2).awaitTermination()
+    assert set(state(store[1])) == {f"j{n}" for n in range(5)} | {"same"}
+    assert store[0].latest().count() == 6

@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from quoteflow import schemas
+from quoteflow import schemas, session
 from quoteflow.operators import diff, evolve, fanout, parse, reconcile
 from quoteflow.sinks import jdbc, kafka
 from quoteflow.sinks.tables import KeyedTable, latest_by
@@ -56,6 +56,62 @@ def test_last_write_wins_and_batches_are_replaced(spark, tmp_path):
     assert compacted.history().count() == 2
 
 
+def test_an_order_decides_between_writes_of_one_batch(spark, tmp_path):
+    schema = T.StructType().add("k", "string").add("v", "integer")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
+    rows = spark.createDataFrame([("a", n) for n in range(40)], schema).repartition(5)
+    table.upsert(rows, 0, order=F.col("v"))
+    assert [tuple(r) for r in table.history().select("k", "v").collect()] == [("a", 39)]
+
+
+def test_a_lookup_reads_the_buckets_of_its_keys_only(spark, tmp_path):
+    schema = T.StructType().add("k", "long").add("v", "long")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
+    table.upsert(spark.range(2000).select(F.col("id").alias("k"), F.col("id").alias("v")), 0)
+    wanted = spark.createDataFrame([(7,)], "k long")
+    rows = table.latest(only=wanted)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan
+    scanned = {f.split("bucket=")[1].split("/")[0] for f in table.history(only=wanted).inputFiles()}
+    assert [tuple(r) for r in rows.collect()] == [(7, 7)] and len(scanned) <= 16
+    with pytest.raises(ValueError, match="buckets-16"):
+        KeyedTable(spark, str(tmp_path / "t"), schema, ["k"], buckets=4).create()
+
+
+def test_compaction_keeps_the_newest_rows_and_repeats_still_replace(spark, tmp_path):
+    schema = T.StructType().add("k", "string").add("v", "integer")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
+    for n in range(5):
+        table.upsert(spark.createDataFrame([("a", n), (f"k{n}", n)], schema), n)
+    want = {("a", 4)} | {(f"k{n}", n) for n in range(5)}
+    for _ in range(2):
+        table.compact()
+        table.vacuum()
+        assert {(r.k, r.v) for r in table.latest().collect()} == want
+    assert table.history().count() == 7  # the merged rows and the last batch
+    table.upsert(spark.createDataFrame([("a", 9)], schema), 4)
+    assert {r.k: r.v for r in table.latest().collect()}["a"] == 9
+
+
+def test_an_unpublished_run_is_not_seen(spark, tmp_path):
+    schema = T.StructType().add("k", "string").add("v", "integer")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
+    table.upsert(spark.createDataFrame([("a", 1)], schema), 0)
+    half = spark.createDataFrame([("a", 2, 0)], "k string, v int, bucket int")
+    half.write.partitionBy("bucket").parquet(table._folder("main", 1, "crashed"))
+    assert [r.v for r in table.latest().collect()] == [1]
+
+
+def test_intermediate_tables_can_be_cleaned_up(spark):
+    import os
+
+    kept = session.durable(spark.range(3), "cleaned")
+    path = kept.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    session.clean(spark)
+    assert not os.path.exists(path)
+
+
 def test_latest_of_a_hot_key(spark):
     rows = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("k"), F.col("id").alias("v")

@@ -118,6 +118,54 @@ def test_poison_does_not_advance_stream_time(spark):
     assert windows.accepted_in_grace(arriving, ["n", "position"]).count() == 4
 
 
+@pytest.mark.parametrize("files", [1, 4])
+def test_a_backfill_in_any_cut_equals_the_batch_totals(spark, tmp_path, files):
+    """Files out of event order, one per batch: every event counts."""
+    times = ["10:05:00", "10:00:05", "10:09:00", "10:00:10", "10:02:00", "10:00:59", "10:05:30", "09:00:00"]
+    source = str(tmp_path / "topic")
+    for n in range(4):
+        frame(spark, times[2 * n : 2 * n + 2]).coalesce(1).write.mode("append").parquet(source)
+    table = KeyedTable(spark, str(tmp_path / "stats"), schemas.REGION_STATS, ["region", "window_start"]).create()
+    stream = fanout.quote_events(parse.validated(sources.replay(spark, source, files_per_batch=files)))
+    streams.totals_in_order(stream, table, str(tmp_path / "check")).awaitTermination()
+    whole = windows.region_totals(fanout.quote_events(parse.validated(spark.read.parquet(source))))
+    got = windows.added(table.history()).select(whole.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+
+
+@pytest.mark.parametrize("files", [1, 2, 5])
+@pytest.mark.parametrize("times, expected", LATE)
+def test_late_rows_are_kept_apart_in_any_cut(spark, tmp_path, times, expected, files):
+    source = str(tmp_path / "topic")
+    for n, time in enumerate(times):
+        one = frame(spark, [time]).withColumn("offset", F.lit(n).cast("long"))
+        one.coalesce(1).write.mode("append").parquet(source)
+    stream = sources.replay(spark, source, files_per_batch=files)
+    checked = parse.validated(stream)
+    events = checked.select("offset", "timestamp", F.explode("events").alias("e")).select("e.*", "offset", "timestamp")
+    table = KeyedTable(spark, str(tmp_path / "stats"), schemas.REGION_STATS, ["region", "window_start"]).create()
+    late = KeyedTable(spark, str(tmp_path / "late"), schemas.LATE_EVENT, ["job_id", "position"]).create()
+    clock = KeyedTable(spark, str(tmp_path / "clock"), schemas.STREAM_CLOCK, ["stream"], buckets=1).create()
+    streams.totals_in_order(
+        events, table, str(tmp_path / "check"), grace="30 seconds", arrival=["offset", "position"], late=late, clock=clock
+    ).awaitTermination()
+    stats = windows.added(table.history())
+    row = stats.filter("region = 'IN' and minute(window_start) = 0").collect()[0]
+    assert row.quote_count == expected
+    assert stats.agg(F.sum("quote_count")).first()[0] + late.history().count() == 2 * len(times)
+
+
+def test_a_table_stored_as_a_folder_streams_like_a_file(spark, tmp_path):
+    from quoteflow.plans import streams as plans
+
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    raw = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    raw.repartition(4).write.parquet(f"{many}/events.parquet")
+    got = plans.stream_region_totals(spark, many).collect()
+    want = plans.stream_region_totals(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and got
+
+
 def test_durable_tables_go_to_the_configured_folder(spark):
     assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
