@@ -509,7 +509,8 @@ def _qty_issue(line: Column, is_object: Column, loc: Column) -> Column:
         ),
         _issue(is_object & number.isNull(), loc, "int_type", "Input should be a valid integer", shown),
         _issue(
-            number != F.floor(number),
+            # floor() of a double would stop at the largest bigint; the remainder is right at any size.
+            number % 1 != 0,
             loc,
             "int_from_float",
             "Input should be a valid integer, got a number with a fractional part",

@@ -6,7 +6,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quoteflow import rules
 
-_JSON_VALUE = r'"(?:[^"\\]|\\.)*"|\[[^\]]*\]|null|true|false|-?[0-9.eE+-]+'
+_DEPTH = 24
+
+
+def _json_value(depth: int = _DEPTH) -> str:
+    """Any JSON value; a list or object with up to ``depth`` levels inside. The pattern never goes back."""
+    text = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    nested = ""
+    for _ in range(depth):
+        nested = rf'[\[{{](?:[^\[\]{{}}"]++|{text}{"|" + nested if nested else ""})*+[\]}}]'
+    return rf'{text}|{nested}|[^\s,\[\]{{}}"]++'
 
 
 def mask(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -16,10 +25,10 @@ def mask(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def mask_json(body: Column) -> Column:
-    """The same for JSON text, at any depth."""
+    """The same for JSON text: members of these names at any depth, whatever their value."""
     fields = "|".join(rules.VOLATILE_FIELDS)
     return F.regexp_replace(
-        body, rf'"({fields})"\s*:\s*(?:{_JSON_VALUE})', f'"$1":"{rules.VOLATILE_MARK}"'
+        body, rf'"({fields})"\s*:\s*(?:{_json_value()})', f'"$1":"{rules.VOLATILE_MARK}"'
     )
 
 
@@ -57,6 +66,9 @@ def key_changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFra
 
 
 def distinct_bodies(responses: DataFrame, by: list[str]) -> DataFrame:
-    """Number of different masked bodies per group; one when every backend answers alike."""
-    masked = mask_json(F.col("body"))
+    """Number of different masked bodies per group; one when every backend answers alike.
+
+    Digests go through the shuffle, not the bodies.
+    """
+    masked = F.sha2(mask_json(F.col("body")), 256)
     return responses.groupBy(*by).agg(F.count_distinct(masked).alias("bodies"))

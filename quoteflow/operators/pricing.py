@@ -127,7 +127,8 @@ QUOTE_COLUMNS = [
 
 
 def price_lines(lines: DataFrame, key: str) -> DataFrame:
-    """Subtotals of requests kept as flat rows (``key``, ``qty``, ``unit_price``), and ``valid``.
+    """Subtotals of requests kept as flat rows (``key``, ``qty``, ``unit_price``), and ``reject``: why a
+    request is invalid, null if it is not.
 
     Never gathers the lines of a request: each task adds up its own rows first, so an order of any
     size reaches the shuffle as one row per task.
@@ -141,8 +142,10 @@ def price_lines(lines: DataFrame, key: str) -> DataFrame:
         F.count_if(F.coalesce(bad, F.lit(True))).alias("_bad"),
         F.sum(line_total(F.col("unit_price"), F.col("qty"))).cast(MONEY).alias("subtotal"),
     )
-    valid = (F.col("_bad") == 0) & (F.col("lines") <= rules.MAX_ITEMS)
-    return totals_.select(key, "lines", "subtotal", valid.alias("valid"))
+    reject = F.when(F.col("lines") > rules.MAX_ITEMS, rules.TOO_MANY_ITEMS).when(
+        F.col("_bad") > 0, rules.ITEM_OUT_OF_RANGE
+    )
+    return totals_.select(key, "lines", "subtotal", reject.alias("reject"))
 
 
 def quote_body() -> Column:

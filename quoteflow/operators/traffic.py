@@ -249,9 +249,13 @@ def health_changes(log: DataFrame, thresholds: dict[str, int] | None = None) ->
     )
 
 
-def failure_kind(status: Column) -> Column:
-    """Failure kind of a log row: unreachable is a tcp failure, a server error an http failure."""
-    return F.when(status.isNull(), "tcp").when(status >= 500, "http")
+def failure_kind(status: Column, latency_ms: Column | None = None, timeout_ms: float | None = None) -> Column:
+    """Failure kind of a log row: unreachable is a tcp failure, an answer after ``timeout_ms`` a
+    timeout, a server error an http failure."""
+    kind = F.when(status.isNull(), "tcp")
+    if timeout_ms is not None:
+        kind = kind.when(latency_ms > timeout_ms, "timeout")
+    return kind.when(status >= 500, "http")
 
 
 def unauthenticated(log: DataFrame, consumers: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quoteflow import rules
 from quoteflow.functions import decimals, ids
 from quoteflow.operators import contract, fanout, jobs, pricing
 from quoteflow.plans import inputs, sql
@@ -66,7 +67,7 @@ def price_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    subtotals = pricing.price_lines(inputs.order_lines(spark, sf_dir), "order_id").filter("valid")
+    subtotals = pricing.price_lines(inputs.order_lines(spark, sf_dir), "order_id").filter("reject is null")
     headers = inputs.order_headers(spark, sf_dir).filter(F.col("region").isin("IN", "US", "EU"))
     return pricing.totals(subtotals.join(headers, "order_id"))
 
@@ -83,6 +84,19 @@ def price_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that are not priced, and why; with ``price_orders`` they are all orders."""
+    lines = pricing.price_lines(inputs.order_lines(spark, sf_dir), "order_id")
+    headers = inputs.order_headers(spark, sf_dir)
+    rows = headers.join(lines, "order_id", "left")
+    reason = F.coalesce(
+        F.when(~F.col("region").isin("IN", "US", "EU"), rules.REGION_WITHOUT_PRICES),
+        F.when(F.col("lines").isNull(), rules.NO_ITEMS),
+        F.col("reject"),
+    )
+    return rows.select("order_id", "region", reason.alias("reason")).filter("reason is not null")
+
+
 def order_market_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priced order totals per region and coupon code."""
     quotes = _order_quotes(spark, sf_dir)
@@ -107,6 +121,7 @@ QUERIES = {
     "priced_totals_by_region_coupon": priced_totals_by_region_coupon,
     "price_order_lines": price_order_lines,
     "price_orders": price_orders,
+    "order_rejects": order_rejects,
     "order_market_totals": order_market_totals,
     "derived_quote_ids": derived_quote_ids,
 }
@@ -178,6 +193,16 @@ ORACLE = {
              CAST(shipping AS VARCHAR) AS shipping, CAST(total AS VARCHAR) AS total
            FROM totals""",
     ),
+    "order_rejects": "WITH " + _HEADERS + """,
+per_order AS (
+  SELECT order_id, count(*) AS lines, count(*) FILTER
+    (WHERE unit_price NOT BETWEEN 0.01 AND 100000 OR qty NOT BETWEEN 1 AND 1000) AS bad FROM line GROUP BY order_id
+)
+SELECT * FROM (
+  SELECT order_id, region, CASE WHEN region NOT IN ('IN', 'US', 'EU') THEN 'region without prices'
+    WHEN lines IS NULL THEN 'no items' WHEN lines > 100 THEN 'more than 100 items'
+    WHEN bad > 0 THEN 'item out of range' END AS reason
+  FROM header LEFT JOIN per_order USING (order_id)) WHERE reason IS NOT NULL""",
     "order_market_totals": sql.with_inputs(
         _PRICED_ORDERS,
         """SELECT region, code, count(*) AS orders, CAST(sum(subtotal) AS VARCHAR) AS subtotal,

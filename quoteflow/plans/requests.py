@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quoteflow import rules
 from quoteflow.operators import contract, jobs
 from quoteflow.plans import inputs, pricing, sql
 from quoteflow.sources import tables as lookups
@@ -56,6 +57,15 @@ def lookup_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("job_id", "id", "status", "detail", "total")
 
 
+def lookup_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Look up every job; those that are not on record give 404."""
+    rows = inputs.events(spark, sf_dir)
+    asked = rows.select(F.concat(F.lit("job-"), F.col("e")).alias("job_id"))
+    states = inputs.job_states(rows).select("job_id", F.col("status").alias("job_status"))
+    found = contract.lookup_outcome(lookups.lookup(asked, states, "job_id"), rules.JOB_NOT_FOUND)
+    return found.select("job_id", "status", "detail", "job_status")
+
+
 def normalized_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid = pricing.checked_messages(spark, sf_dir).filter(
         F.col("job_id").isNotNull() & F.col("quotes").isNotNull()
@@ -70,6 +80,7 @@ QUERIES = {
     "issues_by_type": issues_by_type,
     "request_outcomes": request_outcomes,
     "lookup_quotes": lookup_quotes,
+    "lookup_jobs": lookup_jobs,
     "normalized_messages": normalized_messages,
 }
 
@@ -169,6 +180,11 @@ asked AS (
              CASE WHEN p.id IS NULL THEN 'Quote not found' END AS detail, CAST(p.total AS VARCHAR) AS total
            FROM asked a LEFT JOIN priced p ON p.job_id = a.job_id AND p.position = 0""",
     ),
+    "lookup_jobs": """
+        SELECT 'job-' || e AS job_id, CASE WHEN s IS NULL THEN 404 ELSE 200 END AS status,
+          CASE WHEN s IS NULL THEN 'Job not found' END AS detail, s AS job_status
+        FROM (SELECT event_id AS e, CASE WHEN event_id % 7 = 0 THEN 'done' WHEN event_id % 3 = 1 THEN 'pending' END AS s
+              FROM events)""",
     "normalized_messages": sql.with_inputs(
         sql.CONTRACT_VALID
         + """,

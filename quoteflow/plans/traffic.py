@@ -10,6 +10,7 @@ from quoteflow.plans import inputs, sql
 
 _DAY_LIMIT = 3
 _WARMUP = 20
+_CHECK_TIMEOUT_MS = 100.0
 _MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -103,6 +104,17 @@ def backend_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traffic.health_changes(log).select("seq", "backend", "state")
 
 
+def backend_active_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health by active checks: fewer failures count, and answers that come too late."""
+    log = inputs.request_log(spark, sf_dir).select(
+        "seq",
+        "ts",
+        traffic.backend_name(F.col("backend")).alias("backend"),
+        traffic.failure_kind(F.col("status"), F.col("latency_ms"), _CHECK_TIMEOUT_MS).alias("failure"),
+    )
+    return traffic.health_changes(log, rules.ACTIVE_FAILURES_TO_UNHEALTHY).select("seq", "backend", "state")
+
+
 def unauthenticated(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = traffic.unauthenticated(_log(spark, sf_dir), inputs.consumers(spark, sf_dir))
     return rows.select("seq", "consumer", "api_key")
@@ -131,6 +143,7 @@ QUERIES = {
     "split_after_change": split_after_change,
     "rate_limit_excess": rate_limit_excess,
     "backend_health": backend_health,
+    "backend_active_health": backend_active_health,
     "unauthenticated": unauthenticated,
     "request_id_gaps": request_id_gaps,
     "status_metrics": status_metrics,
@@ -281,6 +294,30 @@ streaks AS (
 states AS (
   SELECT seq, named, ts, NOT failed AS healthy_row, failed AND (http >= 3 OR tcp >= 2) AS down FROM streaks
 ),
+changes AS (
+  SELECT seq, named, down, coalesce(lag(down) OVER (PARTITION BY named ORDER BY ts, seq), false) AS was FROM states
+)""",
+        """SELECT seq, named AS backend, CASE WHEN down THEN 'unhealthy' ELSE 'healthy' END AS state
+           FROM changes WHERE down <> was""",
+    ),
+    "backend_active_health": sql.with_inputs(
+        _LOG
+        + """,
+checks AS (
+  SELECT seq, named, ts, CASE WHEN status IS NULL THEN 'tcp' WHEN latency_ms > 100 THEN 'timeout'
+    WHEN status >= 500 THEN 'http' END AS kind FROM log
+),
+runs AS (
+  SELECT *, count(*) FILTER (WHERE kind IS NULL) OVER (PARTITION BY named ORDER BY ts, seq
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS epoch FROM checks
+),
+streaks AS (
+  SELECT *, row_number() OVER (PARTITION BY named, epoch, kind ORDER BY ts, seq) AS nth FROM runs
+),
+states AS (
+  SELECT *, kind IS NOT NULL AND coalesce(max(CASE WHEN kind IS NOT NULL THEN nth END) OVER (PARTITION BY named, epoch
+    ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) >= 2 AS down FROM streaks
+),
 changes AS (
   SELECT seq, named, down, coalesce(lag(down) OVER (PARTITION BY named ORDER BY ts, seq), false) AS was FROM states
 )""",

@@ -92,3 +92,9 @@ LATENCY_METRIC = "probe_latency_p95_ms"
 SKIPPED = "skipped"
 DEAD_LETTER = "dead_letter"
 UNREADABLE = "no readable job id"
+
+# Why an order is not priced.
+NO_ITEMS = "no items"
+TOO_MANY_ITEMS = "more than 100 items"
+ITEM_OUT_OF_RANGE = "item out of range"
+REGION_WITHOUT_PRICES = "region without prices"

@@ -82,3 +82,42 @@ def write(
     # The database, not the cluster, bounds how many connections are wise. Rows are repartitioned, so
     # that the work before this point keeps its own parallelism.
     rows.repartition(connections).foreachPartition(write_partition)
+
+
+class RelationalTable:
+    """A relational table as the sink of a stream: created and grown by the sink itself.
+
+    Takes the place of a ``KeyedTable`` in ``streaming.queries.region_stats``. A repeated batch repeats
+    its upserts, which changes nothing.
+    """
+
+    def __init__(
+        self,
+        connect: Callable[[], object],
+        table: str,
+        schema: T.StructType,
+        keys: list[str],
+        mark: str = "%s",
+        connections: int = 8,
+    ):
+        self.connect, self.table, self.schema, self.keys = connect, table, schema, keys
+        self.mark, self.connections = mark, connections
+
+    def create(self) -> RelationalTable:
+        """Create the table, and add the columns that an older one lacks."""
+        connection = self.connect()
+        try:
+            cursor = connection.cursor()
+            cursor.execute(create_statement(self.table, self.schema, self.keys))
+            cursor.execute(f"SELECT * FROM {self.table} WHERE 1 = 0")
+            existing = [column[0] for column in cursor.description]
+            for statement in evolve_statements(self.table, existing, self.schema):
+                cursor.execute(statement)
+            connection.commit()
+        finally:
+            connection.close()
+        return self
+
+    def upsert(self, rows: DataFrame, batch: int, writer: str = "main") -> None:
+        columns = self.schema.fieldNames()
+        write(rows.select(*columns), self.connect, self.table, self.keys, self.mark, connections=self.connections)

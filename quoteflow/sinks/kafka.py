@@ -49,3 +49,16 @@ def producer_options(brokers: str, topic: str) -> dict[str, str]:
 def publish(rows: DataFrame, brokers: str, topic: str = rules.JOBS_TOPIC) -> None:
     writer = rows.write.format("kafka").options(**producer_options(brokers, topic))
     (writer.option("includeHeaders", "true") if "headers" in rows.columns else writer).save()
+
+
+class KeyedTopic:
+    """A topic as the sink of region totals: the newest record of a key counts, so repeats do no harm.
+
+    ``send`` takes the rows; :func:`publish` is the one that writes to Kafka.
+    """
+
+    def __init__(self, send: Callable[[DataFrame], None], encode: Callable[[Column], Column] = as_json):
+        self.send, self.encode = send, encode
+
+    def upsert(self, rows: DataFrame, batch: int, writer: str = "main") -> None:
+        self.send(region_stats(rows, self.encode))

@@ -15,6 +15,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from quoteflow import rules, session
 from quoteflow.operators import contract, fanout, jobs, parse, windows
 from quoteflow.sinks import tables
+from quoteflow.sinks.jdbc import RelationalTable
+from quoteflow.sinks.kafka import KeyedTopic
 from quoteflow.sinks.tables import KeyedTable
 
 # Late rows must be judged by the current watermark. With chained stateful operators allowed, Spark
@@ -68,7 +70,7 @@ def dead_letters_of(outcomes: DataFrame) -> DataFrame:
 
 def region_stats(
     events: DataFrame,
-    table: KeyedTable,
+    table: KeyedTable | RelationalTable | KeyedTopic,
     checkpoint: str,
     window: str = rules.WINDOW,
     grace: str = rules.GRACE,

@@ -168,3 +168,19 @@ def test_messages_without_job_id_are_left_to_the_dead_letters(spark):
     assert checked.filter("job_id is not null").count() == 0
     quotes, done = jobs.run(checked.withColumn("timestamp", F.current_timestamp()))
     assert quotes.count() == 0 and done.count() == 0
+
+
+@pytest.mark.parametrize(
+    "qty, kind",
+    [
+        ("10000000000000000000", "less_than_equal"),
+        ("1e30", "less_than_equal"),
+        ('"' + "9" * 30 + '"', "less_than_equal"),
+        ("1000.5", "int_from_float"),
+        ("-1e30", "greater_than_equal"),
+    ],
+)
+def test_quantities_of_any_size_get_the_right_error(spark, qty, kind):
+    body = f'{{"region": "EU", "items": [{{"sku": "s", "qty": {qty}, "unit_price": "1.00"}}]}}'
+    checked = contract.check_quotes(spark.createDataFrame([("r", body)], "request_id string, body string"))
+    assert [r.type for r in contract.issue_rows(checked, ["request_id"]).collect()] == [kind]

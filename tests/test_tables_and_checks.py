@@ -144,6 +144,16 @@ def test_masking(spark):
         "id": mark, "job_id": mark, "quote_ids": mark, "note": body["note"],
         "nested": [{"created_at": mark, "total": "1.00"}],
     }
+    nested = {
+        "id": {"a": [1, {"id": "]"}]}, "quote_ids": [["x"], "y"], "keep": {"quote_ids": ["a]b", "c}"], "n": 1.5},
+        "job_id": True, "created_at": -1e9, "text": 'x" , "id": 7' + "y" * 20_000, "list": [{"id": 3}, {"id": []}],
+    }
+    frame = spark.createDataFrame([(json.dumps(nested),)], "body string")
+    masked = json.loads(frame.select(diff.mask_json(F.col("body")).alias("m")).collect()[0].m)
+    assert masked == {
+        "id": mark, "quote_ids": mark, "keep": {"quote_ids": mark, "n": 1.5}, "job_id": mark, "created_at": mark,
+        "text": nested["text"], "list": [{"id": mark}, {"id": mark}],
+    }
     typed = spark.createDataFrame([("x", "y")], "id string, total string")
     assert tuple(diff.mask(typed).collect()[0]) == (mark, "y")
 
@@ -210,8 +220,13 @@ class Recorder:
     def cursor(self):
         return self
 
+    description = [("region",), ("window_start",)]
+
+    def execute(self, statement):
+        self.lines.append(json.dumps([statement]))
+
     def executemany(self, statement, rows):
-        self.lines += [json.dumps([statement, *row]) for row in rows]
+        self.lines += [json.dumps([statement, *row], default=str) for row in rows]
 
     def commit(self):
         import uuid
@@ -236,3 +251,29 @@ def make_recorder(path):
     from pathlib import Path
 
     return Recorder(Path(path))
+
+
+def test_a_stream_fills_a_relational_table_and_a_topic(spark, tmp_path):
+    from functools import partial
+
+    from quoteflow.sinks.jdbc import RelationalTable
+    from quoteflow.sinks.kafka import KeyedTopic
+    from quoteflow.streaming import queries as streams
+
+    rows = [("j", n, "EU", 2, 100, None, datetime(2024, 5, 1, 10, 0, n)) for n in range(3)]
+    schema = T.StructType([*schemas.QUOTE_EVENT.fields, T.StructField("timestamp", T.TimestampType())])
+    source, log, sent = str(tmp_path / "topic"), tmp_path / "log", []
+    log.mkdir()
+    spark.createDataFrame(rows, schema).write.parquet(source)
+    keys = ["region", "window_start"]
+    table = RelationalTable(partial(make_recorder, str(log)), "stats", schemas.REGION_STATS, keys, connections=1).create()
+    topic = KeyedTopic(lambda out: sent.extend(out.collect()))
+    for name, sink in (("table", table), ("topic", topic)):
+        stream = spark.readStream.schema(schema).parquet(source)
+        streams.region_stats(stream, sink, str(tmp_path / f"check-{name}")).awaitTermination()
+    said = [json.loads(line) for f in log.iterdir() for line in f.read_text().splitlines()]
+    statements = [s[0] for s in said if len(s) == 1]
+    assert statements[0] == jdbc.create_statement("stats", schemas.REGION_STATS, keys)
+    assert [s.split()[-2] for s in statements[2:]] == ["window_end", "quote_count", "item_count", "gross_amount_cents"]
+    assert [s[1:2] + s[4:] for s in said if len(s) > 1] == [["EU", 3, 6, 300]]
+    assert [(r.key, json.loads(r.value)["quote_count"]) for r in sent] == [("EU@2024-05-01T10:00:00Z", 3)]
