@@ -9,7 +9,7 @@ from decimal import Decimal
 # --- fixed values: regional pricing rules ------------------------------------------------------
 REGIONS = ("IN", "US", "EU")
 CURRENCY = {"IN": "INR", "US": "USD", "EU": "EUR"}
-TAX_RATE = {"IN": Decimal("0.1800"), "US": Decimal("0.0825"), "EU": Decimal("0.2000")}
+TAX_RATE = {"IN": Decimal("0.18"), "US": Decimal("0.0825"), "EU": Decimal("0.20")}
 SHIPPING_FEE = {"IN": Decimal("49.00"), "US": Decimal("15.00"), "EU": Decimal("12.00")}
 FREE_SHIPPING_FROM = {"IN": Decimal("999.00"), "US": Decimal("100.00"), "EU": Decimal("90.00")}
 
