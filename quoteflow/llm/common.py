@@ -79,6 +79,15 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables written by :func:`stored` that no later phase reads."""
+    for df in tables:
+        spark, files = df.sparkSession, df.inputFiles()
+        if files:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished phases, whose results are in written tables.
 

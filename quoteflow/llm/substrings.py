@@ -46,7 +46,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from quoteflow.llm.common import others, per_group, release, slices, stored
+from quoteflow.llm.common import discard, others, per_group, release, slices, stored
 
 K = 13
 ANCHOR = 5
@@ -151,12 +151,10 @@ def _anchors(docs: DataFrame, k: int, anchor: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _repeated(anchors: DataFrame) -> DataFrame:
-    """The rows of ``anchors`` whose anchor is in two or more documents, as positions per document."""
+def _shared(anchors: DataFrame) -> DataFrame:
+    """Anchors in two or more documents."""
     ends = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared = ends.filter("low < high").select("anchor")
-    rows = anchors.join(shared.hint("shuffle_hash"), "anchor", "left_semi")
-    return rows.select("doc_id", "pos")
+    return ends.filter("low < high").select("anchor")
 
 
 def _with_text(docs: DataFrame, lists: DataFrame, how: str = "inner") -> DataFrame:
@@ -216,13 +214,15 @@ def _compacted(paths: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def _single(edges: DataFrame) -> DataFrame:
-    """Edges of branching paths next to their own first occurrences, in the same columns."""
-    first = edges.groupBy("anchor", "edge").agg(
-        _first(), F.max("doc_id").alias("last")
-    )
-    first = first.filter("source.doc_id < last").drop("last").hint("shuffle_hash")
-    rows = edges.join(first, ["anchor", "edge"]).filter("doc_id > source.doc_id")
+def _sources_of(edges: DataFrame) -> DataFrame:
+    """First occurrences of edges in two or more documents."""
+    first = edges.groupBy("anchor", "edge").agg(_first(), F.max("doc_id").alias("last"))
+    return first.filter("source.doc_id < last").drop("last")
+
+
+def _single(edges: DataFrame, first: DataFrame) -> DataFrame:
+    """Edges of branching paths next to their own first occurrences, in the columns of pieces."""
+    rows = edges.join(first.hint("shuffle_hash"), ["anchor", "edge"]).filter("doc_id > source.doc_id")
     return rows.select(
         "doc_id",
         "pos",
@@ -340,15 +340,20 @@ def cut(docs: DataFrame, k: int = K, anchor: int = ANCHOR) -> DataFrame:
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
 
+    # What the joins look up is stored first: a join right behind the aggregation that feeds it would
+    # keep that one's partitions, and Spark could not split those of a frequent anchor.
     anchors = stored(_anchors(texts, k, anchor), "anchors")
-    repeated = stored(_repeated(anchors), "anchors-repeated")
+    shared = stored(_shared(anchors), "anchors-shared")
+    release(spark)
+    repeated = anchors.join(shared.hint("shuffle_hash"), "anchor", "left_semi").select("doc_id", "pos")
+    repeated = stored(repeated, "anchors-repeated")
+    discard(anchors, shared)
     release(spark)
 
     paths = stored(_paths(texts, repeated, k, anchor), "paths")
+    discard(repeated)
     release(spark)
-    nodes = paths.groupBy("anchor").agg(
-        _first(), (F.min("whole") != F.max("whole")).alias("branches")
-    )
+    nodes = paths.groupBy("anchor").agg(_first(), (F.min("whole") != F.max("whole")).alias("branches"))
     nodes = stored(nodes, "nodes")
     release(spark)
     straight = stored(_compacted(paths, nodes), "compacted")
@@ -357,11 +362,16 @@ def cut(docs: DataFrame, k: int = K, anchor: int = ANCHOR) -> DataFrame:
     edges = paths.select("anchor", "doc_id", "pos", "edges").join(forks, "anchor", "left_semi")
     edges = edges.select("anchor", "doc_id", F.col("pos").alias("p0"), F.posexplode("edges").alias("i", "edge"))
     edges = stored(edges.select("anchor", "edge", "doc_id", (F.col("p0") + F.col("i")).alias("pos")), "edges")
+    discard(paths, nodes)
+    release(spark)
+    first = stored(_sources_of(edges), "edge-sources")
     release(spark)
-    single = stored(_single(edges), "edges-resolved")
+    single = stored(_single(edges, first), "edges-resolved")
+    discard(edges, first)
     release(spark)
 
     spans = stored(_spans(straight.unionByName(single), k), "spans")
+    discard(straight, single)
     release(spark)
     sources = stored(_sources(texts, spans), "sources")
     release(spark)
