@@ -27,7 +27,7 @@ _PLAIN_PRICE = r"^\d{1,6}(\.\d{1,2})?\z"
 
 def check_quotes(requests: DataFrame, body: str = "body") -> DataFrame:
     """Bodies of single-quote requests: add ``issues`` and ``request`` (null unless valid)."""
-    steps = add_stages(requests, (*_body_stages(body), *clean.stages("_list"), *_single_stages(body)))
+    steps = add_stages(requests, (*_listed_stages(body), *clean.stages("_list"), *_single_stages(body)))
     request = F.get("_requests", F.lit(0))
     return once(steps, requests.columns, {"issues": F.col("_issues"), "request": request})
 
@@ -119,9 +119,8 @@ def normalized(quotes: Column, job_id: Column) -> Column:
 
 
 @cache
-def _body_stages(body: str) -> tuple[Stage, ...]:
-    """``_body``: the JSON value, null unless the whole text is exactly one JSON value; ``_list``:
-    the value as the only element of a list.
+def _listed_stages(body: str) -> tuple[Stage, ...]:
+    """``_body`` as :func:`_body_stages` has it; ``_list``: the value as the only element of a list.
 
     The JSON reader stops after the first value. Wrapping the text in two different ways makes
     anything that follows the value visible: no text can complete both wrappers early.
@@ -141,6 +140,24 @@ def _body_stages(body: str) -> tuple[Stage, ...]:
     )
 
 
+@cache
+def _body_stages(body: str) -> tuple[Stage, ...]:
+    """``_body``: the JSON value, null unless the whole text is exactly one JSON value.
+
+    The JSON reader stops after the first value. The text is read once, as the first of two elements
+    of a list; the second is its own hash. Whatever follows the value moves the hash or hides it.
+    """
+    text = F.col(body)
+    end = F.xxhash64(text)
+    wrapped = F.concat(F.lit("["), text, F.lit(","), end.cast("string"), F.lit("]"))
+    closed = F.try_variant_get(F.get("_two", F.lit(1)), "$", "bigint") == end
+    single = (F.size("_two") == 2) & closed
+    return (
+        {"_two": V.elements(F.try_parse_json(wrapped))},
+        {"_body": F.when(single, F.get("_two", F.lit(0)))},
+    )
+
+
 def _body_issues(text: Column) -> Column:
     where = F.array(F.lit("body"))
     absent = text.isNull() | (text == "") | (V.kind(F.col("_body")) == "VOID")

@@ -234,3 +234,11 @@ def test_worker_reads_many_files_one_at_a_time(spark, store, tmp_path):
     streams.job_worker(stream, *store, str(tmp_path / "check"), compact_every=2).awaitTermination()
     assert set(state(store[1])) == {f"j{n}" for n in range(5)} | {"same"}
     assert store[0].latest().count() == 6
+
+
+def test_text_behind_a_message_makes_it_unreadable(spark):
+    good = json.dumps(job("j", QUOTE)[1])
+    texts = [good, f" {good}\n", f"{good}] , [{good}", f"{good},1", f"{good}]", f"{good} x", "", " ", f"[{good}]", f"{good},", None]
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, value string")
+    got = {r.n for r in contract.check_messages(rows).filter("quotes is not null").collect()}
+    assert got == {0, 1}
