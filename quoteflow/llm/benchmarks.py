@@ -147,16 +147,25 @@ def score(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windo
     )
 
 
-def _without(text: Column, hits: Column) -> Column:
-    """The text without the hit words and the breaks behind them."""
-    kept = F.regexp_extract_all(text, F.lit(_WORD_ANY_CASE), F.lit(0))
-    breaks = F.split(text, _WORD_ANY_CASE, -1)
+def _without(judged: DataFrame) -> DataFrame:
+    """Rows with ``_doc`` and the ``text`` without the hit words and the breaks behind them.
+
+    Words and breaks are columns of their own first: inside the function over the words they would be
+    taken apart again for every word.
+    """
+    hit, text = F.col("n_hit") > 0, F.col("_doc.text")
+    parts = {
+        "kept": F.when(hit, F.regexp_extract_all(text, F.lit(_WORD_ANY_CASE), F.lit(0))),
+        "breaks": F.when(hit, F.split(text, _WORD_ANY_CASE, -1)),
+    }
+    rows = once(judged, ["_doc", "n_hit", "hits"], parts)
 
     def piece(word: Column, i: Column) -> Column:
-        inside = F.exists(hits, lambda h: (h.start <= i + 1) & (i + 1 < h.start + h.length))
-        return F.when(inside, F.lit("")).otherwise(F.concat(word, F.element_at(breaks, i + 2)))
+        inside = F.exists("hits", lambda h: (h.start <= i + 1) & (i + 1 < h.start + h.length))
+        return F.when(inside, F.lit("")).otherwise(F.concat(word, F.element_at("breaks", i + 2)))
 
-    return F.concat(F.element_at(breaks, 1), F.array_join(F.transform(kept, piece), ""))
+    left = F.concat(F.element_at("breaks", 1), F.array_join(F.transform("kept", piece), ""))
+    return once(rows, ["_doc"], {"text": F.when(hit, left).otherwise(text)})
 
 
 def remove(
@@ -188,8 +197,7 @@ def remove(
     judged = found.withColumn("n_hit", covered(F.col("hits"))).filter(
         F.lit(100) * F.col("n_hit") <= F.lit(max_hit_percent) * F.col("n")
     )
-    text = F.when(F.col("n_hit") > 0, _without(F.col("_doc.text"), F.col("hits"))).otherwise(F.col("_doc.text"))
-    out = once(judged, ["_doc"], {"text": text})
+    out = _without(judged)
     columns = {c: F.col(f"_doc.`{c}`") for c in docs.columns}
     columns["text"] = F.col("text")
     if "n_chars" in columns:
