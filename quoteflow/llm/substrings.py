@@ -378,8 +378,9 @@ def cut(docs: DataFrame, k: int = K, anchor: int = ANCHOR) -> DataFrame:
     proven = spans.join(sources, ["s_doc", "s_start", "length"]).select("doc_id", "start", "length", "digest")
 
     marks = texts.select("doc_id", F.md5(F.col("text").cast("binary")).alias("mark"))
-    first = marks.groupBy("mark").agg(F.min("doc_id").alias("first"))
-    copies = marks.join(first, "mark").filter("doc_id > first").select("doc_id", "mark")
+    first = marks.groupBy("mark").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    first = stored(first.filter("first < last").select("mark", "first"), "copied-texts")
+    copies = marks.join(first.hint("shuffle_hash"), "mark").filter("doc_id > first").select("doc_id", "mark")
     both = proven.select(
         "doc_id", F.struct("start", "length", "digest").alias("span"), F.lit(None).cast("string").alias("mark")
     ).unionByName(copies, allowMissingColumns=True)
