@@ -43,7 +43,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from quoteflow.llm.common import per_group, per_text, release, stored
+from quoteflow.llm.common import discard, per_group, per_text, release, stored
 from quoteflow.llm.graphs import components
 
 WORDS = 5
@@ -345,10 +345,13 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         ),
         "near-texts",
     )
+    signed, rows = rows, stored(rows.select("doc_id", "key"), "near-keys")
+    discard(signed)
     release(spark)
     pruned = stored(_pruned(texts), "near-pruned")
     release(spark)
     found = stored(_checked(docs, texts, pruned), "near-links")
+    discard(pruned)
     release(spark)
     links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
     stars = components(found.select(F.col("key").alias("a"), F.col("peer").alias("b")))
@@ -367,7 +370,10 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             "copies",
         )
     )
-    return rows.select("doc_id", "key"), stored(per_text_, "near-classes")
+    named_texts = stored(per_text_, "near-classes")
+    discard(found, texts)
+    release(spark)
+    return rows, named_texts
 
 
 def join(docs: DataFrame) -> DataFrame:
