@@ -2,7 +2,7 @@
 
 Candidate blocks are the lines around words that licenses use (in a long line, the stretch around
 them). A block is compressed alone and with every license template as a raw zstandard dictionary;
-what the dictionary saves ranks the templates. The best ones are then compared word by word: a
+what the dictionary saves ranks the templates. All are then compared word by word, the best first: a
 template is confirmed when at least ``similarity`` of its words stand in the block in order, with as
 little else between, and none of its versions or distinguishing words is missing. ``exact`` has no
 difference in wording at all, ``variant`` some; the differences are reported.
@@ -110,7 +110,6 @@ _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
 _MARGIN = 400  # of a long line, this much around its cues
 _GAP = 2  # lines without a cue inside a block
-_RANKED = 3
 _SIMILARITY = 80
 _LEVEL = 3
 
@@ -173,12 +172,12 @@ class _Template:
 class Matcher:
     """The templates as dictionaries; one per task."""
 
-    def __init__(self, templates: dict[str, str], similarity: int = _SIMILARITY, ranked: int = _RANKED):
+    def __init__(self, templates: dict[str, str], similarity: int = _SIMILARITY):
         parameters = zstandard.ZstdCompressionParameters.from_level(
             _LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False
         )
         self.plain = zstandard.ZstdCompressor(compression_params=parameters)
-        self.similarity, self.ranked = similarity, ranked
+        self.similarity = similarity
         self.templates = []
         for name, text in sorted(templates.items()):
             own = [w for w, _, _ in words(text)]
@@ -194,14 +193,14 @@ class Matcher:
             )
 
     def rank(self, block: list[tuple[str, int, int]]) -> list[tuple[int, _Template]]:
-        """The templates that save bytes, the best first, with the bytes they save in percent.
+        """All templates, the one that saves most bytes first, with the bytes they save in percent.
 
         Case, punctuation and line breaks are no difference: words are compressed, not the raw text.
         """
         raw = " ".join(w for w, _, _ in block).encode()
         alone = len(self.plain.compress(raw))
         saved = [(alone - len(t.compressor.compress(raw)), t) for t in self.templates]
-        best = sorted(((s, t) for s, t in saved if s > 0), key=lambda x: (-x[0], len(x[1].words), x[1].name))
+        best = sorted(saved, key=lambda x: (-x[0], len(x[1].words), x[1].name))
         return [(100 * s // alone, t) for s, t in best]
 
     def compare(self, block: list[tuple[str, int, int]], template: _Template):
@@ -237,14 +236,10 @@ class Matcher:
         for begin, end in ranges:
             in_block = words(text[begin:end])
             taken: list[tuple[int, int]] = []
-            # A block may hold several licenses, so the list is worked until enough were refused.
-            refused = 0
+            # A block may hold several licenses, so every template is compared.
             for saved, template in self.rank(in_block):
                 confirmed = self.compare(in_block, template)
                 if confirmed is None:
-                    refused += 1
-                    if refused >= self.ranked and taken:
-                        break
                     continue
                 verdict, first, last, differences = confirmed
                 if any(first < b and a < last for a, b in taken):

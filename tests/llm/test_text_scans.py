@@ -123,6 +123,16 @@ def test_exact_notices_equal_brute_force(spark):
     assert got == Counter((i, ",".join(sorted(brute_license(t)))) for i, t in rows)
 
 
+@pytest.mark.parametrize(
+    "other, name",
+    [("Copyright (c) 2020 Jane Doe. All rights reserved.", "Proprietary"), ("Licensed under CC BY 4.0.", "CC-BY-4.0")],
+)
+def test_licenses_on_adjacent_lines_are_all_compared(other, name):
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    for text in (f"{other}\n{licenses.TEMPLATES['MIT']}", f"{licenses.TEMPLATES['MIT']}\n{other}"):
+        assert {(f["license"], f["verdict"]) for f in matcher.find(text)[1]} == {(name, "exact"), ("MIT", "exact")}
+
+
 def test_wording_differences_are_reported_and_versions_must_hold():
     matcher = licenses.Matcher(licenses.TEMPLATES)
     changed = licenses.TEMPLATES["MIT"].replace("free of charge", "without charge")
