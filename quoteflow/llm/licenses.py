@@ -1,11 +1,12 @@
 """License scan by conditional compression.
 
 Candidate blocks are the lines around words that licenses use (in a long line, the stretch around
-them). A block is compressed alone and with every license template as a raw zstandard dictionary;
-what the dictionary saves ranks the templates. All are then compared word by word, the best first: a
-template is confirmed when at least ``similarity`` of its words stand in the block in order, with as
-little else between, and none of its versions or distinguishing words is missing. ``exact`` has no
-difference in wording at all, ``variant`` some; the differences are reported.
+them). A template is confirmed in a range of a block when at least ``similarity`` of its words stand
+there in order, with as little else between, and none of its versions or distinguishing words is
+missing. All templates and all ranges are compared; the range with the most matching words is taken
+first, and what is left on both sides goes on. A range is compressed alone and with each template that
+fits it equally well as a raw zstandard dictionary: what the dictionary saves ranks them and is reported.
+``exact`` has no difference in wording at all, ``variant`` some; the differences are reported.
 
 Everything happens in the document's task. Defined cases: null text counts as empty and has no
 blocks; texts are scanned whole, positions are code points; equal savings go to the shorter template, then by name;
@@ -15,10 +16,12 @@ unless a result has their name.
 
 from __future__ import annotations
 
-import difflib
+import bisect
+import heapq
 import re
 from dataclasses import dataclass
 
+import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (
@@ -112,6 +115,7 @@ _MARGIN = 400  # of a long line, this much around its cues
 _GAP = 2  # lines without a cue inside a block
 _SIMILARITY = 80
 _LEVEL = 3
+_STARTS = 512  # ranges compared at once
 
 FINDING = StructType(
     [
@@ -167,6 +171,11 @@ class _Template:
     words: list[str]
     needed: frozenset[str]
     compressor: zstandard.ZstdCompressor
+    weights: np.ndarray  # per known word, what a match with each word of the template counts
+    member: np.ndarray  # per known word, whether the template has it
+    all_needed: int  # needed words, each as often as it occurs
+    longest: int  # words of the longest range that can be confirmed
+    least: int  # matching words of a confirmed range
 
 
 class Matcher:
@@ -179,77 +188,151 @@ class Matcher:
         self.plain = zstandard.ZstdCompressor(compression_params=parameters)
         self.similarity = similarity
         self.templates = []
-        for name, text in sorted(templates.items()):
-            own = [w for w, _, _ in words(text)]
+        texts = {name: [w for w, _, _ in words(text)] for name, text in sorted(templates.items())}
+        self.known = {w: k for k, w in enumerate(sorted({w for own in texts.values() for w in own}))}
+        for name, own in texts.items():
             data = zstandard.ZstdCompressionDict(
                 " ".join(own).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
             )
             data.precompute_compress(compression_params=parameters)
             needed = frozenset(w for w in own if w in TELLING or any(c.isdigit() for c in w))
+            # A needed word outweighs all others together.
+            weights = np.zeros((len(self.known) + 1, len(own)), np.int32)
+            for k, w in enumerate(own):
+                weights[self.known[w], k] = 1 + (len(own) + 1) * (w in needed)
             self.templates.append(
                 _Template(
-                    name, own, needed, zstandard.ZstdCompressor(dict_data=data, compression_params=parameters)
+                    name,
+                    own,
+                    needed,
+                    zstandard.ZstdCompressor(dict_data=data, compression_params=parameters),
+                    weights,
+                    weights.any(axis=1),
+                    sum(w in needed for w in own),
+                    100 * len(own) // similarity,
+                    -(-similarity * len(own) // 100),
                 )
             )
 
-    def rank(self, block: list[tuple[str, int, int]]) -> list[tuple[int, _Template]]:
-        """All templates, the one that saves most bytes first, with the bytes they save in percent.
+    def rank(
+        self, block: list[tuple[str, int, int]], templates: list[_Template] | None = None
+    ) -> list[tuple[int, _Template]]:
+        """The templates, the one that saves most bytes first, with the bytes they save in percent.
 
         Case, punctuation and line breaks are no difference: words are compressed, not the raw text.
         """
         raw = " ".join(w for w, _, _ in block).encode()
         alone = len(self.plain.compress(raw))
-        saved = [(alone - len(t.compressor.compress(raw)), t) for t in self.templates]
+        chosen = self.templates if templates is None else templates
+        saved = [(alone - len(t.compressor.compress(raw)), t) for t in chosen]
         best = sorted(saved, key=lambda x: (-x[0], len(x[1].words), x[1].name))
         return [(100 * s // alone, t) for s, t in best]
 
-    def compare(self, block: list[tuple[str, int, int]], template: _Template):
-        """Verdict, first and last word of the match and the differences, or None."""
+    def _starts(self, ids: np.ndarray, template: _Template) -> np.ndarray:
+        """Words where a confirmed range can begin: enough of the template's words stand behind them."""
+        member = template.member[ids]
+        before = np.concatenate([[0], np.cumsum(member)])
+        ends = np.minimum(np.arange(len(ids)) + template.longest, len(ids))
+        return np.flatnonzero(member & (before[ends] - before[:-1] >= template.least))
+
+    def _ranges(
+        self, ids: np.ndarray, template: _Template, starts: np.ndarray, stop: int
+    ) -> list[tuple[int, int, int]]:
+        """Matching words, length and start of the best confirmed range that begins at each of ``starts``.
+
+        Longest common subsequences of the template and all ranges that end before ``stop``, where
+        needed words come first: if all can be matched, they are.
+        """
+        size, unit, found = len(template.words), len(template.words) + 1, []
+        for at in range(0, len(starts), _STARTS):
+            part = starts[at : at + _STARTS]
+            common = np.zeros((len(part), size + 1), np.int32)
+            matched, length = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
+            for k in range(min(template.longest, stop - int(part[0]))):
+                where = part + k
+                inside = where < stop
+                weights = template.weights[np.where(inside, ids[np.minimum(where, len(ids) - 1)], -1)]
+                longer = np.where(weights > 0, common[:, :-1] + weights, 0)
+                np.maximum(longer, common[:, 1:], out=longer)
+                np.maximum.accumulate(longer, axis=1, out=common[:, 1:])
+                needed, now = np.divmod(common[:, -1], unit)
+                better = (
+                    inside
+                    & (needed == template.all_needed)
+                    & (100 * now >= self.similarity * max(size, k + 1))
+                    & (now > matched)
+                )
+                matched[better], length[better] = now[better], k + 1
+            found += [(int(m), int(n), int(s)) for m, n, s in zip(matched, length, part) if m]
+        return found
+
+    def _differences(self, have: list[str], template: _Template) -> str:
+        own = template.words
+        if have == own:
+            return ""
+        rows = [np.zeros(len(own) + 1, np.int64)]
+        for i in ids_of(self.known, have):
+            weights, last = template.weights[i], rows[-1]
+            longer = np.maximum(np.where(weights > 0, last[:-1] + weights, 0), last[1:])
+            rows.append(np.concatenate([[0], np.maximum.accumulate(longer)]))
+        lacking, extra, i, k = [], [], len(have), len(own)
+        while i or k:
+            if i and k and have[i - 1] == own[k - 1]:
+                i, k = i - 1, k - 1
+            elif k and rows[i][k] == rows[i][k - 1]:
+                k -= 1
+                lacking.append(own[k])
+            else:
+                i -= 1
+                extra.append(have[i])
+        return " ".join([f"-{w}" for w in reversed(lacking)] + [f"+{w}" for w in reversed(extra)])
+
+    def confirmed(self, block: list[tuple[str, int, int]]):
+        """Start, end, saved percent, template and differences of the notices in ``block``, which never overlap.
+
+        The range with the most matching words is taken first, of these the shortest, then the first,
+        then the template that saves most; the others have what is left on both sides.
+        """
         have = [w for w, _, _ in block]
-        if not template.needed <= set(have):
-            return None
-        parts = [
-            b
-            for b in difflib.SequenceMatcher(None, template.words, have, autojunk=False).get_matching_blocks()
-            if b.size
-        ]
-        if not parts:
-            return None
-        first, last = parts[0].b, parts[-1].b + parts[-1].size
-        matched = sum(b.size for b in parts)
-        if 100 * matched < self.similarity * max(len(template.words), last - first):
-            return None
-        lacking, extra, at_a, at_b = [], [], 0, first
-        for b in parts:
-            lacking += template.words[at_a : b.a]
-            extra += have[at_b : b.b]
-            at_a, at_b = b.a + b.size, b.b + b.size
-        lacking += template.words[at_a:]
-        if template.needed & set(lacking):
-            return None
-        differences = " ".join([f"-{w}" for w in lacking] + [f"+{w}" for w in extra])
-        return "variant" if differences else "exact", first, last, differences
+        ids, in_block = ids_of(self.known, have), set(have)
+        open_ = []
+        for t, template in enumerate(self.templates):
+            if template.words and template.needed <= in_block:
+                starts = self._starts(ids, template)
+                open_ += [(-m, n, s, t) for m, n, s in self._ranges(ids, template, starts, len(ids))]
+        heapq.heapify(open_)
+        taken: list[tuple[int, int]] = []
+        while open_:
+            best = heapq.heappop(open_)
+            _, length, start, t = best
+            place = bisect.bisect_right(taken, (start, len(ids)))
+            if place and taken[place - 1][1] > start:
+                continue
+            stop = taken[place][0] if place < len(taken) else len(ids)
+            if start + length > stop:
+                template = self.templates[t]
+                if stop - start >= template.least:
+                    for m, n, s in self._ranges(ids, template, np.array([start]), stop):
+                        heapq.heappush(open_, (-m, n, s, t))
+                continue
+            tied = [self.templates[t]]
+            while open_ and open_[0][:3] == best[:3]:
+                tied.append(self.templates[heapq.heappop(open_)[3]])
+            saved, template = self.rank(block[start : start + length], tied)[0]
+            taken.insert(place, (start, start + length))
+            yield start, start + length, saved, template, self._differences(have[start : start + length], template)
 
     def find(self, text: str) -> tuple[int, list[dict]]:
         """Number of blocks and the confirmed templates, in order."""
         found, ranges = [], blocks(text)
         for begin, end in ranges:
             in_block = words(text[begin:end])
-            taken: list[tuple[int, int]] = []
-            # A block may hold several licenses, so every template is compared.
-            for saved, template in self.rank(in_block):
-                confirmed = self.compare(in_block, template)
-                if confirmed is None:
-                    continue
-                verdict, first, last, differences = confirmed
-                if any(first < b and a < last for a, b in taken):
-                    continue
-                taken.append((first, last))
+            for first, last, saved, template, differences in self.confirmed(in_block):
                 found.append(
                     {
                         "license": template.name.split(" ")[0],
                         "template": template.name,
-                        "verdict": verdict,
+                        "verdict": "variant" if differences else "exact",
                         "start": begin + in_block[first][1],
                         "end": begin + in_block[last - 1][2],
                         "saved_percent": saved,
@@ -259,6 +342,11 @@ class Matcher:
         return len(ranges), sorted(found, key=lambda f: (f["start"], f["end"], f["template"]))
 
 
+def ids_of(known: dict[str, int], own: list[str]) -> np.ndarray:
+    """Numbers of words; all unknown ones have the last number."""
+    return np.fromiter((known.get(w, len(known)) for w in own), np.int64, len(own))
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, similarity: int = _SIMILARITY) -> DataFrame:
     """Every row of ``docs`` (without its text) with ``n_blocks``, ``n_confirmed``, ``licenses`` and ``findings``."""
     chosen = dict(TEMPLATES if templates is None else templates)

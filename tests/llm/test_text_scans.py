@@ -1,6 +1,7 @@
 """Secrets, licenses and quality rules, URL rules."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter
@@ -133,6 +134,74 @@ def test_licenses_on_adjacent_lines_are_all_compared(other, name):
         assert {(f["license"], f["verdict"]) for f in matcher.find(text)[1]} == {(name, "exact"), ("MIT", "exact")}
 
 
+def test_pairs_of_licenses_on_adjacent_lines_equal_brute_force():
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    for first, second in itertools.permutations(licenses.TEMPLATES, 2):
+        text = f"{licenses.TEMPLATES[first]}\n{licenses.TEMPLATES[second]}"
+        _, found = matcher.find(text)
+        assert [(f["template"], f["verdict"]) for f in found] == [(first, "exact"), (second, "exact")]
+        assert {f["license"] for f in found} == brute_license(text)
+
+
+def test_every_occurrence_counts():
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    for name, notice in licenses.TEMPLATES.items():
+        for between in (" ", "\n", " and then again ", " plain words " * 300):
+            text = between.join([notice] * 4)
+            found = [f for f in matcher.find(text)[1]]
+            assert [(f["template"], f["verdict"]) for f in found] == [(name, "exact")] * 4
+            assert all(text[f["start"] : f["end"]] in notice for f in found)
+    changed = licenses.TEMPLATES["MIT"].replace("free of charge", "without charge")
+    text = " ".join([changed, licenses.TEMPLATES["MIT"], "All rights reserved.", changed])
+    found = matcher.find(text)[1]
+    assert [f["verdict"] for f in found] == ["variant", "exact", "exact", "variant"]
+
+
+def test_stray_words_before_a_notice_do_not_stretch_it():
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    text = "We released a tool for license checks of many kinds, distributed under the MIT license"
+    found = matcher.find(text)[1]
+    assert [(f["template"], f["verdict"], f["differences"]) for f in found] == [("MIT short", "variant", "-released")]
+    assert text[found[0]["start"] : found[0]["end"]] == "under the MIT license"
+
+
+def test_confirmed_ranges_equal_all_ranges():
+    def common(own, have):
+        """Longest common subsequence that has all needed words, as (needed, all)."""
+        table = [[(0, 0)] * (len(own) + 1) for _ in range(len(have) + 1)]
+        for i, h in enumerate(have):
+            for k, w in enumerate(own):
+                n, m = table[i][k]
+                match = (n + (w == "mit"), m + 1) if h == w else (0, 0)
+                table[i + 1][k + 1] = max(match, table[i][k + 1], table[i + 1][k])
+        return table[-1][-1]
+
+    rnd = random.Random(12)
+    for _ in range(400):
+        templates = {f"T{k}": " ".join(rnd.choice(["a", "b", "c", "mit"]) for _ in range(rnd.randint(1, 6))) for k in range(2)}
+        matcher, have = licenses.Matcher(templates, rnd.choice([60, 80, 100])), rnd.choices(["a", "b", "c", "mit", "x"], k=15)
+        block = licenses.words(" ".join(have))
+        taken, want = set(), set()
+        while True:
+            best = []
+            for name, template in templates.items():
+                own = template.split(" ")
+                for i in range(len(have)):
+                    for j in range(i + 1, len(have) + 1):
+                        if taken & set(range(i, j)):
+                            break
+                        needed, m = common(own, have[i:j])
+                        if needed == own.count("mit") and 100 * m >= matcher.similarity * max(len(own), j - i):
+                            best.append((-m, j - i, i))
+            if not best:
+                break
+            m, n, i = min(best)
+            taken |= set(range(i, i + n))
+            want.add((i, i + n, -m))
+        got = list(matcher.confirmed(block))
+        assert {(a, b, len(t.words) - sum(d[0] == "-" for d in e.split())) for a, b, _, t, e in got} == want
+
+
 def test_wording_differences_are_reported_and_versions_must_hold():
     matcher = licenses.Matcher(licenses.TEMPLATES)
     changed = licenses.TEMPLATES["MIT"].replace("free of charge", "without charge")
