@@ -1,7 +1,7 @@
 """License scan by conditional compression.
 
-Candidate blocks are the lines around words that licenses use (in a long line, the stretch around
-them). A template is confirmed in a range of a block when at least ``similarity`` of its words stand
+Candidate blocks are the words that licenses use with as many words on both sides as the longest
+template may fill; blocks that meet are one. A template is confirmed in a range of a block when at least ``similarity`` of its words stand
 there in order, with as little else between, and none of its versions or distinguishing words is
 missing. All templates and all ranges are compared; the range with the most matching words is taken
 first, and what is left on both sides goes on. A range is compressed alone and with each template that
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import heapq
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -104,15 +105,14 @@ TELLING = frozenset(
     "neither hereby".split()
 )
 
+# Words of a cue may stand on two lines, with comment signs between them.
 _CUE = re.compile(
     r"licen[cs]e|copyright|all rights reserved|permission|redistribut|warrant|creative commons|CC BY|"
-    r"public domain|unencumbered|free software",
+    r"public domain|unencumbered|free software".replace(" ", "[^a-zA-Z0-9]+"),
     re.I | re.A,
 )
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
-_MARGIN = 400  # of a long line, this much around its cues
-_GAP = 2  # lines without a cue inside a block
 _SIMILARITY = 80
 _LEVEL = 3
 _STARTS = 512  # ranges compared at once
@@ -143,26 +143,51 @@ def words(text: str) -> list[tuple[str, int, int]]:
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def blocks(text: str) -> list[tuple[int, int]]:
-    """Start and end of the candidate blocks, in order, apart from each other."""
-    found: list[list[int]] = []
-    last_line, counted, line_no = -10, 0, 0
+_ANY_WORD = re.compile(r"[a-zA-Z0-9]+(?:\.[0-9]+)*")
+
+
+def _words_before(text: str, at: int, n: int, floor: int) -> int:
+    """Where the ``n`` words before ``at`` begin, or ``floor`` if there are fewer behind it."""
+    size = 16 * n
+    while True:
+        begin = max(floor, at - size)
+        starts = [m.start() for m in _ANY_WORD.finditer(text, begin, at)]
+        # The first one may be cut.
+        if len(starts) > n:
+            return starts[-n]
+        if begin == floor:
+            return floor
+        size *= 2
+
+
+def _words_after(text: str, at: int, n: int) -> int:
+    """Where the ``n`` words behind ``at`` end, or the end of the text."""
+    last = next(itertools.islice(_ANY_WORD.finditer(text, at), n - 1, None), None)
+    return last.end() if last else len(text)
+
+
+def blocks(text: str, margin: int) -> list[tuple[int, int]]:
+    """Start and end of the candidate blocks: cues and ``margin`` words on both sides, merged where they meet."""
+    found: list[tuple[int, int]] = []
+    begin = end = -1
+    held = None  # the last cue inside the block, whose margin was not added yet
+    # One more word on both sides, as a cue may begin or end inside a word.
     for cue in _CUE.finditer(text):
-        line_no += text.count("\n", counted, cue.start())
-        counted = cue.start()
-        begin = text.rfind("\n", 0, cue.start()) + 1
-        end = text.find("\n", cue.end())
-        end = len(text) if end < 0 else end
-        if cue.start() - begin > _MARGIN:
-            begin = cue.start() - _MARGIN
-        if end - cue.end() > _MARGIN:
-            end = cue.end() + _MARGIN
-        if found and (line_no - last_line <= _GAP or begin <= found[-1][1]):
-            found[-1][1] = max(found[-1][1], end)
-        else:
-            found.append([begin, end])
-        last_line = line_no
-    return [(b, e) for b, e in found]
+        if held is not None and cue.start() > end:
+            end, held = _words_after(text, held, margin + 1), None
+        if end >= 0 and cue.start() <= end:
+            held = cue.end()
+            continue
+        first = _words_before(text, cue.start(), margin + 1, max(0, end))
+        if end >= 0 and first > end:
+            found.append((begin, end))
+            begin = first
+        elif end < 0:
+            begin = first
+        end, held = _words_after(text, cue.end(), margin + 1), None
+    if end >= 0:
+        found.append((begin, end if held is None else _words_after(text, held, margin + 1)))
+    return found
 
 
 @dataclass
@@ -214,6 +239,9 @@ class Matcher:
                 )
             )
 
+        # A confirmed range is no longer than this, so it lies in the block of any of its cues.
+        self.margin = max((t.longest for t in self.templates), default=0)
+
     def rank(
         self, block: list[tuple[str, int, int]], templates: list[_Template] | None = None
     ) -> list[tuple[int, _Template]]:
@@ -324,7 +352,7 @@ class Matcher:
 
     def find(self, text: str) -> tuple[int, list[dict]]:
         """Number of blocks and the confirmed templates, in order."""
-        found, ranges = [], blocks(text)
+        found, ranges = [], blocks(text, self.margin)
         for begin, end in ranges:
             in_block = words(text[begin:end])
             for first, last, saved, template, differences in self.confirmed(in_block):

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -202,6 +203,34 @@ def test_confirmed_ranges_equal_all_ranges():
         assert {(a, b, len(t.words) - sum(d[0] == "-" for d in e.split())) for a, b, _, t, e in got} == want
 
 
+def test_wrapped_notices_equal_brute_force():
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    for name, notice in sorted(licenses.TEMPLATES.items()):
+        for width in range(40, 81):
+            for sign in ("", "# "):
+                lines = textwrap.wrap(notice, width, break_long_words=False)
+                text = "import os\n\n" + "".join(f"{sign}{line}\n" for line in lines) + "\nx = 1\n"
+                _, found = matcher.find(text)
+                assert [(f["template"], f["verdict"]) for f in found] == [(name, "exact")], (name, width)
+                assert {f["license"] for f in found} == brute_license(text)
+                last = licenses.words(notice)[-1][0]
+                assert text[found[0]["start"] : found[0]["end"]].lower().endswith(last)
+
+
+def test_blocks_hold_all_words_around_their_cues():
+    rnd = random.Random(11)
+    for _ in range(2000):
+        parts = ["a", "b2.0", "xx", "license", "sublicensed", "all rights", "reserved", "\n", "--", "é"]
+        text = "".join(rnd.choice(parts) + rnd.choice([" ", " ", "\n# "]) for _ in range(rnd.randint(0, 60)))
+        margin, own = rnd.randint(1, 9), licenses.words(text)
+        found = licenses.blocks(text, margin)
+        assert all(a[1] < b[0] for a, b in zip(found, found[1:]))
+        for cue in licenses._CUE.finditer(text):
+            hit = [k for k, (_, b, e) in enumerate(own) if b < cue.end() and e > cue.start()]
+            around = own[max(0, hit[0] - margin) : hit[-1] + margin + 1]
+            assert any(b <= around[0][1] and around[-1][2] <= e for b, e in found), (text, margin)
+
+
 def test_wording_differences_are_reported_and_versions_must_hold():
     matcher = licenses.Matcher(licenses.TEMPLATES)
     changed = licenses.TEMPLATES["MIT"].replace("free of charge", "without charge")
