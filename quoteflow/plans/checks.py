@@ -94,8 +94,13 @@ def reconcile_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = session.durable(_events(spark, sf_dir), "accepted")
     number = F.substring("job_id", 5, 20).cast("bigint")
     table = KeyedTable(spark, f"{root}/stats", schemas.REGION_STATS, ["region", "window_start"]).create()
-    source = plan_streams.in_files(events, f"{root}/topic", number % 3, 3)
-    streams.totals_in_order(source, table, f"{root}/checkpoint").awaitTermination()
+    plan_streams.in_parts(
+        events,
+        f"{root}/topic",
+        number % 3,
+        3,
+        lambda source: streams.totals_in_order(source, table, f"{root}/checkpoint"),
+    )
     writer = streams.writer_of(spark, f"{root}/checkpoint")
     cases = {"stored": table.history(), "batch missing": table.history(without=(writer, 2))}
     rows = [

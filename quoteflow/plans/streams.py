@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from quoteflow import schemas, session
 from quoteflow.operators import fanout, windows
@@ -41,35 +44,48 @@ def stream_region_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def in_files(rows: DataFrame, path: str, part: Column, parts: int) -> DataFrame:
-    """``rows`` as a stream of files, one per trigger, in the order of ``part`` (0 to ``parts`` - 1)."""
+def in_parts(
+    rows: DataFrame, path: str, part: Column, parts: int, run: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """``run`` over ``rows`` as a stream, whose micro-batches are the values of ``part`` (0 to ``parts`` - 1) in order.
+
+    Each part is a folder with as many files as ``rows`` has tasks, and ``run``, which must go on from
+    its checkpoint, is started again behind it and ends when it has read what is there.
+    """
     spark = rows.sparkSession
-    for number in range(parts):  # one after another: a file source goes by time of change
-        rows.filter(part == number).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    for number in range(parts):
+        rows.filter(part == number).write.parquet(f"{path}/part-{number}")
+        run(spark.readStream.schema(rows.schema).parquet(f"{path}/part-*")).awaitTermination()
 
 
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that arrive after their window's grace, from a stream that keeps them apart."""
     root = session.scratch_path(spark, "late-rows")
     events = session.durable(analytics.late_events(spark, sf_dir), "late-events")
-    # Four files of equal spans of arrival time.
+    # Four micro-batches of equal spans of arrival time.
     first, last = events.agg(F.min(F.unix_micros("arrived")), F.max(F.unix_micros("arrived"))).first()
     span = max(1, ((last or 0) - (first or 0)) // 4 + 1)
     part = F.floor((F.unix_micros("arrived") - F.lit(first or 0)) / span)
     keys = ["job_id", "position"]
     late = KeyedTable(spark, f"{root}/late", schemas.LATE_EVENT, keys).create()
     clock = KeyedTable(spark, f"{root}/clock", schemas.STREAM_CLOCK, ["stream"], buckets=1).create()
-    streams.totals_in_order(
-        in_files(events, f"{root}/topic", part, 4),
-        _totals_table(spark, f"{root}/stats"),
-        f"{root}/checkpoint",
-        "1 hour",
-        "30 minutes",
-        ["arrived", "number", "position"],
-        late,
-        clock,
-    ).awaitTermination()
+    stats = _totals_table(spark, f"{root}/stats")
+    in_parts(
+        events,
+        f"{root}/topic",
+        part,
+        4,
+        lambda source: streams.totals_in_order(
+            source,
+            stats,
+            f"{root}/checkpoint",
+            "1 hour",
+            "30 minutes",
+            ["arrived", "number", "position"],
+            late,
+            clock,
+        ),
+    )
     return late.history().select("job_id", "position", "region", "gross_amount_cents")
 
 

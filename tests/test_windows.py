@@ -166,6 +166,28 @@ def test_a_table_stored_as_a_folder_streams_like_a_file(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and got
 
 
+def test_a_micro_batch_is_a_part_of_several_tasks(spark, tmp_path):
+    from quoteflow.plans import streams as plans
+
+    seen = []
+
+    def run(stream):
+        def write(batch, batch_id):
+            files = batch.groupBy(F.input_file_name()).count().collect()
+            seen.append((batch_id, sorted(r.n for r in batch.select("n").collect()), len(files)))
+
+        writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", str(tmp_path / "check"))
+        return writer.trigger(availableNow=True).start()
+
+    rows = spark.range(40, numPartitions=4).select(F.col("id").alias("n"))
+    # A part that has nearly all rows, an empty one, and one with the rest.
+    part = F.when(F.col("n") < 37, 0).otherwise(2)
+    plans.in_parts(rows, str(tmp_path / "topic"), part, 3, run)
+    seen = [s for s in seen if s[1]]
+    assert [numbers for _, numbers, _ in seen] == [list(range(37)), [37, 38, 39]]
+    assert [b for b, _, _ in seen] == [0, 2] and [f for _, _, f in seen] == [4, 1]
+
+
 def test_durable_tables_go_to_the_configured_folder(spark):
     assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
