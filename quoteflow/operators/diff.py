@@ -2,20 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quoteflow import rules
 
-_DEPTH = 24
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_TOKEN = rf'{_STRING}|[\[{{]|[\]}}]|[^"\[\]{{}}]++|"'
+_SCALAR = rf'^(?:{_STRING}|[^\s,\[\]{{}}"]++)'
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, which is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
 
+def _closing(text: Column, depth: Column) -> Column:
+    """Brackets still open at the end (0: closed in ``text``) and characters read, with ``depth`` open at the start."""
 
-def _json_value(depth: int = _DEPTH) -> str:
-    """Any JSON value; a list or object with up to ``depth`` levels inside. The pattern never goes back."""
-    text = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-    nested = ""
-    for _ in range(depth):
-        nested = rf'[\[{{](?:[^\[\]{{}}"]++|{text}{"|" + nested if nested else ""})*+[\]}}]'
-    return rf'{text}|{nested}|[^\s,\[\]{{}}"]++'
+    def step(state: Column, token: Column) -> Column:
+        moved = (
+            F.when(token.isin("[", "{"), state["depth"] + 1)
+            .when(token.isin("]", "}"), state["depth"] - 1)
+            .otherwise(state["depth"])
+        )
+        # Closed when a bracket was read and none is open.
+        closed = (state["used"] > 0) & (state["depth"] == 0)
+        read = F.struct(moved.alias("depth"), (state["used"] + F.length(token)).alias("used"))
+        return F.when(closed, state).otherwise(read)
+
+    start = F.struct(depth.cast("int").alias("depth"), F.lit(0).alias("used"))
+    return F.aggregate(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), start, step)
 
 
 def mask(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -25,10 +43,48 @@ def mask(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def mask_json(body: Column) -> Column:
-    """The same for JSON text: members of these names at any depth, whatever their value."""
-    fields = "|".join(rules.VOLATILE_FIELDS)
-    return F.regexp_replace(
-        body, rf'"({fields})"\s*:\s*(?:{_json_value()})', f'"$1":"{rules.VOLATILE_MARK}"'
+    """The same for JSON text: members of these names at any depth, whatever their value.
+
+    The text is cut at these names and the brackets of a value are counted to its end, over further
+    such names inside it. Text behind a value that never closes stays as it is.
+    """
+    name = rf'"(?:{"|".join(rules.VOLATILE_FIELDS)})"\s*:\s*'
+
+    def state(out: Column, depth: Column, held: Column) -> Column:
+        return F.struct(out.alias("out"), depth.cast("int").alias("depth"), held.alias("held"))
+
+    def step(now: Column, piece: Column) -> Column:
+        key, text = piece["key"], piece["text"]
+        raw, nothing = F.concat(key, text), F.lit("")
+        marked = F.concat(now["out"], F.regexp_extract(key, r'^"\w+"', 0), F.lit(f':"{rules.VOLATILE_MARK}"'))
+        inside = now["depth"] > 0
+        masked = F.when(inside, now["out"]).otherwise(marked)
+
+        def cut(end: Column) -> Column:
+            # The mark is written when a value opens, so ``held`` has the text before it, too.
+            held = F.when(inside, F.concat(now["held"], raw)).otherwise(F.concat(now["out"], raw))
+            rest = text.substr(end["used"] + 1, F.length(text))
+            return F.when(end["depth"] > 0, state(masked, end["depth"], held)).otherwise(
+                state(F.concat(masked, rest), F.lit(0), nothing)
+            )
+
+        scalar = state(F.concat(marked, F.regexp_replace(text, _SCALAR, "")), F.lit(0), nothing)
+        return (
+            F.when(inside | text.rlike(r"^[\[{]"), _with(_closing(text, now["depth"]), cut))
+            .when(text.rlike(_SCALAR), scalar)
+            .otherwise(state(F.concat(now["out"], raw), F.lit(0), nothing))
+        )
+
+    texts = F.split(body, name, -1)
+    pieces = F.arrays_zip(
+        F.regexp_extract_all(body, F.lit(name), F.lit(0)).alias("key"),
+        F.slice(texts, F.lit(2), F.size(texts)).alias("text"),
+    )
+    return F.aggregate(
+        pieces,
+        state(F.element_at(texts, 1), F.lit(0), F.lit("")),
+        step,
+        lambda end: F.when(end["depth"] > 0, end["held"]).otherwise(end["out"]),
     )
 
 

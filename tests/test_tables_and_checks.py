@@ -1,12 +1,13 @@
 """Keyed tables, schema growth, comparison, reconciliation, relational and Kafka adapters."""
 
 import json
+import random
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from quoteflow import schemas, session
+from quoteflow import rules, schemas, session
 from quoteflow.operators import diff, evolve, fanout, parse, reconcile
 from quoteflow.sinks import jdbc, kafka
 from quoteflow.sinks.tables import KeyedTable, latest_by
@@ -158,6 +159,43 @@ def test_masking(spark):
     assert tuple(diff.mask(typed).collect()[0]) == (mark, "y")
 
 
+def test_masking_json_does_not_depend_on_depth(spark):
+    def mark(value):
+        if isinstance(value, list):
+            return [mark(v) for v in value]
+        if not isinstance(value, dict):
+            return value
+        return {k: "<volatile>" if k in rules.VOLATILE_FIELDS else mark(v) for k, v in value.items()}
+
+    def deep(levels, leaf):
+        for k in range(levels):
+            leaf = [leaf, "]"] if k % 2 else {"job_id" if k % 10 == 0 else "a": leaf, "b": '}"\\'}
+        return leaf
+
+    rnd = random.Random(4)
+
+    def some(levels):
+        kind = rnd.random()
+        if not levels or kind < 0.3:
+            return rnd.choice([1, -2.5, True, None, "", "x", "]", '"id": [', "\\", "id"])
+        if kind < 0.6:
+            return [some(levels - 1) for _ in range(rnd.randint(0, 3))]
+        names = rnd.sample(["id", "job_id", "quote_ids", "created_at", "a", "b", "xid"], rnd.randint(0, 4))
+        return {n: some(levels - 1) for n in names}
+
+    bodies = [{"id": deep(n, 1), "keep": deep(n, 2), "quote_ids": [deep(n, 3)]} for n in (1, 23, 24, 25, 26, 90)]
+    bodies += [some(6) for _ in range(300)]
+    rows = [(k, json.dumps(b, indent=k % 3 or None)) for k, b in enumerate(bodies)] + [(-1, None)]
+    frame = spark.createDataFrame(rows, "k int, body string")
+    got = {r.k: r.m for r in frame.select("k", diff.mask_json(F.col("body")).alias("m")).collect()}
+    assert got.pop(-1) is None
+    for k, masked in got.items():
+        assert json.loads(masked) == mark(bodies[k]), rows[k]
+    broken = spark.createDataFrame([('{"id": 1, "a": 2, "job_id": [1, {"id": 3}',)], "body string")
+    masked = broken.select(diff.mask_json(F.col("body")).alias("m")).first().m
+    assert masked == '{"id":"<volatile>", "a": 2, "job_id": [1, {"id": 3}'
+
+
 def test_key_changes_and_bodies(spark):
     before = spark.createDataFrame([("a",), ("b",), ("b",)], "id string")
     after = spark.createDataFrame([("b",), ("c",)], "id string")
