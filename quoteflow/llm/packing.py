@@ -25,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from quoteflow.llm.common import per_text, release, stored
+from quoteflow.llm.common import release, slices, stored
 from quoteflow.llm.tokens import Tokens
 from quoteflow.operators import scan
 
 LENGTH = 1024
 END_ID = 0
 DIMENSIONS, BITS, BUCKETS = 4, 12, 256
+_SLICE_CHARS = 8_000_000  # of text tokenized at once: equal words in them are encoded once
 _REACH = 6.0  # coordinates are cut off at this distance from the middle
 
 PIECES = StructType(
@@ -101,25 +102,46 @@ def hilbert(grid: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id``, ``ids`` (with the end id), ``n``, ``curve`` for every row."""
-    fields = [StructField("ids", BinaryType()), StructField("n", LongType()), StructField("curve", LongType())]
-    held: list[Tokens] = []  # one per task: the function is shipped without it
-
-    def run(texts: list[str | None]):
-        if not held:
-            held.append(Tokens(tokenizer))
-        tokens = held[0]
-        end = np.array([END_ID], tokens.dtype).tobytes()
-        made = [tokens.one(t or "") for t in texts]
-        counts = np.zeros((len(made), BUCKETS))
-        for i, ids in enumerate(made):
-            row = np.frombuffer(ids, tokens.dtype)
-            counts[i] = np.log1p(np.bincount(_BUCKET_OF[row & 0xFFFF], minlength=BUCKETS))
-        keys = hilbert(points(counts))
-        width = tokens.dtype.itemsize
-        return [[m + end for m in made], [len(m) // width + 1 for m in made], keys.tolist()]
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return per_text(rows, fields, run, ["doc_id"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    schema = StructType(
+        [
+            StructField("doc_id", LongType()),
+            StructField("ids", BinaryType()),
+            StructField("n", LongType()),
+            StructField("curve", LongType()),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = Tokens(tokenizer)
+        names = [f.name for f in schema]
+        for batch in batches:
+            for part in slices(batch, 1, _SLICE_CHARS):
+                ids, count = tokens.many(part.column(1))
+                ends = np.cumsum(count)
+                columns = [
+                    part.column(0),
+                    _binary(np.insert(ids, ends, END_ID), count + 1),
+                    pa.array(count + 1),
+                    pa.array(hilbert(points(_bucket_counts(ids, count)))),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _bucket_counts(ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """One row per document: the logarithm of one plus the number of its ids in each bucket."""
+    cell = np.repeat(np.arange(len(count)) * BUCKETS, count) + _BUCKET_OF[ids & 0xFFFF]
+    return np.log1p(np.bincount(cell, minlength=len(count) * BUCKETS).reshape(-1, BUCKETS))
+
+
+def _binary(values: np.ndarray, count: np.ndarray) -> pa.Array:
+    offsets = np.r_[0, np.cumsum(count)] * values.dtype.itemsize
+    made = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(count), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(values)]
+    )
+    return made.cast(pa.binary())
 
 
 _BUCKET_OF = (_mixed(np.arange(2**16)) % np.uint64(BUCKETS)).astype(np.int64)

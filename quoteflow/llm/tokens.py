@@ -1,9 +1,9 @@
-"""Byte-level BPE ids of whole texts, with the ids of known words kept in memory.
+"""Byte-level BPE ids of whole texts, every distinct piece of a batch encoded once.
 
 The splitting rule of byte-level vocabularies never joins a character with a following blank, and a
 single blank between two characters that are no white space always begins the next token. So a text
-may be cut there, and every piece has the same ids alone as in its text. Most pieces are known
-words; the others are encoded one by one.
+may be cut there, and every piece has the same ids alone as in its text. The texts of a batch are
+cut in Arrow, their distinct pieces encoded in one call and the ids gathered by piece.
 
 Pieces are encoded by tiktoken from the vocabulary of the given tokenizers file, which is several
 times faster and gives the same ids when the file is plain byte-level BPE with merges in the order
@@ -13,14 +13,10 @@ of their ids. That is checked on loading; any other file is left to tokenizers i
 from __future__ import annotations
 
 import json
-import re
 
 import numpy as np
-
-# White space next to a blank, or a blank at either end: then not every blank is a cut.
-_IRREGULAR = re.compile(r" \s|\s |\A | \Z")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-_KNOWN = 500_000
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Fixed value: the splitting rule of byte-level BPE vocabularies.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -59,24 +55,10 @@ def _ranks(path: str) -> dict[bytes, int] | None:
     return {bytes(symbols[c] for c in t): i for t, i in vocab.items() if t not in special}
 
 
-class _Known(dict):
-    """Piece behind a blank to its ids; empties itself when full."""
-
-    def __init__(self, encode, limit: int):
-        super().__init__()
-        self.encode, self.limit = encode, limit
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        made = self[piece] = self.encode(" " + piece)
-        return made
-
-
 class Tokens:
-    """Ids of texts as little-endian bytes of ``dtype``; its memory is bounded by ``known`` pieces."""
+    """Ids of texts as ``dtype``; nothing is kept from one call to the next."""
 
-    def __init__(self, path: str, known: int = _KNOWN):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -88,18 +70,67 @@ class Tokens:
         if self.cut:
             import tiktoken
 
-            self.ordinary = tiktoken.Encoding(
-                "pieces", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={}
-            ).encode_ordinary
-        self.known = _Known(self._piece, known)
+            made = tiktoken.Encoding("pieces", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+            self.ordinary = made.encode_to_numpy
+            self.opens = np.zeros(max(ranks.values()) + 1, bool)
+            self.opens[[i for symbol, i in ranks.items() if symbol.startswith(b" ")]] = True
+
+    def _encoded(self, text: str) -> np.ndarray:
+        return self.ordinary(text).astype(self.dtype)
 
-    def _piece(self, piece: str) -> bytes:
-        return np.array(self.ordinary(piece), self.dtype).tobytes()
+    def one(self, text: str) -> np.ndarray:
+        if self.cut:
+            return self._encoded(text)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
 
-    def one(self, text: str) -> bytes:
+    def many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: none), one text after another, and how many each has."""
         if not self.cut:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, self.dtype).tobytes()
-        pieces = _CUT.split(text) if _IRREGULAR.search(text) else text.split(" ")
-        first = self._piece(pieces[0])
-        return first + b"".join(map(self.known.__getitem__, pieces[1:]))
+            return _joined([self.one(t or "") for t in texts.to_pylist()], self.dtype)
+        lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        first = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+        count = np.diff(lists.offsets.to_numpy())
+        pieces = lists.flatten()
+        coded = pieces.dictionary_encode()
+        code, distinct = coded.indices.to_numpy(), coded.dictionary
+        bare = pc.equal(pc.utf8_trim_whitespace(distinct), distinct)
+        regular = pc.and_(bare, pc.not_equal(distinct, "")).to_numpy(zero_copy_only=False)
+        ids, size = self._behind_blank(distinct, regular)
+        # A text's first piece has no blank before it; a text with white space beside a blank, or with
+        # a blank at an end, is not cut at all.
+        whole = np.minimum.reduceat(regular[code], first) if len(first) else np.zeros(0, bool)
+        starts = np.cumsum(size) - size
+        at, n = starts[code], size[code]
+        own = [self.one(p) for p in pieces.take(pa.array(first[whole])).to_pylist()]
+        own += [self.one(t or "") for t in texts.filter(pa.array(~whole)).to_pylist()]
+        apart, apart_size = _joined(own, self.dtype)
+        n[np.repeat(~whole, count)] = 0
+        order = np.r_[first[whole], first[~whole]]
+        n[order] = apart_size
+        at[order] = len(ids) + np.cumsum(apart_size) - apart_size
+        ends = np.cumsum(n)
+        taken = np.repeat(at - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+        return np.concatenate([ids, apart])[taken], np.add.reduceat(n, first) if len(first) else n
+
+    def _behind_blank(self, pieces: pa.Array, regular: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the regular pieces, each behind a blank, and how many each piece has.
+
+        All are encoded in one call: a piece has no blank of its own, so its first id is the only one
+        whose bytes begin with a blank.
+        """
+        size = np.zeros(len(pieces), np.int64)
+        wanted = pieces.filter(pa.array(regular))
+        if not len(wanted):
+            return np.zeros(0, self.dtype), size
+        line = pa.ListArray.from_arrays(pa.array([0, len(wanted)], pa.int32()), wanted)
+        ids = self._encoded(" " + pc.binary_join(line, " ")[0].as_py())
+        starts = np.flatnonzero(self.opens[ids])
+        if len(starts) == len(wanted):
+            size[regular] = np.diff(np.r_[starts, len(ids)])
+        else:
+            ids, size[regular] = _joined([self.one(" " + p) for p in wanted.to_pylist()], self.dtype)
+        return ids, size
+
+
+def _joined(made: list[np.ndarray], dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([np.zeros(0, dtype), *made]), np.array([len(m) for m in made], np.int64)

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -26,13 +27,23 @@ def plain_ids():
     return lambda text: made.encode(text, add_special_tokens=False).ids
 
 
+def together(own, texts):
+    ids, count = own.many(pa.array(texts, pa.string()))
+    return [part.tolist() for part in np.split(ids, np.cumsum(count))[:-1]]
+
+
 def test_ids_equal_the_tokenizer():
-    rnd, own, ids = random.Random(0), tokens.Tokens(PATH, known=50), plain_ids()
-    parts = ["a", "B", " ", " ", "\n", "\t", "'s", "'", "!", "1", "é", " ", "　", "\r\n", "don't", "<|endoftext|>", " '", "ll", "中", "\x1c", "\x85", "​", "word", "River"]
+    rnd, own, ids = random.Random(0), tokens.Tokens(PATH), plain_ids()
+    parts = ["a", "B", " ", " ", "\n", "\t", "'s", "'", "!", "1", "é", "\u00a0", "\u3000", "\r\n", "don't", "<|endoftext|>", " '", "ll", "中", "\x1c", "\x85", "\u200b", "word", "River"]
     assert own.cut
-    for _ in range(4000):
-        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 30)))
-        assert np.frombuffer(own.one(text), own.dtype).tolist() == ids(text), repr(text)
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 30))) for _ in range(4000)]
+    wanted = [ids(t) for t in texts]
+    assert [own.one(t).tolist() for t in texts] == wanted
+    assert together(own, texts) == wanted
+    # Few texts at once, so that a batch of regular ones only, or of irregular ones only, occurs too.
+    for at in range(0, 600, 3):
+        assert together(own, texts[at : at + 3]) == wanted[at : at + 3]
+    assert together(own, [None, "", "a b"]) == [[], [], ids("a b")] and together(own, []) == []
 
 
 def test_a_vocabulary_of_another_kind_is_left_to_tokenizers():
@@ -42,8 +53,8 @@ def test_a_vocabulary_of_another_kind_is_left_to_tokenizers():
     own, made = tokens.Tokens(path), Tokenizer.from_file(path)
     made.encode_special_tokens = True
     assert not own.cut
-    text = "The River  runs\nlow"
-    assert np.frombuffer(own.one(text), own.dtype).tolist() == made.encode(text, add_special_tokens=False).ids
+    texts = ["The River  runs\nlow", "", "again"]
+    assert together(own, texts) == [made.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @pytest.mark.parametrize("dimensions, bits", [(2, 1), (2, 4), (3, 2), (4, 2)])
