@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quoteflow.llm import benchmarks, chat, licenses, near, packing, quality, secrets, sharding, substrings, urls
+from quoteflow.llm import (
+    benchmarks,
+    chat,
+    codes,
+    licenses,
+    near,
+    packing,
+    quality,
+    resampling,
+    secrets,
+    sharding,
+    simhash,
+    substrings,
+    urls,
+)
 from quoteflow.llm.common import table
 from quoteflow.llm.sql import ORACLE
 
@@ -67,6 +81,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resample(docs, table(spark, sf_dir, "benchmark"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.quantize(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_license_scan": op2_license_scan,
@@ -78,4 +105,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_simhash": op12_simhash,
+    "op13_vector_codes": op13_vector_codes,
 }

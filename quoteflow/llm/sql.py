@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quoteflow.llm import benchmarks, chat, quality, substrings, urls
+from quoteflow.llm import benchmarks, chat, codes, quality, resampling, substrings, urls
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
@@ -171,10 +171,106 @@ FROM r GROUP BY conv_id
 """
 
 
+def _resampling() -> str:
+    n = resampling.BUCKETS
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    digits = "hex(encode(word))"
+    # The checksum by its definition: eight steps a byte, from all ones, with all bits turned at the end.
+    steps = "list_reduce([xor(c, b)] || list_transform(range(8), lambda i: 0::BIGINT), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    byte = f"('0x' || substr({digits}, 2 * i::INT + 1, 2))::BIGINT"
+    crc = (
+        f"xor(list_reduce([4294967295::BIGINT] || list_transform(range(length({digits}) // 2), lambda i: {byte}), "
+        f"lambda c, b: {steps}), 4294967295)"
+    )
+    noise = "floor(-1000 * ln(-ln((('0x' || substr(sha256('{}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS words FROM documents),
+dw AS (SELECT rid, unnest(words) AS word FROM d),
+bw AS (SELECT unnest({words}) AS word FROM benchmark),
+known AS MATERIALIZED (
+    SELECT word, ({crc}) % {n} AS bucket FROM (SELECT word FROM dw UNION SELECT word FROM bw)
+),
+src AS (SELECT bucket, count(*)::DOUBLE AS s FROM dw JOIN known USING (word) GROUP BY bucket),
+tgt AS (SELECT bucket, count(*)::DOUBLE AS t FROM bw JOIN known USING (word) GROUP BY bucket),
+sums AS (
+    SELECT (SELECT count(*) FROM dw)::DOUBLE AS ss, (SELECT count(*) FROM bw)::DOUBLE AS tt
+),
+gain AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (ss + {n}) / ((s + 1) * (tt + {n}))))::BIGINT AS gain
+    FROM src LEFT JOIN tgt USING (bucket), sums
+),
+w AS (SELECT rid, sum(gain)::BIGINT AS weight FROM dw JOIN known USING (word) JOIN gain USING (bucket) GROUP BY rid),
+scored AS (
+    SELECT rid, doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + {noise.format(resampling.SEED)}::BIGINT AS score
+    FROM d LEFT JOIN w USING (rid)
+),
+ranked AS (
+    SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS rank, count(*) OVER () AS n
+    FROM scored WHERE n_features >= {resampling.LEAST_WORDS}
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {resampling.PERCENT} * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (rid)
+"""
+
+
+def _codes() -> str:
+    """Every part compared with every entry in every round, as products of vectors."""
+    width = f"(SELECT len(embedding) // {codes.PARTS} FROM kept ORDER BY vec_id NULLS LAST, embedding LIMIT 1)"
+    steps = []
+    for r in range(codes.ROUNDS + 1):
+        # Distances are whole numbers far below 2**53, so doubles hold them exactly.
+        steps.append(f"""a{r} AS MATERIALIZED (
+    SELECT rid, part, min(ROW(
+        list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c), entry
+    )) AS best
+    FROM cut JOIN c{r} USING (part) GROUP BY rid, part
+)""")
+        if r < codes.ROUNDS:
+            steps.append(f"""m{r} AS (
+    SELECT part, entry, list(mean ORDER BY k) AS c FROM (
+        SELECT part, best[2] AS entry, k, floor(sum(x::HUGEINT) / count(*))::DOUBLE AS mean
+        FROM (SELECT part, best, unnest(v)::BIGINT AS x, unnest(range(len(v))) AS k FROM cut JOIN a{r} USING (rid, part))
+        GROUP BY ALL
+    ) GROUP BY part, entry
+),
+c{r + 1} AS MATERIALIZED (
+    SELECT part, entry, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (part, entry)
+)""")
+    last = codes.ROUNDS
+    joined = ",\n".join(steps)
+    return f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS rid, vec_id, label, embedding FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+cut AS MATERIALIZED (
+    SELECT rid, part, list_transform(embedding[part * {width} + 1:(part + 1) * {width}], lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM kept, range({codes.PARTS}) t(part)
+),
+seeds AS (SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS entry FROM kept),
+c0 AS MATERIALIZED (SELECT part, entry, v AS c FROM cut JOIN seeds USING (rid) WHERE entry < {codes.ENTRIES}),
+{joined},
+books AS (
+    SELECT sha256(string_agg(list_aggregate(list_transform(c, lambda x: x::BIGINT::VARCHAR), 'string_agg', ','), ',' ORDER BY part, entry)) AS digest
+    FROM c{last}
+),
+coded AS (
+    SELECT rid, string_agg(lpad(lower(hex(best[2])), 2, '0'), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error
+    FROM a{last} GROUP BY rid
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, digest AS codebooks_sha256
+FROM kept JOIN coded USING (rid), books
+"""
+
+
 ORACLE = {
     "op1_substring_dedup": _substrings(),
     "op5_benchmark_decontamination": _benchmarks(),
     "op7_chat_format": _chat(),
     "op8_quality_rules": _quality(),
     "op10_url_filter": _urls(),
+    "op11_importance_resampling": _resampling(),
+    "op13_vector_codes": _codes(),
 }
