@@ -13,7 +13,7 @@ the id alone, and the highest scores are drawn (without replacement, in the mann
    every ``CHUNK`` remaining keys and their number; the median of the medians, weighted by these
    numbers, has at least a quarter of the remaining keys on either side. Counting the keys up to it
    tells which side holds the cutoff, and the other is discarded. Remaining keys are stored again
-   when they have shrunk to a quarter. What fits into one chunk is cut at its own rank.
+   when they have shrunk to a quarter. The last ``FEW`` are cut at their own rank.
 4. Only the winners are sorted, by range, and numbered.
 
 Defined cases: a null or empty text has no features and is not drawn; a null ``doc_id`` comes after
@@ -40,6 +40,8 @@ from quoteflow.operators import scan
 LONGEST, BUCKETS = 1, 10_000
 SEED, PERCENT, LEAST_WORDS = 2024, 10, 20
 CHUNK = 1 << 18
+# So many remaining keys are put in order at once.
+FEW = 1 << 12
 _KNOWN = 200_000  # buckets of words kept by a task; changes no result
 # A smaller key is drawn earlier.
 _KEY = ["minus", "id", "n_features", "tie"]
@@ -201,8 +203,7 @@ def cutoff(keys: DataFrame, rank: int, n: int) -> tuple[int, ...]:
             remaining = remaining.filter(~_upto(low))
         if high is not None:
             remaining = remaining.filter(_upto(high))
-        if left <= CHUNK:
-            # One chunk: its own order has the key.
+        if left <= FEW:
             found = tuple(remaining.sort(*_KEY).limit(rank).agg(F.max(F.struct(*_KEY))).first()[0])
             break
         if 4 * left <= held_n:

@@ -68,9 +68,10 @@ def test_empty_tables(spark):
     assert all(r[4] is None for r in found(resampling.resample(data.documents(spark, short, False), none)))
 
 
-@pytest.mark.parametrize("chunk", [4, 50])
-def test_the_cutoff_is_the_key_of_the_rank(spark, monkeypatch, chunk):
+@pytest.mark.parametrize("chunk, few", [(4, 1), (50, 0), (1000, 20)])
+def test_the_cutoff_is_the_key_of_the_rank(spark, monkeypatch, chunk, few):
     monkeypatch.setattr(resampling, "CHUNK", chunk)
+    monkeypatch.setattr(resampling, "FEW", few)
     rnd = random.Random(chunk)
     # A third of the keys tie in score and id.
     keys = [(rnd.choice([7, 7, rnd.randrange(-50, 50)]), rnd.randrange(3), 1, k) for k in range(300)]
