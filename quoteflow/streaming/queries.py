@@ -157,9 +157,10 @@ def work_batch(
     writer: str = "worker",
     outcomes: KeyedTable | None = None,
 ) -> None:
-    """Apply one batch of job messages: quotes first, then the jobs that list them.
+    """Apply one batch of job messages: their quotes, the jobs that list them, and the outcomes.
 
-    A crash between the two writes is repaired by the repeated batch: derived ids rewrite the same
+    All are written first and then published: at once where the tables share a log, else quotes
+    before jobs. A crash on the way is repaired by the repeated batch: derived ids rewrite the same
     quotes. State written by this batch itself is left out when it runs again. ``outcomes`` gets a
     row for every message, dead letters with their value.
     """
@@ -169,14 +170,16 @@ def work_batch(
     earlier = job_table.live(now, without=(writer, batch_id), only=checked.filter("job_id is not null"))
     decided = jobs.decide(checked, earlier).persist()
     try:
+        written = []
         if outcomes is not None:
             rows = jobs.message_outcomes(checked, earlier)
             dead = F.when(F.col("outcome") == rules.DEAD_LETTER, F.col("value"))
-            outcomes.upsert(rows.withColumn("value", dead), batch_id, writer)
+            written.append(outcomes.prepare(rows.withColumn("value", dead), batch_id, writer))
         quote_rows, job_rows = jobs.settled(decided)
         quote_rows = tables.with_expiry(quote_rows.drop("job_id", "position"), now)
-        quotes.upsert(quote_rows, batch_id, writer)
-        job_table.upsert(tables.with_expiry(job_rows, now), batch_id, writer)
+        written.append(quotes.prepare(quote_rows, batch_id, writer))
+        written.append(job_table.prepare(tables.with_expiry(job_rows, now), batch_id, writer))
+        tables.publish(written)
     finally:
         decided.unpersist()
         checked.unpersist()
