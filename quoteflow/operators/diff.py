@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from quoteflow import rules
+from quoteflow import rules, session
 
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _TOKEN = rf'{_STRING}|[\[{{]|[\]}}]|[^"\[\]{{}}]++|"'
@@ -112,6 +113,63 @@ def compare(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return per_key.filter("_off > 0").select(*keys, verdict.alias("verdict"), "left_rows", "right_rows")
 
 
+@dataclass(frozen=True)
+class Digested:
+    """A stored table whose rows lie by ranges of their key's hash, and a digest of every part of a range."""
+
+    rows: DataFrame
+    digests: DataFrame
+
+
+RANGES, PARTS = 64, 64
+
+
+def digested(df: DataFrame, keys: list[str], ranges: int = RANGES, parts: int = PARTS) -> Digested:
+    """Store ``df`` by key ranges, with the digests that :func:`compare_tree` reads instead of rows.
+
+    A digest is a count, an exclusive or and a sum of row hashes, so it does not depend on order and
+    adds up over parts. Made once per table; a part should be about what one task reads.
+    """
+    whole, leaf = F.xxhash64(*df.columns), F.pmod(F.xxhash64(*keys), F.lit(ranges * parts))
+    placed = df.withColumns({"_range": F.floor(leaf / parts).cast("int"), "_part": leaf.cast("int"), "_h": whole})
+    # Copies of a key, however many, are dealt over several tasks of their range.
+    dealt = placed.repartition("_range", F.pmod("_h", F.lit(8))).sortWithinPartitions("_range", "_part")
+    path = session.scratch_path(df.sparkSession, "digested")
+    dealt.write.partitionBy("_range").parquet(f"{path}/rows")
+    schema = T.StructType([f for f in placed.schema if f.name != "_range"] + [T.StructField("_range", T.IntegerType())])
+    rows = df.sparkSession.read.schema(schema).parquet(f"{path}/rows")
+    sums = rows.groupBy("_range", "_part").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor("_h").alias("x"), F.sum(F.col("_h").cast("decimal(38,0)")).alias("s")
+    )
+    sums.write.parquet(f"{path}/digests")
+    return Digested(rows.drop("_h"), df.sparkSession.read.schema(sums.schema).parquet(f"{path}/digests"))
+
+
+def unequal_parts(left: Digested, right: Digested) -> list[tuple[int, int]]:
+    """(range, part) of the parts that differ: first the digests of ranges, then those of parts of unequal ranges.
+
+    At most ``RANGES * PARTS`` pairs come to the driver.
+    """
+    signed = left.digests.unionByName(right.digests.withColumns({"n": -F.col("n"), "s": -F.col("s")}))
+
+    def unequal(digests: DataFrame, by: list[str]) -> list:
+        sums = digests.groupBy(*by).agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.sum("s").alias("s"))
+        return sums.filter("n != 0 or x != 0 or s != 0").select(*by).collect()
+
+    found = [r["_range"] for r in unequal(signed, ["_range"])]
+    if not found:
+        return []
+    return sorted(tuple(r) for r in unequal(signed.filter(F.col("_range").isin(found)), ["_range", "_part"]))
+
+
+def compare_tree(left: Digested, right: Digested, keys: list[str]) -> DataFrame:
+    """The rows of :func:`compare`, from the parts whose digests differ; equal parts are not read."""
+    parts = unequal_parts(left, right)
+    inside = F.col("_range").isin(sorted({r for r, _ in parts})) & F.col("_part").isin([p for _, p in parts])
+    sides = [side.rows.filter(inside if parts else F.lit(False)).drop("_range", "_part") for side in (left, right)]
+    return compare(sides[0], sides[1], keys)
+
+
 def key_changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """Keys added or removed between two states of a table (empty when a retry changed nothing)."""
     gone = before.select(keys).distinct().withColumn("_side", F.lit(1))

@@ -26,12 +26,24 @@ def at_ranks(
     bucket width: milliseconds of latency are capped by timeouts, so buckets per group stay few and
     a bucket holds at most ``width`` / resolution distinct values. Null values are not counted.
     """
-    counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.floor(F.col("_value") / width))
-    )
+    return of_counts(counts(df, by, value), by, value, ranks, width)
+
+
+def counts(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """How often (``n``) each value occurs in a group. Counts of disjoint sets of rows add up."""
+    return df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+
+
+def of_counts(
+    counted: DataFrame,
+    by: list[str],
+    value: str,
+    ranks: dict[str, Callable[[Column], Column]],
+    width: float = 1.0,
+) -> DataFrame:
+    """:func:`at_ranks` from one row per group and value, as :func:`counts` makes or a table adds up."""
+    counted = counted.select(*by, F.col(value).alias("_value"), F.col("n").alias("_n"))
+    counted = counted.withColumn("_bucket", F.floor(F.col("_value") / width))
     upto = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     buckets = counted.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_n"))
     buckets = buckets.withColumns(

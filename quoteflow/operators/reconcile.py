@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quoteflow.operators import fanout
+from quoteflow.sinks import tables
 
 
 def totals(accepted: DataFrame, stored: DataFrame, minimum: int = 0) -> DataFrame:
@@ -25,6 +26,33 @@ def totals(accepted: DataFrame, stored: DataFrame, minimum: int = 0) -> DataFram
     )
 
 
+def ledger(accepted: DataFrame, batch: Column, schema: T.StructType) -> DataFrame:
+    """``batch``, ``rows`` and ``checksum`` of what was accepted, to hold against a table's ledger."""
+    return accepted.groupBy(batch.cast("long").alias("batch")).agg(
+        F.count(F.lit(1)).alias("rows"), tables.checksum(schema).alias("checksum")
+    )
+
+
+def ledgers(accepted: DataFrame, stored: DataFrame) -> DataFrame:
+    """Batches whose entries differ, with a verdict; only the ledgers are read, no rows.
+
+    A repeated row leaves the checksum when it comes twice, so a doubled batch has twice the rows and
+    the checksum of none.
+    """
+    both = accepted.select("batch", F.col("rows").alias("accepted"), F.col("checksum").alias("_a")).join(
+        stored.groupBy("batch").agg(F.sum("rows").alias("stored"), F.bit_xor("checksum").alias("_s")), "batch", "full"
+    )
+    none = F.coalesce("stored", F.lit(0)) == 0
+    verdict = (
+        F.when(F.col("accepted").isNull(), F.when(~none, "unexpected"))
+        .when(none, "missing")
+        .when((F.col("stored") == 2 * F.col("accepted")) & (F.col("_s") == 0), "doubled")
+        .when((F.col("stored") != F.col("accepted")) | (F.col("_s") != F.col("_a")), "changed")
+    )
+    count = [F.coalesce(c, F.lit(0)).alias(c) for c in ("accepted", "stored")]
+    return both.select("batch", verdict.alias("verdict"), *count).filter("verdict is not null")
+
+
 def region_gross(stored: DataFrame, region: str, at_least: int) -> DataFrame:
     """Grand total of one region, 0 when it has no rows."""
     total = stored.filter(F.col("region") == region).agg(

@@ -96,6 +96,22 @@ LATE_ROWS = sql.with_inputs(
        WHERE w + INTERVAL 1 HOUR <= stream_time - INTERVAL 30 MINUTE""",
 )
 
+# Lateness as Spark judges it: by the largest event time of the batches before.
+REGION_UPDATES = sql.with_inputs(
+    sql.CHECKED
+    + """,
+arrived AS (SELECT *, date_trunc('hour', ts) AS w, epoch_us(ts + to_minutes(e * 37 % 120)) AS came FROM quote_event),
+span AS (SELECT min(came) AS first, greatest(1, (max(came) - min(came)) // 5 + 1) AS span FROM arrived),
+batched AS (SELECT a.*, (a.came - s.first) // s.span AS batch FROM arrived a, span s),
+tops AS (SELECT batch, max(ts) AS top FROM batched GROUP BY batch),
+marks AS (SELECT b.batch, max(t.top) - INTERVAL 30 MINUTE AS mark FROM tops b LEFT JOIN tops t ON t.batch < b.batch GROUP BY b.batch),
+judged AS (SELECT b.*, coalesce(w + INTERVAL 1 HOUR <= mark, false) AS late FROM batched b JOIN marks USING (batch)),
+kept AS (SELECT * FROM judged WHERE NOT late)""",
+    _STATS.format(source="kept").strip()
+    + """
+UNION ALL SELECT 'dropped', NULL, count(*), NULL, NULL FROM (SELECT DISTINCT batch, region, w FROM judged WHERE late)""",
+)
+
 ORACLE = {
     "validate_jobs": sql.with_inputs(
         sql.CHECKED,

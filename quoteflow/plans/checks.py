@@ -55,6 +55,12 @@ def parity_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff.compare(left, right, ["case"])
 
 
+def parity_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cases by way of digests: parts of the key range that agree are not read."""
+    left, right = (diff.digested(side, ["case"]) for side in _two_backends(spark, sf_dir))
+    return diff.compare_tree(left, right, ["case"])
+
+
 def backend_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Different masked answers per region when every quote is answered by two backends."""
     left, right = _two_backends(spark, sf_dir)
@@ -110,6 +116,26 @@ def reconcile_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows[0].unionByName(rows[1])
 
 
+def reconcile_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of six batches a sink lost, wrote twice over, changed or made up, by ledgers alone."""
+    events = session.durable(_events(spark, sf_dir), "accepted")
+    batch = F.substring("job_id", 5, 20).cast("bigint") % 6
+    table = KeyedTable(
+        spark, session.scratch_path(spark, "ledger"), schemas.QUOTE_EVENT, ["job_id", "position"]
+    ).create()
+    raised = (F.col("gross_amount_cents") + F.when(F.col("position") == 0, 1).otherwise(0)).cast("long")
+    for number in range(6):
+        rows = events.filter(batch == number)
+        if number == 2:
+            rows = rows.unionAll(rows)
+        if number == 3:
+            rows = rows.withColumn("gross_amount_cents", raised)
+        if number != 1:
+            table.upsert(rows, number)
+    table.upsert(events.filter(batch == 5), 6)
+    return reconcile.ledgers(reconcile.ledger(events, batch, schemas.QUOTE_EVENT), table.ledger())
+
+
 def region_gross(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.region_gross(windows.region_totals(_events(spark, sf_dir)), "EU", 5997)
 
@@ -145,7 +171,32 @@ def evolved_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grown.latest().select("region", start, "quote_count", "gross_amount_cents", "currency")
 
 
+def evolved_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of quotes stored before and after a line gained a ``tax_class`` with a default.
+
+    The old layout writes every quote; the newer one then replaces every other job's.
+    """
+    answers = _answers(spark, sf_dir)
+    line = T.StructType([*schemas.LINE_ITEM_OUT.fields, T.StructField("tax_class", T.StringType())])
+    old = T.StructType([schemas.QUOTE["id"], schemas.QUOTE["line_items"]])
+    new = T.StructType([schemas.QUOTE["id"], T.StructField("line_items", T.ArrayType(line))])
+    defaults = {"line_items.tax_class": "standard"}
+    evolve.require_backward(old, new, defaults)
+    path = session.scratch_path(spark, "evolved-nested")
+    KeyedTable(spark, path, old, ["id"]).create().upsert(answers.select("id", "line_items"), 1)
+    grown = KeyedTable(spark, path, new, ["id"], defaults)
+    reduced = evolve.conform(
+        answers.filter(F.col("e") % 2 == 0).select("id", "line_items"), new, {"line_items.tax_class": "reduced"}
+    )
+    grown.upsert(reduced, 2)
+    lines = grown.latest().select("id", F.posexplode("line_items").alias("line", "item"))
+    return lines.select("id", "line", "item.sku", "item.qty", "item.tax_class")
+
+
 QUERIES = {
+    "evolved_nested": evolved_nested,
+    "parity_tree": parity_tree,
+    "reconcile_ledger": reconcile_ledger,
     "parity_diff": parity_diff,
     "backend_bodies": backend_bodies,
     "cross_read_diff": cross_read_diff,
@@ -157,15 +208,33 @@ QUERIES = {
     "evolved_stats": evolved_stats,
 }
 
+_PARITY = sql.with_inputs(
+    sql.PRICED,
+    """SELECT job_id || '/' || position AS "case",
+         CASE WHEN e % 211 = 0 THEN 'only left' ELSE 'different' END AS verdict,
+         CAST(1 AS BIGINT) AS left_rows, CAST(CASE WHEN e % 211 = 0 THEN 0 ELSE 1 END AS BIGINT) AS right_rows
+       FROM priced WHERE e % 211 = 0 OR e % 199 = 0 OR e % 193 = 0
+       UNION ALL
+       SELECT job_id || '/' || position || '/extra', 'only right', 0, 1 FROM priced WHERE e % 197 = 0""",
+)
+
 ORACLE = {
-    "parity_diff": sql.with_inputs(
+    "evolved_nested": sql.with_inputs(
         sql.PRICED,
-        """SELECT job_id || '/' || position AS "case",
-             CASE WHEN e % 211 = 0 THEN 'only left' ELSE 'different' END AS verdict,
-             CAST(1 AS BIGINT) AS left_rows, CAST(CASE WHEN e % 211 = 0 THEN 0 ELSE 1 END AS BIGINT) AS right_rows
-           FROM priced WHERE e % 211 = 0 OR e % 199 = 0 OR e % 193 = 0
-           UNION ALL
-           SELECT job_id || '/' || position || '/extra', 'only right', 0, 1 FROM priced WHERE e % 197 = 0""",
+        """SELECT p.id, CAST(row_number() OVER (PARTITION BY p.id ORDER BY i.j) - 1 AS INTEGER) AS line, i.sku,
+             CAST(i.qty AS INTEGER) AS qty, CASE WHEN p.e % 2 = 0 THEN 'reduced' ELSE 'standard' END AS tax_class
+           FROM priced p JOIN item i ON i.e = p.e AND i.i = p.position""",
+    ),
+    "parity_diff": _PARITY,
+    "parity_tree": _PARITY,
+    "reconcile_ledger": sql.with_inputs(
+        sql.CHECKED
+        + """,
+batches AS (SELECT e % 6 AS batch, count(*) AS n, count(*) FILTER (position = 0) AS firsts FROM quote_event GROUP BY e % 6)""",
+        """SELECT batch::BIGINT AS batch, CASE batch WHEN 1 THEN 'missing' WHEN 2 THEN 'doubled' ELSE 'changed' END AS verdict,
+             n AS accepted, CASE batch WHEN 1 THEN 0 WHEN 2 THEN 2 * n ELSE n END AS stored
+           FROM batches WHERE batch IN (1, 2) OR (batch = 3 AND firsts > 0)
+           UNION ALL SELECT 6, 'unexpected', 0, n FROM batches WHERE batch = 5""",
     ),
     "backend_bodies": sql.with_inputs(
         sql.PRICED

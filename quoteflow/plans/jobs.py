@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quoteflow import session
@@ -112,7 +114,24 @@ def ttl_live_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.select("id", "total", "version")
 
 
+def ttl_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes written in three batches; what has expired is taken away by days, no live row is rewritten."""
+    writes = session.durable(tables.with_expiry(_quote_writes(spark, sf_dir), F.col("written_at")), "quote-writes")
+    columns = writes.select("id", "total", "version", tables.EXPIRES)
+    table = KeyedTable(spark, session.scratch_path(spark, "ttl-quotes"), columns.schema, ["id"]).create()
+    last = writes.agg(F.max("version")).first()[0] or 0
+    for batch in range(3):
+        rows = columns.filter(F.floor(F.col("version") * 3 / (last + 1)) == batch)
+        table.upsert(rows, batch, order=F.col("version"))
+    session.discard(writes)
+    now = datetime.fromisoformat(_NOW)
+    table.purge(now)
+    table.vacuum()
+    return table.live(F.lit(_NOW).cast("timestamp")).select("id", "total", "version")
+
+
 QUERIES = {
+    "ttl_purge": ttl_purge,
     "job_summary": job_summary,
     "pending_jobs": pending_jobs,
     "redelivery_skip": redelivery_skip,
@@ -146,6 +165,19 @@ judged AS (
 )"""
 )
 
+WORKER_SNAPSHOT = sql.with_inputs(
+    _BATCH,
+    """SELECT 'submitted' AS version, 'job-' || e AS job_id, was AS status, 0::BIGINT AS listed, 0::BIGINT AS stored,
+         0::BIGINT AS messages FROM judged WHERE was IS NOT NULL
+       UNION ALL
+       SELECT 'worked', 'job-' || e,
+         CASE WHEN was = 'done' OR valid THEN 'done' WHEN readable AND was IS NOT NULL THEN 'failed' ELSE was END,
+         CAST(CASE WHEN was IS DISTINCT FROM 'done' AND valid THEN nq ELSE 0 END AS BIGINT),
+         CAST(CASE WHEN was IS DISTINCT FROM 'done' AND valid THEN nq ELSE 0 END AS BIGINT),
+         CAST(CASE WHEN readable THEN 1 ELSE 0 END AS BIGINT)
+       FROM judged WHERE was IS NOT NULL OR valid OR readable""",
+)
+
 ORACLE = {
     "job_summary": sql.with_inputs(
         sql.PRICED,
@@ -194,6 +226,11 @@ fate AS (
     "job_quotes_in_order": sql.with_inputs(
         sql.PRICED, "SELECT job_id, position, id, CAST(total AS VARCHAR) AS total FROM priced"
     ),
+    "ttl_purge": sql.with_inputs(
+        _LATEST,
+        f"""SELECT id, total, version FROM latest
+            WHERE ts + INTERVAL 7 DAY > TIMESTAMP '{_NOW}'""",
+    ),
     "latest_quote_upsert": sql.with_inputs(_LATEST, "SELECT id, total, version FROM latest"),
     "ttl_live_quotes": sql.with_inputs(
         _LATEST,

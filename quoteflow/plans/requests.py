@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quoteflow import rules
+from quoteflow import rules, session
 from quoteflow.operators import contract, jobs
 from quoteflow.plans import inputs, pricing, sql
+from quoteflow.sinks import tables
+from quoteflow.sinks.tables import KeyedTable
 from quoteflow.sources import tables as lookups
 
 
@@ -47,14 +49,16 @@ def request_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Look up the first quote of every job; jobs that were never priced give 404."""
-    quotes = pricing.priced(spark, sf_dir).select("id", F.col("total").cast("string").alias("total"))
+    """Look up the first quote of every job in the stored quotes; jobs that were never priced give 404."""
+    priced = tables.with_expiry(pricing.priced(spark, sf_dir).select("id", "total"), F.current_timestamp())
+    stored = KeyedTable(spark, session.scratch_path(spark, "quotes"), priced.schema, ["id"]).create()
+    stored.upsert(priced, 0)
     wanted = inputs.events(spark, sf_dir).select(
         F.concat(F.lit("job-"), F.col("e")).alias("job_id")
     )
     wanted = wanted.withColumn("id", jobs.ids.derived(F.col("job_id"), F.lit(0)))
-    found = contract.lookup_outcome(lookups.lookup(wanted, quotes, "id"))
-    return found.select("job_id", "id", "status", "detail", "total")
+    found = contract.lookup_outcome(lookups.lookup_stored(wanted, stored, F.current_timestamp()))
+    return found.select("job_id", "id", "status", "detail", F.col("total").cast("string").alias("total"))
 
 
 def lookup_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:

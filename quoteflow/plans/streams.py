@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quoteflow import schemas, session
 from quoteflow.operators import fanout, windows
 from quoteflow.plans import analytics, inputs, jobs as job_plans
+from quoteflow.sinks.log import files
 from quoteflow.sinks.tables import KeyedTable
 from quoteflow.sources import tables as sources
 from quoteflow.streaming import queries as streams
@@ -46,34 +47,44 @@ def stream_region_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def in_parts(
     rows: DataFrame, path: str, part: Column, parts: int, run: Callable[[DataFrame], StreamingQuery]
-) -> None:
+) -> list[StreamingQuery]:
     """``run`` over ``rows`` as a stream, whose micro-batches are the values of ``part`` (0 to ``parts`` - 1) in order.
 
-    Each part is a folder with as many files as ``rows`` has tasks, and ``run``, which must go on from
-    its checkpoint, is started again behind it and ends when it has read what is there.
+    The rows are written once, each part into a folder with as many files as ``rows`` has tasks.
+    ``run``, which must go on from its checkpoint, is started again for every part, with a pattern that
+    reaches one folder further, and ends when it has read what is there. Returns the ended queries.
     """
     spark = rows.sparkSession
+    rows.withColumn("_part", part).write.partitionBy("_part").parquet(path)
+    ended = []
     for number in range(parts):
-        rows.filter(part == number).write.parquet(f"{path}/part-{number}")
-        run(spark.readStream.schema(rows.schema).parquet(f"{path}/part-*")).awaitTermination()
+        files(spark).folder(f"{path}/_part={number}")
+        reached = ",".join(str(n) for n in range(number + 1))
+        query = run(spark.readStream.schema(rows.schema).parquet(f"{path}/_part={{{reached}}}"))
+        query.awaitTermination()
+        ended.append(query)
+    return ended
+
+
+def _by_arrival(events: DataFrame, parts: int) -> Column:
+    """Which of so many equal spans of arrival time an event is in."""
+    first, last = events.agg(F.min(F.unix_micros("arrived")), F.max(F.unix_micros("arrived"))).first()
+    span = max(1, ((last or 0) - (first or 0)) // parts + 1)
+    return F.floor((F.unix_micros("arrived") - F.lit(first or 0)) / span).cast("int")
 
 
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that arrive after their window's grace, from a stream that keeps them apart."""
     root = session.scratch_path(spark, "late-rows")
     events = session.durable(analytics.late_events(spark, sf_dir), "late-events")
-    # Four micro-batches of equal spans of arrival time.
-    first, last = events.agg(F.min(F.unix_micros("arrived")), F.max(F.unix_micros("arrived"))).first()
-    span = max(1, ((last or 0) - (first or 0)) // 4 + 1)
-    part = F.floor((F.unix_micros("arrived") - F.lit(first or 0)) / span)
-    keys = ["job_id", "position"]
-    late = KeyedTable(spark, f"{root}/late", schemas.LATE_EVENT, keys).create()
-    clock = KeyedTable(spark, f"{root}/clock", schemas.STREAM_CLOCK, ["stream"], buckets=1).create()
-    stats = _totals_table(spark, f"{root}/stats")
+    keys, log = ["job_id", "position"], f"{root}/log"
+    late = KeyedTable(spark, f"{root}/late", schemas.LATE_EVENT, keys, log=log).create()
+    clock = KeyedTable(spark, f"{root}/clock", schemas.STREAM_CLOCK, ["stream"], buckets=1, log=log).create()
+    stats = KeyedTable(spark, f"{root}/stats", schemas.REGION_STATS, ["region", "window_start"], log=log).create()
     in_parts(
         events,
         f"{root}/topic",
-        part,
+        _by_arrival(events, 4),
         4,
         lambda source: streams.totals_in_order(
             source,
@@ -89,6 +100,29 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.history().select("job_id", "position", "region", "gross_amount_cents")
 
 
+def stream_region_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live totals over five micro-batches, the query stopped and started again between them.
+
+    Spark keeps the open windows as state and judges lateness by the watermark at the start of a batch;
+    the row without a region says how many groups (a region and window of a batch) came too late.
+    """
+    root = session.scratch_path(spark, "region-updates")
+    events = session.durable(analytics.late_events(spark, sf_dir), "late-events")
+    table = _totals_table(spark, f"{root}/stats")
+    ended = in_parts(
+        events,
+        f"{root}/topic",
+        _by_arrival(events, 5),
+        5,
+        lambda source: streams.region_stats(source, table, f"{root}/checkpoint", "1 hour", "30 minutes"),
+    )
+    late = sum(streams.dropped(query) for query in ended)
+    columns = ["key", "region", "quote_count", "item_count", "gross_amount_cents"]
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("region", "string"), ("item_count", "long"), ("gross_amount_cents", "long"))]
+    count = spark.range(1).select(F.lit("dropped").alias("key"), F.lit(late).cast("long").alias("quote_count"), *nothing)
+    return windows.keyed(table.latest()).select(*columns).unionByName(count)
+
+
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters as committed by the validating stream."""
     root = session.scratch_path(spark, "dead-letters")
@@ -119,7 +153,49 @@ def stream_job_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def worker_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs with their stored quotes and message outcomes, all read at one version, before and after the worker.
+
+    A version holds the three tables' runs of a batch, or none of them.
+    """
+    root = session.scratch_path(spark, "snapshot")
+    log = f"{root}/log"
+    quotes = KeyedTable(spark, f"{root}/quotes", schemas.expiring(schemas.QUOTE), ["id"], log=log).create()
+    job_table = KeyedTable(
+        spark, f"{root}/jobs", schemas.expiring(schemas.QUOTE_JOB), ["job_id"], final="status = 'done'", log=log
+    ).create()
+    outcomes = KeyedTable(
+        spark, f"{root}/outcomes", schemas.MESSAGE_OUTCOME, ["partition", "offset"], log=log
+    ).create()
+    states = inputs.job_states(inputs.events(spark, sf_dir))
+    expires = F.current_timestamp() + F.expr("INTERVAL 7 DAYS")
+    job_table.upsert(states.withColumn("expires_at", expires), 0, "submit")
+    before = job_table.log.read()
+    streams.job_worker(
+        message_stream(spark, sf_dir), quotes, job_table, f"{root}/checkpoint", outcomes=outcomes
+    ).awaitTermination()
+    views = []
+    for name, version in (("submitted", before), ("worked", job_table.log.read())):
+        listed = job_table.latest(version=version)
+        ids = listed.select("job_id", F.explode("quote_ids").alias("id"))
+        found = ids.join(quotes.latest(version=version).select("id"), "id")
+        rows = [
+            listed.select("job_id", "status", F.size("quote_ids").alias("listed"), F.lit(0).alias("stored"), F.lit(0).alias("messages")),
+            found.select("job_id", F.lit(None).cast("string").alias("status"), F.lit(0).alias("listed"), F.lit(1).alias("stored"), F.lit(0).alias("messages")),
+            outcomes.latest(version=version).filter("job_id is not null").select(
+                "job_id", F.lit(None).cast("string").alias("status"), F.lit(0).alias("listed"), F.lit(0).alias("stored"), F.lit(1).alias("messages")
+            ),
+        ]
+        # Counted per job instead of joined: every part adds up inside its tasks first.
+        counts = [F.sum(c).cast("long").alias(c) for c in ("listed", "stored", "messages")]
+        whole = rows[0].unionAll(rows[1]).unionAll(rows[2]).groupBy("job_id").agg(F.max("status").alias("status"), *counts)
+        views.append(whole.select(F.lit(name).alias("version"), "job_id", "status", "listed", "stored", "messages"))
+    return views[0].unionAll(views[1])
+
+
 QUERIES = {
+    "stream_region_updates": stream_region_updates,
+    "worker_snapshot": worker_snapshot,
     "stream_late_rows": stream_late_rows,
     "stream_region_totals": stream_region_totals,
     "stream_dead_letters": stream_dead_letters,
@@ -127,6 +203,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "stream_region_updates": analytics.REGION_UPDATES,
+    "worker_snapshot": job_plans.WORKER_SNAPSHOT,
     "stream_late_rows": analytics.LATE_ROWS,
     "stream_region_totals": analytics.ORACLE["region_minute_totals"],
     "stream_dead_letters": analytics.ORACLE["dead_letters"],

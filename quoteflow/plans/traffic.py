@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from quoteflow import rules
+from quoteflow import rules, session
 from quoteflow.operators import ranks, traffic
 from quoteflow.plans import inputs, sql
+from quoteflow.sinks.tables import KeyedTable
 
 _DAY_LIMIT = 3
 _WARMUP = 20
@@ -52,6 +53,18 @@ def latency_nearest_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.percentiles(healthy, ["backend"], "latency_ms", [50, 95, 99])
 
 
+def rolling_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles over all rounds so far: each round is read once and adds its counts to a stored table."""
+    healthy = traffic.labelled(_log(spark, sf_dir)).filter(~F.col("is_error"))
+    schema = T.StructType().add("backend", "string").add("latency_ms", "double").add("n", "long")
+    keys = ["backend", "latency_ms"]
+    table = KeyedTable(spark, session.scratch_path(spark, "latencies"), schema, keys).create().sum_up(["n"])
+    for number, round_ in enumerate(("day < '2024-01-11'", "day >= '2024-01-11' AND day < '2024-01-21'", "day >= '2024-01-21'")):
+        table.upsert(ranks.counts(healthy.filter(round_), ["backend"], "latency_ms"), number)
+    wanted = {f"p{p}": ranks.nearest_rank(p) for p in (50, 95, 99)}
+    return ranks.of_counts(table.latest(), ["backend"], "latency_ms", wanted)
+
+
 def latency_exclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = traffic.labelled(_log(spark, sf_dir))
     rows = ranks.interpolated(log, ["backend", "day"], "latency_ms", [50, 95, 99])
@@ -130,6 +143,7 @@ def status_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "rolling_percentiles": rolling_percentiles,
     "traffic_split": traffic_split,
     "cumulative_requests": cumulative_requests,
     "probe_snapshots": probe_snapshots,
@@ -195,6 +209,13 @@ measured AS (
 ),
 sample AS (SELECT named AS g, latency_ms AS v FROM measured),""" + _EXCLUSIVE
 
+_NEAREST = sql.with_inputs(
+    _LOG,
+    """SELECT named AS backend, count(latency_ms) AS rows, quantile_disc(latency_ms, 0.5) AS p50,
+         quantile_disc(latency_ms, 0.95) AS p95, quantile_disc(latency_ms, 0.99) AS p99
+       FROM log WHERE NOT failed GROUP BY named""",
+)
+
 ORACLE = {
     "traffic_split": sql.with_inputs(
         _LOG, "SELECT named AS backend, count(*) AS requests FROM log WHERE NOT failed GROUP BY named"
@@ -226,12 +247,8 @@ totals AS (
            UNION ALL SELECT 'probe_latency_p95_ms', '', coalesce(quantile_disc(latency_ms, 0.95), 0)
              FROM log WHERE NOT failed AND day = (SELECT max(day) FROM log)""",
     ),
-    "latency_nearest_rank": sql.with_inputs(
-        _LOG,
-        """SELECT named AS backend, count(latency_ms) AS rows, quantile_disc(latency_ms, 0.5) AS p50,
-             quantile_disc(latency_ms, 0.95) AS p95, quantile_disc(latency_ms, 0.99) AS p99
-           FROM log WHERE NOT failed GROUP BY named""",
-    ),
+    "latency_nearest_rank": _NEAREST,
+    "rolling_percentiles": _NEAREST,
     "latency_exclusive": sql.with_inputs(
         _LOG
         + ", sample AS (SELECT named || '|' || day AS g, latency_ms AS v FROM log),"

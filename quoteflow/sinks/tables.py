@@ -7,9 +7,9 @@ at all, a repeated batch replaces itself, and no write touches a file that someo
 Tables that share a log can be published together (:func:`publish`) and read at one version.
 
 Rows lie in hash buckets of their key, sorted by key, so that a lookup of some keys reads only their
-buckets and, by the statistics and Bloom filters of the files, their rows. Buckets are split, two for
-one, as the table grows: a run says how often its buckets are split, and runs written earlier stay
-as they are. Rows that expire also lie apart by the day on which they do, so that what has expired is
+buckets and, by the files' statistics, the pages that hold them. Buckets are split, two for one, as
+the table grows: a run says how often its buckets are split, and runs written earlier stay as they
+are. Rows that expire also lie apart by the day on which they do, so that what has expired is
 dropped by folders.
 """
 
@@ -23,6 +23,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from quoteflow import rules
+from quoteflow.operators import evolve
 from quoteflow.sinks.log import Log, Run, Version, files
 
 EXPIRES = "expires_at"
@@ -38,7 +39,8 @@ _MERGED = "merged"
 
 
 class KeyedTable:
-    """``keys`` identify a row; ``schema`` are its columns, ``defaults`` fill columns added later.
+    """``keys`` identify a row; ``schema`` are its columns, ``defaults`` fill fields added later,
+    also nested ones (``operators.evolve``).
 
     The last write of a key wins, by the writers' clocks. ``final`` is an SQL condition for rows that
     no other row replaces, whatever the clocks say. ``buckets`` is fixed when the table is created.
@@ -118,8 +120,7 @@ class KeyedTable:
             near = self._near(keys, version)
             rows = (rows if near is None else rows.filter(near)).join(keys, self.keys, "left_semi")
         rows = rows.drop(*_PLACE)
-        filled = {n: F.coalesce(F.col(n), F.lit(v)) for n, v in self.defaults.items()}
-        return rows.withColumns(filled) if filled else rows
+        return evolve.filled(rows, self.schema, self.defaults)
 
     def latest(
         self,
@@ -265,12 +266,10 @@ class KeyedTable:
         return F.pmod(self._hash(), F.lit(self.buckets)).cast("int")
 
     def _split(self, version: Version) -> int:
-        """How often each bucket is split in two, so that none has far more than ``split_bytes``."""
+        """How often each bucket is split in two: once more when they have over ``split_bytes`` each."""
         held = version.of(self.path)
         size, n = sum(r.bytes for r in held), max([r.split for r in held], default=0)
-        while size > self.buckets * 2**n * self.split_bytes:
-            n += 1
-        return n
+        return n + 1 if size > self.buckets * 2**n * self.split_bytes else n
 
     def _write(self, rows: DataFrame, writer: str, batch: int) -> Run:
         split, id_ = self._split(self.log.read()), uuid.uuid4().hex
@@ -292,10 +291,7 @@ class KeyedTable:
         seen = Observation()
         dealt = dealt.observe(seen, F.count(F.lit(1)).alias("rows"), checksum(self.schema).alias("checksum"))
         folder = self._folder(writer, batch, id_)
-        out = dealt.write.partitionBy(*places)
-        for key in self.keys:
-            out = out.option(f"parquet.bloom.filter.enabled#{key}", "true")
-        out.parquet(f"{folder}/split={split}")
+        dealt.write.partitionBy(*places).parquet(f"{folder}/split={split}")
         found = seen.get
         size = files(self.spark).size(folder)
         return Run(self.path, writer, batch, id_, split, found["rows"], found["checksum"] or 0, size)

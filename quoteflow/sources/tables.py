@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quoteflow.sinks import tables
+from quoteflow.sinks.tables import KeyedTable
 
 
 def lookup(ids: DataFrame, table: DataFrame, key: str, now: Column | None = None) -> DataFrame:
@@ -15,6 +16,12 @@ def lookup(ids: DataFrame, table: DataFrame, key: str, now: Column | None = None
     ).drop("_hit")
 
 
+def lookup_stored(ids: DataFrame, table: KeyedTable, now: Column) -> DataFrame:
+    """:func:`lookup` in a stored table by its key; reads the buckets and pages of few keys only."""
+    (key,) = table.keys
+    return lookup(ids, table.live(now, only=ids), key)
+
+
 def committed(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     """Output of a streaming file sink.
 

@@ -17,11 +17,18 @@ from quoteflow.operators import contract, fanout, jobs, parse, windows
 from quoteflow.sinks import tables
 from quoteflow.sinks.jdbc import RelationalTable
 from quoteflow.sinks.kafka import KeyedTopic
-from quoteflow.sinks.tables import KeyedTable
+from quoteflow.sinks.tables import KeyedTable, publish
 
-# Late rows must be judged by the current watermark. With chained stateful operators allowed, Spark
-# filters by the watermark of one batch earlier, which lets rows in after their window has closed.
-_CHAINED = "spark.sql.streaming.statefulOperator.allowMultiple"
+_STATE = "spark.sql.streaming.stateStore"
+# Settings of a query with state, taken when it starts.
+_STATEFUL = {
+    # Late rows must be judged by the current watermark. With chained stateful operators allowed, Spark
+    # filters by the watermark of one batch earlier, which lets rows in after their window has closed.
+    "spark.sql.streaming.statefulOperator.allowMultiple": "false",
+    # Open windows live on the executors' disks, not in their heaps, and a batch uploads its changes.
+    f"{_STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STATE}.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _trigger(writer: DataStreamWriter, available_now: bool, interval: str | None) -> DataStreamWriter:
@@ -95,17 +102,24 @@ def region_stats(
 
     writer = stats.writeStream.outputMode("append" if final_only else "update").foreachBatch(write)
     writer = _trigger(writer.option("checkpointLocation", checkpoint), available_now, interval)
-    # A query takes its settings when it starts; the checkpoint does not keep this one, so it is set
-    # at every start and the session's own value is put back.
-    before = spark.conf.get(_CHAINED, None)
-    spark.conf.set(_CHAINED, "false")
+    # The checkpoint does not keep all of these settings, so they are set at every start and the
+    # session's own values are put back.
+    before = {name: spark.conf.get(name, None) for name in _STATEFUL}
+    for name, value in _STATEFUL.items():
+        spark.conf.set(name, value)
     try:
         return writer.start()
     finally:
-        if before is None:
-            spark.conf.unset(_CHAINED)
-        else:
-            spark.conf.set(_CHAINED, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def dropped(query: StreamingQuery) -> int:
+    """Groups of a batch (a region and window each) that came after their window's grace, over all batches.
+
+    Spark keeps the progress of the last ``spark.sql.streaming.numRecentProgressUpdates`` batches.
+    """
+    return sum(o.numRowsDroppedByWatermark for p in query.recentProgress for o in p.stateOperators)
 
 
 def totals_in_order(
@@ -128,6 +142,7 @@ def totals_in_order(
     does not depend on the cut, as long as batches arrive in order.
     """
     spark = events.sparkSession
+    partials.sum_up(["quote_count", "item_count", "gross_amount_cents"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = writer_of(spark, checkpoint)
@@ -135,15 +150,21 @@ def totals_in_order(
             before = clock.latest(without=(writer, batch_id)).filter(F.col("stream") == writer)
             since = before.agg(F.max("stream_time")).first()[0]
             since = F.lit(since).cast("timestamp")
-            stored = session.durable(batch, "in-order")
             judged = session.durable(
-                windows.judged_in_grace(stored, arrival, window, grace, since=since), "judged"
+                windows.judged_in_grace(batch, arrival, window, grace, since=since), "judged"
             )
-            late.upsert(judged.filter("late"), batch_id, writer)
             time = judged.agg(F.max("stream_time").alias("stream_time"))
-            clock.upsert(time.withColumn("stream", F.lit(writer)), batch_id, writer)
-            batch = judged.filter("not late")
-        partials.upsert(windows.region_totals(batch, window), batch_id, writer)
+            on_time = windows.region_totals(judged.filter("not late"), window)
+            publish(
+                [
+                    late.prepare(judged.filter("late"), batch_id, writer),
+                    clock.prepare(time.withColumn("stream", F.lit(writer)), batch_id, writer),
+                    partials.prepare(on_time, batch_id, writer),
+                ]
+            )
+            session.discard(judged)
+        else:
+            partials.upsert(windows.region_totals(batch, window), batch_id, writer)
 
     writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, interval).start()
@@ -179,7 +200,7 @@ def work_batch(
         quote_rows = tables.with_expiry(quote_rows.drop("job_id", "position"), now)
         written.append(quotes.prepare(quote_rows, batch_id, writer))
         written.append(job_table.prepare(tables.with_expiry(job_rows, now), batch_id, writer))
-        tables.publish(written)
+        publish(written)
     finally:
         decided.unpersist()
         checked.unpersist()

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F, types as T
 from quoteflow import rules, schemas, session
 from quoteflow.operators import diff, evolve, fanout, parse, reconcile
 from quoteflow.sinks import jdbc, kafka
-from quoteflow.sinks.tables import KeyedTable, latest_by
+from quoteflow.sinks.log import files
+from quoteflow.sinks.tables import KeyedTable, latest_by, publish
 from quoteflow.sources import messages
 
 CURRENCY = T.StructField("currency", T.StringType())
@@ -94,6 +95,164 @@ def test_compaction_keeps_the_newest_rows_and_repeats_still_replace(spark, tmp_p
     assert {r.k: r.v for r in table.latest().collect()}["a"] == 9
 
 
+def test_a_large_batch_is_written_by_all_tasks(spark, tmp_path):
+    """Buckets do not limit the tasks: a bucket is dealt over several."""
+    schema = T.StructType().add("k", "long").add("v", "long")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        table.upsert(spark.range(20000).select(F.col("id").alias("k"), F.col("id").alias("v")), 0)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    tasks = {f.split("part-")[1].split("-")[0] for f in table.history().inputFiles()}
+    assert len(tasks) >= 60 and table.latest().count() == 20000
+
+
+def test_buckets_split_as_the_table_grows(spark, tmp_path):
+    schema = T.StructType().add("k", "long").add("v", "long")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"], buckets=2, split_bytes=8000).create()
+    for n in range(4):
+        rows = spark.range(n * 2000, n * 2000 + 2000).select(F.col("id").alias("k"), F.xxhash64("id").alias("v"))
+        table.upsert(rows, n)
+    splits = [r.split for r in sorted(table.log.read().runs, key=lambda r: r.batch)]
+    assert splits == [0, 1, 2, 3]
+    wanted = spark.createDataFrame([(5,), (7999,), (9000,)], "k long")
+    rows = table.latest(only=wanted)
+    assert {r.k for r in rows.collect()} == {5, 7999}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "part#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    table.compact()
+    assert {r.k for r in table.latest(only=wanted).collect()} == {5, 7999} and table.latest().count() == 8000
+
+
+def test_a_lookup_pushes_its_keys_to_the_files(spark, tmp_path):
+    schema = T.StructType().add("k", "string").add("v", "long")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
+    table.upsert(spark.range(5000).select(F.concat(F.lit("q-"), F.col("id")).alias("k"), F.col("id").alias("v")), 0)
+    rows = table.latest(only=spark.createDataFrame([("q-7",), ("q-4001",), ("none",)], "k string"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(k, [" in plan and {r.v for r in rows.collect()} == {7, 4001}
+    many = spark.range(2000).select(F.concat(F.lit("q-"), F.col("id")).alias("k"))  # left to the join
+    assert table.latest(only=many).count() == 2000
+    nulls = spark.createDataFrame([(None,), ("q-1",)], "k string")
+    assert [r.v for r in table.latest(only=nulls).collect()] == [1]
+
+
+def test_tables_of_one_log_are_seen_together_or_not_at_all(spark, tmp_path):
+    schema = T.StructType().add("k", "string").add("v", "integer")
+    log = str(tmp_path / "log")
+    a, b = (KeyedTable(spark, str(tmp_path / n), schema, ["k"], log=log).create() for n in "ab")
+    rows = [spark.createDataFrame([("x", n)], schema) for n in range(3)]
+
+    def seen(version=None):
+        return [[r.v for r in t.latest(version=version).collect()] for t in (a, b)]
+
+    publish([a.prepare(rows[0], 0), b.prepare(rows[0], 0)])
+    first = a.log.read()
+    a.prepare(rows[1], 1)  # the batch dies before it has written its second table
+    assert seen() == [[0], [0]]
+    a.prepare(rows[1], 1), b.prepare(rows[1], 1)  # and again before it publishes
+    assert seen() == [[0], [0]]
+    publish([a.prepare(rows[2], 1), b.prepare(rows[2], 1)])
+    assert seen() == [[2], [2]] and seen(first) == [[0], [0]]
+    a.vacuum()
+    assert seen() == [[2], [2]] and len(a.log.numbers()) == 1
+
+
+def test_writers_at_the_same_time_lose_no_version(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    schema = T.StructType().add("k", "string").add("v", "integer")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
+
+    def write(n):
+        table.upsert(spark.createDataFrame([(f"k{n}", n)], schema), 0, f"writer-{n}")
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(write, range(6)))
+    assert table.log.numbers() == [1, 2, 3, 4, 5, 6] and table.latest().count() == 6
+    taken = files(spark)
+    assert not taken.create(f"{table.log.path}/000000000003", "again") and table.log.read(3).number == 3
+
+
+def test_partial_sums_add_up_when_they_are_merged(spark, tmp_path):
+    schema = T.StructType().add("k", "string").add("n", "long").add("note", "string")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create().sum_up(["n"])
+    for batch in range(4):
+        table.upsert(spark.createDataFrame([("a", 10, "x"), (f"b{batch % 2}", 1, "y")], schema), batch)
+    want = {("a", 40, "x"), ("b0", 2, "y"), ("b1", 2, "y")}
+    again = KeyedTable(spark, table.path, schema, ["k"])  # the rule lies with the table
+    for _ in range(2):
+        assert {tuple(r) for r in again.latest().collect()} == want
+        table.compact()
+    assert {tuple(r) for r in again.rewrite(str(tmp_path / "u")).latest().collect()} == want
+    newest = KeyedTable(spark, str(tmp_path / "v"), schema, ["k"]).create()
+    newest.upsert(spark.createDataFrame([("a", 1, "x")], schema), 0)
+    with pytest.raises(ValueError, match="newest counts"):
+        newest.sum_up(["n"])
+    with pytest.raises(ValueError, match="sums-n"):
+        again.sum_up(["note"])
+
+
+def test_a_compaction_shows_no_row_twice(spark, tmp_path, monkeypatch):
+    schema = T.StructType().add("k", "string").add("v", "integer")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
+    for n in range(4):
+        table.upsert(spark.createDataFrame([(f"k{n}", n)], schema), n)
+    commit, counts = table.log.commit, []
+
+    def watched(change):
+        counts.append(table.history().count())
+        made = commit(change)
+        counts.append(table.history().count())
+        return made
+
+    monkeypatch.setattr(table.log, "commit", watched)
+    table.compact()
+    assert counts == [4, 4]
+
+
+def test_a_batch_repeated_during_a_compaction_is_kept(spark, tmp_path, monkeypatch):
+    schema = T.StructType().add("k", "string").add("v", "integer")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
+    for n in range(3):
+        table.upsert(spark.createDataFrame([("a", n)], schema), n)
+    write = table._write
+
+    def late(rows, writer, batch):
+        made = write(rows, writer, batch)
+        monkeypatch.setattr(table, "_write", write)
+        table.upsert(spark.createDataFrame([("a", 50), ("b", 50)], schema), 1)
+        return made
+
+    monkeypatch.setattr(table, "_write", late)
+    table.compact()
+    assert {(r.k, r.v) for r in table.latest().collect()} == {("a", 50), ("b", 50)}
+
+
+def test_days_that_have_ended_are_dropped_without_rewriting(spark, tmp_path):
+    schema = T.StructType().add("k", "string").add("expires_at", "timestamp")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
+    days = [datetime(2024, 1, d, h) for d in (8, 9, 10) for h in (6, 18)]
+    table.upsert(spark.createDataFrame([(f"k{n}", d) for n, d in enumerate(days)], schema), 0)
+    table.upsert(spark.createDataFrame([("none", None), ("old", datetime(2024, 1, 8))], schema), 1)
+    before, now = set(table.history().inputFiles()), datetime(2024, 1, 9, 12)
+    live = {r.k for r in table.live(now).collect()}
+    table.purge(now)
+    assert {r.k for r in table.live(now).collect()} == live == {"k3", "k4", "k5"}
+    # The day that has not ended stays whole, as does what never expires.
+    assert {r.k for r in table.history().collect()} == {"k2", "k3", "k4", "k5", "none"}
+    table.vacuum()
+    after = set(table.history().inputFiles())
+    assert after < before and all("day=2024-01-08" in f for f in before - after)
+    table.purge(datetime(2024, 1, 8))  # an earlier day brings nothing back
+    assert table.history().count() == 5
+
+
 def test_an_unpublished_run_is_not_seen(spark, tmp_path):
     schema = T.StructType().add("k", "string").add("v", "integer")
     table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
@@ -133,6 +292,79 @@ def test_compare_counts_copies(spark):
     }
 
 
+def test_only_parts_that_differ_are_compared_by_rows(spark):
+    left = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("k"), (F.col("id") % 7).alias("v"))
+    changed = left.filter("k <> 'k5'").withColumn("v", F.when(F.col("k") == "k9", -1).otherwise(F.col("v")))
+    right = changed.unionAll(changed.filter("k = 'k77'")).unionAll(changed.limit(0))
+    a, b = diff.digested(left, ["k"]), diff.digested(right.repartition(5), ["k"])
+    parts = diff.unequal_parts(a, b)
+    leaf = F.pmod(F.xxhash64("k"), F.lit(diff.RANGES * diff.PARTS))
+    wanted = left.filter("k in ('k5', 'k9', 'k77')").select(F.floor(leaf / diff.PARTS), leaf).distinct()
+    assert parts == sorted(map(tuple, wanted.collect()))
+    made = diff.compare_tree(a, b, ["k"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_range" in plan and "PushedFilters: [In(_part" in plan
+    assert {tuple(r) for r in made.collect()} == {tuple(r) for r in diff.compare(left, right, ["k"]).collect()}
+    assert diff.unequal_parts(a, diff.digested(left.repartition(3), ["k"])) == []
+    assert diff.compare_tree(a, a, ["k"]).count() == 0
+    none = diff.digested(left.limit(0), ["k"])
+    assert diff.compare_tree(none, none, ["k"]).count() == 0 and diff.compare_tree(a, none, ["k"]).count() == 3000
+
+
+def test_a_ledger_names_the_batch(spark, tmp_path):
+    schema = T.StructType().add("k", "long").add("v", "string")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
+    rows = spark.range(50).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "x").alias("v"))
+    for n in (0, 2, 3, 4, 5):
+        part = rows.filter(F.col("k") % 5 == n)
+        part = part.unionAll(part) if n == 2 else part.withColumn("v", F.lit("y")) if n == 3 else part
+        table.upsert(part, n)
+    table.upsert(rows.filter("k % 5 = 0"), 7)
+    got = reconcile.ledgers(reconcile.ledger(rows, F.col("k") % 5, schema), table.ledger())
+    assert {(r.batch, r.verdict, r.accepted, r.stored) for r in got.collect()} == {
+        (1, "missing", 10, 0),
+        (2, "doubled", 10, 20),
+        (3, "changed", 10, 10),
+        (7, "unexpected", 0, 10),
+    }
+
+
+def test_nested_fields_grow(spark, tmp_path):
+    old = T._parse_datatype_string("id string, lines array<struct<sku: string, n: int>>, by map<string, struct<a: int>>")
+    new = T._parse_datatype_string(
+        "id string, lines array<struct<sku: string, n: bigint, unit: string>>, by map<string, struct<a: int, b: struct<c: int>>>"
+    )
+    assert evolve.backward_errors(old, new) == ["new field lines.unit has no default", "new field by.b has no default"]
+    defaults = {"lines.unit": "piece", "by.b": None}
+    assert evolve.backward_errors(old, new, defaults) == []
+    assert evolve.backward_errors(new, old, {}) == ["field lines.n changed from LongType() to IntegerType()"]
+    rows = spark.createDataFrame(
+        [("1", [("a", 1), None], {"x": (1,)}), ("2", None, None), ("3", [], {})], old
+    )
+    want = [
+        ("1", [("a", 1, "piece"), None], {"x": (1, None)}),
+        ("2", None, None),
+        ("3", [], {}),
+    ]
+
+    def plain(frame):
+        assert frame.schema.simpleString() == new.simpleString()
+        return sorted(
+            (
+                r.id,
+                None if r.lines is None else [None if x is None else tuple(x) for x in r.lines],
+                None if r.by is None else {k: tuple(v) for k, v in r.by.items()},
+            )
+            for r in frame.collect()
+        )
+
+    assert plain(evolve.conform(rows, new, defaults)) == want
+    rows.withColumn("lines", F.expr("transform(lines, x -> if(x is null, null, named_struct('sku', x.sku, 'n', bigint(x.n))))")).write.parquet(
+        str(tmp_path / "t")
+    )
+    assert plain(evolve.read_as(spark, str(tmp_path / "t"), new, defaults)) == want
+
+
 def test_masking(spark):
     body = {
         "id": "1\"2", "job_id": None, "quote_ids": ["a", "b"], "note": 'the "id": "kept"',
