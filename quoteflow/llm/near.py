@@ -333,7 +333,8 @@ def _checked(docs: DataFrame, texts: DataFrame, pruned: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored rows (``doc_id``, ``key``) and, per distinct text, ``key``, ``first_id``, ``class_id``,
-    ``n_links`` (different texts linked to it) and ``copies`` (rows with this text)."""
+    ``n_links`` (different texts linked to it), ``copies`` (rows with this text) and ``stands`` (whether
+    it is the text of its class with the smallest id)."""
     spark = docs.sparkSession
     rows = stored(_signed(docs), "near-rows")
     texts = stored(
@@ -358,7 +359,11 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ids = texts.select("key", "first_id", "copies").join(
         stars.withColumnRenamed("node", "key"), "key", "left"
     )
-    named = ids.filter("root is not null").groupBy("root").agg(F.min("first_id").alias("class_of"))
+    named = ids.filter("root is not null").groupBy("root").agg(
+        F.min("first_id").alias("class_of"),
+        # The text that stands for the class: the one with the smallest id, nulls last.
+        F.min(F.struct(F.col("first_id").isNull(), "first_id", "key")).alias("_best"),
+    )
     per_text_ = (
         ids.join(named, "root", "left")
         .join(links, "key", "left")
@@ -368,6 +373,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.coalesce("class_of", "first_id").alias("class_id"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
             "copies",
+            F.coalesce(F.col("_best.key") == F.col("key"), F.lit(True)).alias("stands"),
         )
     )
     named_texts = stored(per_text_, "near-classes")
@@ -387,16 +393,11 @@ def join(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` in its own columns with one row of each class: the one with the smallest id.
 
-    Classes without any id keep one row of each text.
+    A class is what links reach, so unrelated texts under one id are kept, each as its own class.
     """
     _, texts = classes(docs)
-    chosen = texts.filter("first_id <=> class_id").select(
-        F.col("key").alias("_chosen"), F.col("first_id").alias("_first")
-    )
-    # Two texts of a class may share the smallest id: the class keeps the first of them.
-    chosen = chosen.groupBy("_first").agg(F.min("_chosen").alias("_chosen")).filter(
-        "_first is not null"
-    ).unionByName(chosen.filter("_first is null"))
-    rows = docs.withColumn("_key", _key(F.col("text")))
-    same = (F.col("_key") == F.col("_chosen")) & F.col("doc_id").eqNullSafe(F.col("_first"))
-    return rows.join(chosen, same).dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    chosen = texts.filter("stands").select(F.col("key").alias("chosen"), F.col("first_id").alias("first"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # out of the way of other names
+    rows = docs.select(row, F.col("doc_id").alias("id"), _key(F.col("text")).alias("key"))
+    same = (F.col("key") == F.col("chosen")) & F.col("id").eqNullSafe(F.col("first"))
+    return rows.join(chosen, same).dropDuplicates(["id", "key"]).select("row.*")

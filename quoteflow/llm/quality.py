@@ -23,7 +23,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField
 
 from quoteflow.llm.common import others, per_text
@@ -165,10 +165,9 @@ def assess(docs: DataFrame, rules: Rules = Rules(), with_text: bool = False) ->
 
 def clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Accepted documents, in the columns of ``docs``, without their failing lines."""
-    from pyspark.sql import functions as F
-
-    judged = assess(docs, rules, with_text=True).filter("kept")
-    lengths = [c for c in docs.columns if c == "n_chars"]
-    out = {c: F.col("cleaned") if c == "text" else F.col(c) for c in docs.columns}
-    out |= {c: F.length("cleaned").cast(docs.schema[c].dataType) for c in lengths}
+    row = F.struct(*[F.col(f"`{c}`") for c in others(docs, ["text"])]).alias("row")  # out of the way of other names
+    judged = assess(docs.select(row, "text"), rules, with_text=True).filter("kept")
+    out = {c: F.col("cleaned") if c.lower() == "text" else F.col(f"row.`{c}`") for c in docs.columns}
+    if "n_chars" in out:
+        out["n_chars"] = F.length("cleaned").cast(docs.schema["n_chars"].dataType)
     return judged.select(*[out[c].alias(c) for c in docs.columns])

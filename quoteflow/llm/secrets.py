@@ -99,9 +99,13 @@ class Near:
 
 
 def linked(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
-    """Weak candidates outside strong findings whose complementary parts share their scope."""
+    """Weak candidates whose complementary parts share their scope.
+
+    What overlaps a strong finding is that finding; only an endpoint counts all the same, as one that
+    carries its secret.
+    """
     inside = Near(base, -1)  # overlapping by a character or more
-    candidates = [s for s in weak(text) if not inside.of(s)]
+    candidates = [s for s in weak(text) if s[2] == "endpoint" or not inside.of(s)]
     if not candidates:
         return []
     parts = base + candidates
@@ -154,9 +158,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", reach: int = REACH) -> DataF
     def run(texts: list[str | None]):
         return [[t if t is None else redacted(t, mark, reach) for t in texts]]
 
-    field = StructField("_clean", StringType())
-    done = per_text(docs, [field], run, others(docs, ["text"]))
-    out = {c: F.col("_clean") if c == "text" else F.col(c) for c in docs.columns}
-    if "n_chars" in out and "text" in out:
-        out["n_chars"] = F.length("_clean").cast(docs.schema["n_chars"].dataType)
+    row = F.struct(*[F.col(f"`{c}`") for c in others(docs, ["text"])]).alias("row")  # out of the way of other names
+    done = per_text(docs.select(row, "text"), [StructField("clean", StringType())], run, ["row"])
+    out = {c: F.col("clean") if c.lower() == "text" else F.col(f"row.`{c}`") for c in docs.columns}
+    if "n_chars" in out:
+        out["n_chars"] = F.length("clean").cast(docs.schema["n_chars"].dataType)
     return done.select(*[out[c].alias(c) for c in docs.columns])

@@ -29,6 +29,7 @@ name.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -170,6 +171,7 @@ def _paths(docs: DataFrame, repeated: DataFrame, k: int, anchor: int) -> DataFra
         [
             StructField("anchor", LongType()),
             StructField("doc_id", LongType()),
+            StructField("mark", LongType()),
             StructField("pos", IntegerType()),
             StructField("whole", LongType()),
             StructField("edges", ArrayType(LongType())),
@@ -181,7 +183,9 @@ def _paths(docs: DataFrame, repeated: DataFrame, k: int, anchor: int) -> DataFra
         for batch in batches:
             for part in slices(batch, 1):
                 ids = part.column(0).to_numpy()
-                found = Pieces(part.column(1).to_pylist(), k, anchor)
+                texts = part.column(1).to_pylist()
+                found = Pieces(texts, k, anchor)
+                marks = np.array([zlib.crc32(t.encode()) for t in texts], np.int64)
                 wanted = part.column(2)
                 owners = np.repeat(np.arange(len(ids)), np.diff(wanted.offsets.to_numpy()))
                 at = wanted.flatten().to_numpy()
@@ -191,6 +195,7 @@ def _paths(docs: DataFrame, repeated: DataFrame, k: int, anchor: int) -> DataFra
                 columns = [
                     pa.array(found.anchor[chosen]),
                     pa.array(ids[found.owner[chosen]]),
+                    pa.array(marks[found.owner[chosen]]),
                     pa.array(found.pos[chosen]),
                     pa.array(whole),
                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(hashes)),
@@ -206,11 +211,11 @@ def _first() -> Column:
 
 
 def _compacted(paths: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pieces that do not branch, next to their source: ``doc_id``, ``pos``, ``n``, ``s_doc``, ``s_pos``."""
+    """Pieces that do not branch, next to their source: ``doc_id``, ``mark``, ``pos``, ``n``, ``s_doc``, ``s_pos``."""
     straight = nodes.filter("not branches").select("anchor", "source").hint("shuffle_hash")
-    rows = paths.select("anchor", "doc_id", "pos", F.size("edges").alias("n")).join(straight, "anchor")
+    rows = paths.select("anchor", "doc_id", "mark", "pos", F.size("edges").alias("n")).join(straight, "anchor")
     return rows.filter("doc_id > source.doc_id").select(
-        "doc_id", "pos", "n", F.col("source.doc_id").alias("s_doc"), F.col("source.pos").alias("s_pos")
+        "doc_id", "mark", "pos", "n", F.col("source.doc_id").alias("s_doc"), F.col("source.pos").alias("s_pos")
     )
 
 
@@ -225,6 +230,7 @@ def _single(edges: DataFrame, first: DataFrame) -> DataFrame:
     rows = edges.join(first.hint("shuffle_hash"), ["anchor", "edge"]).filter("doc_id > source.doc_id")
     return rows.select(
         "doc_id",
+        "mark",
         "pos",
         F.lit(1).alias("n"),
         F.col("source.doc_id").alias("s_doc"),
@@ -255,7 +261,8 @@ def _spans(pieces: DataFrame, k: int) -> DataFrame:
             StructField("s_start", IntegerType()),
         ]
     )
-    merged = per_group(pieces, ["doc_id"], schema, _merge)
+    # Texts under one id do not merge: the mark keeps them apart.
+    merged = per_group(pieces, ["doc_id", "mark"], schema, _merge)
     return merged.select("doc_id", "start", (F.col("n") + (k - 1)).alias("length"), "s_doc", "s_start")
 
 
@@ -359,9 +366,11 @@ def cut(docs: DataFrame, k: int = K, anchor: int = ANCHOR) -> DataFrame:
     straight = stored(_compacted(paths, nodes), "compacted")
     release(spark)
     forks = nodes.filter("branches").select("anchor").hint("shuffle_hash")
-    edges = paths.select("anchor", "doc_id", "pos", "edges").join(forks, "anchor", "left_semi")
-    edges = edges.select("anchor", "doc_id", F.col("pos").alias("p0"), F.posexplode("edges").alias("i", "edge"))
-    edges = stored(edges.select("anchor", "edge", "doc_id", (F.col("p0") + F.col("i")).alias("pos")), "edges")
+    edges = paths.select("anchor", "doc_id", "mark", "pos", "edges").join(forks, "anchor", "left_semi")
+    edges = edges.select(
+        "anchor", "doc_id", "mark", F.col("pos").alias("p0"), F.posexplode("edges").alias("i", "edge")
+    )
+    edges = stored(edges.select("anchor", "edge", "doc_id", "mark", (F.col("p0") + F.col("i")).alias("pos")), "edges")
     discard(paths, nodes)
     release(spark)
     first = stored(_sources_of(edges), "edge-sources")

@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -75,14 +76,38 @@ def test_an_empty_table(spark):
     assert near.one_of_each(data.nothing(spark)).count() == 0
 
 
+def stands(rows):
+    """(id, text) of the row that stands for each class, by comparing all texts with all."""
+    texts = sorted({t or "" for _, t in rows})
+    sets, group = {t: shingle_set(t) for t in texts}, {t: {t} for t in texts}
+    for a in texts:
+        for b in texts:
+            if group[a] is not group[b] and linked(sets[a], sets[b]):
+                group[a] |= group[b]
+                for t in group[b]:
+                    group[t] = group[a]
+    ids = defaultdict(list)
+    for i, t in rows:
+        ids[t or ""].append(i)
+    first = {t: min((i for i in own if i is not None), default=None) for t, own in ids.items()}
+    kept = []
+    for own in {id(g): g for g in group.values()}.values():
+        t = min(own, key=lambda t: (first[t] is None, first[t] or 0, hashlib.md5(t.encode()).digest()))
+        kept.append((first[t], t))
+    return Counter(kept)
+
+
 def test_one_row_of_each_class_stays(spark):
     docs = data.documents(spark)
     kept = near.one_of_each(docs)
     assert kept.columns == docs.columns
-    rows = [(r.doc_id, r.text) for r in kept.collect()]
-    wanted = Counter(class_id for _, class_id, _, _ in brute(data.texts()))
-    assert Counter(i for i, _ in rows) == Counter({i: 1 for i in wanted if i is not None})
-    assert len(rows) == len({t or "" for _, t in rows})
+    assert Counter((r.doc_id, r.text or "") for r in kept.collect()) == stands(data.texts())
+
+
+def test_unrelated_texts_under_one_id_all_stay(spark):
+    rows = [(1, " ".join(data.prose(s, 60))) for s in range(3)] + [(1, " ".join(data.prose(0, 60))), (2, " ".join(data.prose(1, 60)))]
+    kept = near.one_of_each(data.documents(spark, rows))
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(rows[:3])
 
 
 def test_pruning_drops_hopeless_pairs_and_keeps_links():

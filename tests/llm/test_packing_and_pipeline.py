@@ -179,6 +179,17 @@ def test_stages_take_an_empty_table(spark, tmp_path):
         assert docs.count() == 0
 
 
+def test_stages_leave_columns_of_any_name_alone(spark, tmp_path):
+    spark.createDataFrame([(1, "no such words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    names = "n_words kept cleaned row key _key id first _chosen chosen clean _clean _first stands n hits".split()
+    rows = [(i, " ".join(data.prose(700 + i, 40)) + ".", *[f"{n}-{i}" for n in names]) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    want = sorted(rows)
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", *names] and sorted(map(tuple, docs.collect())) == want
+
+
 def test_stages_take_awkward_rows(spark, tmp_path):
     spark.createDataFrame([(1, None), (None, "x")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for _, stage in corpus_pipeline.STAGES:

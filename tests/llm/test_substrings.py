@@ -44,6 +44,14 @@ def test_branching_passages_equal_brute_force(spark):
     assert found(data.documents(spark, rows, clashing=False)) == brute(rows)
 
 
+def test_texts_under_one_id_do_not_mix_their_pieces(spark):
+    w = [f"w{i}" for i in range(20)]
+    rows = [(1, " ".join(w)), (2, " ".join(w[:13] + ["junk"])), (2, " ".join(["x"] + w[1:14] + ["junk"]))]
+    want = brute(rows)
+    assert sorted(n for _, _, n, _ in want) == [0, 13, 13]
+    assert found(data.documents(spark, rows, clashing=False)) == want
+
+
 def test_an_empty_table(spark):
     assert found(data.nothing(spark)) == Counter()
 

@@ -59,6 +59,20 @@ def test_random_texts_have_the_defined_secrets():
         assert secrets.written(secrets.strong(text)) == slow_base(text), text
 
 
+def test_an_endpoint_that_carries_its_secret_is_reported():
+    text = "client_id = abcdef123 https://h.example/x?token=abcdef9"
+    base = secrets.strong(text)
+    found = secrets.linked(text, base)
+    assert [k for _, _, k in base] == ["assign"]
+    assert sorted((k, text[a:b]) for a, b, k in found) == [
+        ("endpoint", "https://h.example/x?token=abcdef9"),
+        ("identifier", "client_id = abcdef123"),
+    ]
+    assert secrets.redacted(text, "#") == "# #"
+    # Without an identifier the parts do not complement each other.
+    assert secrets.linked("https://h.example/x?token=abcdef9", secrets.strong("https://h.example/x?token=abcdef9")) == []
+
+
 def test_weak_candidates_count_only_together():
     random_string = "Zk3vQ9xLw2Rt7Yp1Bn5Mc8Hd4Fg6Js0Ka"
     login = "client_id: acme-77"
