@@ -19,15 +19,11 @@ from quoteflow.sinks.jdbc import RelationalTable
 from quoteflow.sinks.kafka import KeyedTopic
 from quoteflow.sinks.tables import KeyedTable, publish
 
-_STATE = "spark.sql.streaming.stateStore"
 # Settings of a query with state, taken when it starts.
 _STATEFUL = {
     # Late rows must be judged by the current watermark. With chained stateful operators allowed, Spark
     # filters by the watermark of one batch earlier, which lets rows in after their window has closed.
     "spark.sql.streaming.statefulOperator.allowMultiple": "false",
-    # Open windows live on the executors' disks, not in their heaps, and a batch uploads its changes.
-    f"{_STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    f"{_STATE}.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -90,6 +86,9 @@ def region_stats(
     For a live stream: what comes after its window's grace is gone. :func:`totals_in_order` replays
     stored messages without losing any, and keeps late ones.
 
+    The state is a row per region and open window, so Spark's default store holds it; another one is
+    chosen by the session's settings.
+
     Update mode: each batch writes the totals it changed, and the newest batch wins per key. With
     ``final_only`` a window is written once, when its grace period has passed. Spark judges lateness
     between batches; ``windows.accepted_in_grace`` is the exact per-record replay.
