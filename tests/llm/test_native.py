@@ -84,6 +84,30 @@ def test_removal_cuts_hit_words_only(spark, max_windows):
     assert benchmarks.remove(data.nothing(spark), items(spark)).count() == 0
 
 
+def test_a_large_benchmark_is_looked_up_like_a_small_one(spark):
+    # 200,000 windows in four rounds; the plan names none of them.
+    many = spark.range(20_000).selectExpr(
+        "id + 100 AS item_id", "array_join(transform(sequence(0, 18), i -> concat('w', id, 'x', i)), ' ') AS text"
+    )
+    own = items(spark).select("item_id", "text")
+    docs = data.documents(spark)
+    made = benchmarks.score(docs, many.unionAll(own), max_windows=60_000)
+    assert Counter(map(tuple, made.collect())) == Counter(brute(data.texts()))
+    plan = benchmarks.score(docs, many)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000 and "w17x3" not in plan
+
+
+def test_a_long_text_full_of_hits_is_cut_in_linear_time(spark):
+    copied = [f"c{i}" for i in range(60_000)]
+    text = " ".join(w for i, c in enumerate(copied) for w in ([c] if i % 30 else [f"own{i}", c]))
+    short = [(i, " ".join(copied[i : i + 29])) for i in range(1, 60_000, 30)]
+    bench = spark.createDataFrame(short, "item_id long, text string")
+    docs = data.documents(spark, [(1, text), (2, "nothing of it")])
+    made = {r.doc_id: r.text for r in benchmarks.remove(docs, bench, max_hit_percent=100).collect()}
+    assert made[2] == "nothing of it"
+    assert made[1].split() == [w for i in range(0, 60_000, 30) for w in (f"own{i}", f"c{i}")]
+
+
 def shards_by_definition(keyed, shards):
     rows = sorted((r._h, r._id, r._tie, r["size"], r.doc_id) for r in keyed)
     total, before, out = sum(r[3] for r in rows), 0, Counter()
