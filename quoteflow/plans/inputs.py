@@ -268,10 +268,14 @@ def job_states(cart_rows: DataFrame) -> DataFrame:
     ).filter("status is not null")
 
 
+# What a second delivery adds to its message's offset.
+AGAIN = 1000000000000
+
+
 def redelivered(message_rows: DataFrame) -> DataFrame:
     """The messages with a second copy of every 10th, delivered later."""
     offset = F.col("offset")
-    again = F.array(offset, offset + 1000000000000)
+    again = F.array(offset, offset + AGAIN)
     offsets = F.explode(F.when(offset % 10 == 0, again).otherwise(F.array(offset)))
     return message_rows.withColumn("_offset", offsets).withColumn("offset", F.col("_offset")).drop("_offset")
 

@@ -178,6 +178,18 @@ WORKER_SNAPSHOT = sql.with_inputs(
        FROM judged WHERE was IS NOT NULL OR valid OR readable""",
 )
 
+REDELIVERY = sql.with_inputs(
+    _BATCH,
+    """SELECT e AS message,
+         CASE WHEN NOT readable THEN 'dead_letter' WHEN was = 'done' THEN 'skipped' WHEN valid THEN 'done'
+           WHEN was IS NOT NULL THEN 'failed' ELSE 'dead_letter' END AS outcome,
+         CASE WHEN NOT readable THEN 'no readable job id'
+           WHEN was IS DISTINCT FROM 'done' AND NOT valid THEN 'invalid job payload' END AS reason
+       FROM judged
+       UNION ALL
+       SELECT NULL, 'redelivered', CAST(count(*) AS VARCHAR) FROM events WHERE event_id % 10 = 0""",
+)
+
 ORACLE = {
     "job_summary": sql.with_inputs(
         sql.PRICED,

@@ -193,7 +193,52 @@ def worker_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views[0].unionAll(views[1])
 
 
+def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of every message when every 10th is delivered again an hour later, over four micro-batches.
+
+    The second delivery is kept back by the stream's state, so each message has one outcome; the row
+    without a message says how many deliveries were kept back.
+    """
+    root = session.scratch_path(spark, "redelivery")
+    log = f"{root}/log"
+    quotes = KeyedTable(spark, f"{root}/quotes", schemas.expiring(schemas.QUOTE), ["id"], log=log).create()
+    job_table = KeyedTable(
+        spark, f"{root}/jobs", schemas.expiring(schemas.QUOTE_JOB), ["job_id"], final="status = 'done'", log=log
+    ).create()
+    outcomes = KeyedTable(
+        spark, f"{root}/outcomes", schemas.MESSAGE_OUTCOME, ["partition", "offset"], log=log
+    ).create()
+    states = inputs.job_states(inputs.events(spark, sf_dir))
+    expires = F.current_timestamp() + F.expr("INTERVAL 7 DAYS")
+    job_table.upsert(states.withColumn("expires_at", expires), 0, "submit")
+    again = F.col("offset") >= inputs.AGAIN
+    later = F.when(again, F.col("timestamp") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("timestamp"))
+    delivered = inputs.redelivered(inputs.job_messages(spark, sf_dir)).withColumn("arrived", later)
+    ended = in_parts(
+        delivered,
+        f"{root}/topic",
+        _by_arrival(delivered, 4),
+        4,
+        lambda source: streams.job_worker(
+            streams.first_deliveries(source, "1 day").drop("arrived"),
+            quotes,
+            job_table,
+            f"{root}/checkpoint",
+            outcomes=outcomes,
+        ),
+    )
+    kept_back = str(sum(streams.repeated(query) for query in ended))
+    count = spark.range(1).select(
+        F.lit(None).cast("long").alias("message"),
+        F.lit("redelivered").alias("outcome"),
+        F.lit(kept_back).alias("reason"),
+    )
+    message = (F.col("offset") % inputs.AGAIN).alias("message")
+    return outcomes.history().select(message, "outcome", "reason").unionAll(count)
+
+
 QUERIES = {
+    "stream_redelivery": stream_redelivery,
     "stream_region_updates": stream_region_updates,
     "worker_snapshot": worker_snapshot,
     "stream_late_rows": stream_late_rows,
@@ -203,6 +248,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "stream_redelivery": job_plans.REDELIVERY,
     "stream_region_updates": analytics.REGION_UPDATES,
     "worker_snapshot": job_plans.WORKER_SNAPSHOT,
     "stream_late_rows": analytics.LATE_ROWS,

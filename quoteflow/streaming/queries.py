@@ -19,12 +19,15 @@ from quoteflow.sinks.jdbc import RelationalTable
 from quoteflow.sinks.kafka import KeyedTopic
 from quoteflow.sinks.tables import KeyedTable, publish
 
-# Settings of a query with state, taken when it starts.
+# Settings of queries, taken when they start.
 _STATEFUL = {
     # Late rows must be judged by the current watermark. With chained stateful operators allowed, Spark
     # filters by the watermark of one batch earlier, which lets rows in after their window has closed.
     "spark.sql.streaming.statefulOperator.allowMultiple": "false",
 }
+# A batch without messages would write every table once more, only to forget state that the next batch
+# forgets as well.
+_WORKER = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 
 
 def _trigger(writer: DataStreamWriter, available_now: bool, interval: str | None) -> DataStreamWriter:
@@ -33,6 +36,21 @@ def _trigger(writer: DataStreamWriter, available_now: bool, interval: str | None
     return writer.trigger(processingTime=interval) if interval else writer
 
 
+def _started(writer: DataStreamWriter, spark: SparkSession, settings: dict[str, str]) -> StreamingQuery:
+    """The query, started with ``settings``; the session's own values are put back.
+
+    A checkpoint does not keep all settings, so they are set at every start.
+    """
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        return writer.start()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def writer_of(spark: SparkSession, checkpoint: str) -> str:
     """The id Spark gave the query of this checkpoint; a new checkpoint is a new writer."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
@@ -101,16 +119,7 @@ def region_stats(
 
     writer = stats.writeStream.outputMode("append" if final_only else "update").foreachBatch(write)
     writer = _trigger(writer.option("checkpointLocation", checkpoint), available_now, interval)
-    # The checkpoint does not keep all of these settings, so they are set at every start and the
-    # session's own values are put back.
-    before = {name: spark.conf.get(name, None) for name in _STATEFUL}
-    for name, value in _STATEFUL.items():
-        spark.conf.set(name, value)
-    try:
-        return writer.start()
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    return _started(writer, spark, _STATEFUL)
 
 
 def dropped(query: StreamingQuery) -> int:
@@ -169,6 +178,26 @@ def totals_in_order(
     return _trigger(writer, available_now, interval).start()
 
 
+def first_deliveries(messages: DataFrame, within: str, arrived: str = "arrived") -> DataFrame:
+    """The messages without those delivered again ``within`` that time of their first delivery.
+
+    Deliveries with equal key and value are one message; which of several in one micro-batch goes on is
+    open. Spark keeps a digest per message until the watermark of ``arrived`` passes its delivery by
+    ``within``, so the state is bounded by the messages of that span. What comes again later goes on to
+    the worker, whose table knows the jobs that are done. ``arrived`` is the time at the consumer:
+    micro-batches in its order lose nothing to the watermark.
+    """
+    same = F.unhex(F.sha2(F.to_json(F.struct("key", "value")), 256))
+    timed = messages.withColumn("_same", same).withWatermark(arrived, within)
+    return timed.dropDuplicatesWithinWatermark(["_same"]).drop("_same")
+
+
+def repeated(query: StreamingQuery) -> int:
+    """Deliveries that :func:`first_deliveries` kept back, over the batches whose progress Spark keeps."""
+    operators = [o for p in query.recentProgress for o in p.stateOperators]
+    return sum(int(o.customMetrics.get("numDroppedDuplicateRows", 0)) for o in operators)
+
+
 def work_batch(
     messages: DataFrame,
     batch_id: int,
@@ -228,4 +257,4 @@ def job_worker(
             job_table.compact()
 
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _trigger(writer, available_now, interval).start()
+    return _started(_trigger(writer, available_now, interval), spark, _WORKER)

@@ -1,10 +1,10 @@
 """Submission, redelivery, partial failure and poison on the job path."""
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from quoteflow import schemas
 from quoteflow.operators import contract, diff, jobs
@@ -236,6 +236,26 @@ def test_worker_reads_many_files_one_at_a_time(spark, store, tmp_path):
     assert store[0].latest().count() == 6
 
 
+def test_deliveries_within_the_span_are_one_message_and_later_ones_meet_the_table(spark, store, tmp_path):
+    source, ends = str(tmp_path / "topic"), []
+    timed = T.StructType([*schemas.MESSAGE.fields, T.StructField("arrived", T.TimestampType())])
+    # Hours of arrival: "a" again within the span, "b" in one batch, "c" long after it; a null value twice.
+    for hours in ([("a", 0), ("b", 0), ("b", 1), (None, 0)], [("a", 3), (None, 2), ("c", 3)], [("d", 90)], [("e", 91)], [("c", 92), ("a", 93)]):
+        sent = [job(name, QUOTE) if name else ("n", None) for name, _ in hours]
+        rows = [r.asDict() for r in batch(spark, *sent).collect()]
+        at = [datetime(2024, 1, 1) + timedelta(hours=h) for _, h in hours]
+        made = spark.createDataFrame([(*[r[c] for c in schemas.MESSAGE.names], t) for r, t in zip(rows, at)], timed)
+        made.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(made.schema).parquet(source)
+        query = streams.job_worker(
+            streams.first_deliveries(stream, "12 hours").drop("arrived"), *store, str(tmp_path / "check")
+        )
+        query.awaitTermination()
+        ends.append(streams.repeated(query))
+    assert ends == [1, 2, 0, 0, 0]
+    assert set(state(store[1])) == set("abcde") and store[0].latest().count() == 5
+
+
 def test_text_behind_a_message_makes_it_unreadable(spark):
     good = json.dumps(job("j", QUOTE)[1])
     texts = [good, f" {good}\n", f"{good}] , [{good}", f"{good},1", f"{good}]", f"{good} x", "", " ", f"[{good}]", f"{good},", None]
