@@ -1,12 +1,14 @@
 """License scan by conditional compression.
 
 Candidate blocks are the words that licenses use with as many words on both sides as the longest
-template may fill; blocks that meet are one. A template is confirmed in a range of a block when at least ``similarity`` of its words stand
-there in order, with as little else between, and none of its versions or distinguishing words is
-missing. All templates and all ranges are compared; the range with the most matching words is taken
-first, and what is left on both sides goes on. A range is compressed alone and with each template that
-fits it equally well as a raw zstandard dictionary: what the dictionary saves ranks them and is reported.
-``exact`` has no difference in wording at all, ``variant`` some; the differences are reported.
+template may fill; blocks that meet are one. Stretches of a block, twice as long as a template may
+fill, are compressed alone and with the template as a raw zstandard dictionary; a template goes on
+only where its dictionary makes a stretch smaller. There it proposes ranges: at least ``similarity``
+of its words stand in them in order, with as little else between, and none of its versions or
+distinguishing words is missing. The proposals of all templates are ranked by the bytes that the
+dictionary saves on the range; the first is confirmed, and a template whose proposal met a confirmed
+range proposes again in what is left, until no proposal is open. ``exact`` has no difference in
+wording at all, ``variant`` some; the differences and the saving are reported.
 
 Everything happens in the document's task. Defined cases: null text counts as empty and has no
 blocks; texts are scanned whole, positions are code points; equal savings go to the shorter template, then by name;
@@ -37,6 +39,13 @@ from quoteflow.llm.common import others, per_text
 
 # Public license notices. The first word of a name is the license.
 TEMPLATES = {
+    "AGPL-3.0 notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT "
+        "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+        "the GNU Affero General Public License for more details."
+    ),
     "Apache-2.0 short": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 notice": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
@@ -62,6 +71,10 @@ TEMPLATES = {
         "holder nor the names of its contributors may be used to endorse or promote products derived from this "
         "software without specific prior written permission."
     ),
+    "BSL-1.0 notice": (
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+        "https://www.boost.org/LICENSE_1_0.txt)"
+    ),
     "CC-BY-4.0 short": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-4.0 code": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0 short": (
@@ -69,6 +82,17 @@ TEMPLATES = {
     ),
     "CC-BY-NC-4.0 code": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0 code": "Licensed under CC BY-SA 4.0.",
+    "EPL-2.0 notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "GPL-2.0 notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+        "GNU General Public License for more details."
+    ),
     "GPL-2.0 short": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0 short": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0 notice": (
@@ -82,6 +106,13 @@ TEMPLATES = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
     ),
+    "LGPL-2.1 notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version. This library is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+        "PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
     "MIT short": "Released under the MIT License.",
     "MIT": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -91,6 +122,18 @@ TEMPLATES = {
         "conditions: The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software."
     ),
+    "MIT full": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without '
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        'substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS '
+        "OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+        "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+        "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+        "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
@@ -102,7 +145,7 @@ TEMPLATES = {
 # Words a confirmed template may not lack, besides words with a digit.
 TELLING = frozenset(
     "apache mit bsd gnu gpl isc mpl mozilla cc by nc sa nd noncommercial sharealike reserved unencumbered "
-    "neither hereby".split()
+    "neither hereby affero lesser eclipse boost".split()
 )
 
 # Words of a cue may stand on two lines, with comment signs between them.
@@ -114,7 +157,8 @@ _CUE = re.compile(
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
 _SIMILARITY = 80
-_LEVEL = 3
+_LEVEL = 16  # tries all ways to cut a text into matches: the fast levels miss short ones
+_SIZES = {"source_size": 4096, "dict_size": 1024}  # about a stretch and a template; no limits
 _STARTS = 512  # ranges compared at once
 
 FINDING = StructType(
@@ -208,7 +252,7 @@ class Matcher:
 
     def __init__(self, templates: dict[str, str], similarity: int = _SIMILARITY):
         parameters = zstandard.ZstdCompressionParameters.from_level(
-            _LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False
+            _LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False, **_SIZES
         )
         self.plain = zstandard.ZstdCompressor(compression_params=parameters)
         self.similarity = similarity
@@ -315,28 +359,36 @@ class Matcher:
                 extra.append(have[i])
         return " ".join([f"-{w}" for w in reversed(lacking)] + [f"+{w}" for w in reversed(extra)])
 
-    def confirmed(self, block: list[tuple[str, int, int]]):
-        """Start, end, saved percent, template and differences of the notices in ``block``, which never overlap.
-
-        The range with the most matching words is taken first, of these the shortest, then the first,
-        then the template that saves most; the others have what is left on both sides.
+    def saving(self, have: list[str], template: _Template) -> tuple[int, int]:
+        """Bytes that the template's dictionary saves on these words, and their size without it."""
+        raw = " ".join(have).encode()
+        alone = len(self.plain.compress(raw))
+        return alone - len(template.compressor.compress(raw)), alone
+
+    def _smaller(self, have: list[str], ids: np.ndarray, template: _Template, first: int, stop: int) -> np.ndarray:
+        """Words in ``first`` to ``stop`` where a range can begin, of stretches that the dictionary makes smaller."""
+        starts = self._starts(ids[first:stop], template)
+        stretch, kept = starts // template.longest, []
+        for k in np.unique(stretch).tolist():
+            begin = first + k * template.longest
+            kept.append(self.saving(have[begin : min(begin + 2 * template.longest, stop)], template)[0] > 0)
+        return first + starts[np.repeat(kept, np.unique(stretch, return_counts=True)[1]).astype(bool)]
+
+    def _apart(self, ids: np.ndarray, open_: list[tuple[int, int, int, int]], end: int):
+        """Ranges (-matching words, length, start, template) that never overlap, and the templates tied for them.
+
+        The range with the most matching words is taken first, of these the shortest, then the first;
+        the others have what is left on both sides.
         """
-        have = [w for w, _, _ in block]
-        ids, in_block = ids_of(self.known, have), set(have)
-        open_ = []
-        for t, template in enumerate(self.templates):
-            if template.words and template.needed <= in_block:
-                starts = self._starts(ids, template)
-                open_ += [(-m, n, s, t) for m, n, s in self._ranges(ids, template, starts, len(ids))]
         heapq.heapify(open_)
         taken: list[tuple[int, int]] = []
         while open_:
             best = heapq.heappop(open_)
             _, length, start, t = best
-            place = bisect.bisect_right(taken, (start, len(ids)))
+            place = bisect.bisect_right(taken, (start, end))
             if place and taken[place - 1][1] > start:
                 continue
-            stop = taken[place][0] if place < len(taken) else len(ids)
+            stop = taken[place][0] if place < len(taken) else end
             if start + length > stop:
                 template = self.templates[t]
                 if stop - start >= template.least:
@@ -346,16 +398,74 @@ class Matcher:
             tied = [self.templates[t]]
             while open_ and open_[0][:3] == best[:3]:
                 tied.append(self.templates[heapq.heappop(open_)[3]])
-            saved, template = self.rank(block[start : start + length], tied)[0]
             taken.insert(place, (start, start + length))
+            yield best, tied
+
+    def confirmed(self, block: list[tuple[str, int, int]]):
+        """What :meth:`winners` is held against: all ranges of all templates by wording, without compression before.
+
+        Start, end, saved percent, template and differences of notices that never overlap; savings
+        only choose between templates that fit a range equally well.
+        """
+        have = [w for w, _, _ in block]
+        ids, in_block = ids_of(self.known, have), set(have)
+        open_ = []
+        for t, template in enumerate(self.templates):
+            if template.words and template.needed <= in_block:
+                starts = self._starts(ids, template)
+                open_ += [(-m, n, s, t) for m, n, s in self._ranges(ids, template, starts, len(ids))]
+        for (_, length, start, _), tied in self._apart(ids, open_, len(ids)):
+            saved, template = self.rank(block[start : start + length], tied)[0]
             yield start, start + length, saved, template, self._differences(have[start : start + length], template)
 
+    def winners(self, block: list[tuple[str, int, int]]):
+        """Start, end, saved percent, template and differences of the notices in ``block``, which never overlap.
+
+        Proposals are confirmed in the order of the bytes that their template's dictionary saves.
+        """
+        have = [w for w, _, _ in block]
+        ids, in_block = ids_of(self.known, have), set(have)
+        proposed: dict[int, list[tuple[int, int]]] = {}
+        ranked: list[tuple] = []
+
+        def propose(t: int, first: int, stop: int) -> None:
+            template = self.templates[t]
+            starts = self._smaller(have, ids, template, first, stop)
+            open_ = [(-m, n, s, t) for m, n, s in self._ranges(ids, template, starts, stop)]
+            for (matched, n, s, _), _ in self._apart(ids, open_, stop):
+                saved, alone = self.saving(have[s : s + n], template)
+                if saved > 0:
+                    bisect.insort(proposed[t], (s, s + n))
+                    heapq.heappush(ranked, (-saved, matched, n, s, len(template.words), t, alone))
+
+        for t, template in enumerate(self.templates):
+            if template.words and template.needed <= in_block:
+                proposed[t] = []
+                propose(t, 0, len(ids))
+        taken: list[tuple[int, int]] = []
+        while ranked:
+            saved, _, n, start, _, t, alone = heapq.heappop(ranked)
+            template, end = self.templates[t], start + n
+            place = bisect.bisect_right(taken, (start, len(ids)))
+            if (not place or taken[place - 1][1] <= start) and (place == len(taken) or end <= taken[place][0]):
+                taken.insert(place, (start, end))
+                yield start, end, 100 * -saved // alone, template, self._differences(have[start:end], template)
+                continue
+            # Another range of this template can only lie around the lost one, up to its next proposals.
+            own = proposed[t]
+            k = bisect.bisect_left(own, (start, end))
+            del own[k]
+            first = max(own[k - 1][1] if k else 0, start - template.longest)
+            stop = min(own[k][0] if k < len(own) else len(ids), end + template.longest)
+            for begin, until in _left(taken, first, stop):
+                propose(t, begin, until)
+
     def find(self, text: str) -> tuple[int, list[dict]]:
         """Number of blocks and the confirmed templates, in order."""
         found, ranges = [], blocks(text, self.margin)
         for begin, end in ranges:
             in_block = words(text[begin:end])
-            for first, last, saved, template, differences in self.confirmed(in_block):
+            for first, last, saved, template, differences in self.winners(in_block):
                 found.append(
                     {
                         "license": template.name.split(" ")[0],
@@ -370,6 +480,17 @@ class Matcher:
         return len(ranges), sorted(found, key=lambda f: (f["start"], f["end"], f["template"]))
 
 
+def _left(taken: list[tuple[int, int]], first: int, stop: int) -> list[tuple[int, int]]:
+    """The parts of ``first`` to ``stop`` that no range of ``taken`` (in order) covers."""
+    parts = []
+    place = max(0, bisect.bisect_right(taken, (first, first)) - 1)
+    for begin, end in itertools.takewhile(lambda r: r[0] < stop, itertools.islice(taken, place, None)):
+        if first < begin:
+            parts.append((first, begin))
+        first = max(first, end)
+    return parts + [(first, stop)] * (first < stop)
+
+
 def ids_of(known: dict[str, int], own: list[str]) -> np.ndarray:
     """Numbers of words; all unknown ones have the last number."""
     return np.fromiter((known.get(w, len(known)) for w in own), np.int64, len(own))

@@ -263,6 +263,39 @@ def test_compression_ranks_the_own_template_first():
         assert matcher.rank(licenses.words(text))[0][1].name == name
 
 
+def test_nothing_is_confirmed_that_compression_does_not_rank(monkeypatch):
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    text = "\n".join(licenses.TEMPLATES.values())
+    assert len(matcher.find(text)[1]) == len(licenses.TEMPLATES)
+    monkeypatch.setattr(matcher, "saving", lambda have, template: (0, 1))
+    assert matcher.find(text) == (1, [])
+
+
+def test_winners_equal_all_ranges_of_changed_notices():
+    matcher, rnd = licenses.Matcher(licenses.TEMPLATES), random.Random(21)
+    notices = [[w for w, _, _ in licenses.words(t)] for t in licenses.TEMPLATES.values()]
+    for _ in range(150):
+        have = []
+        for _ in range(rnd.randint(1, 5)):
+            own = list(rnd.choice(notices))
+            for _ in range(rnd.choice([0, 0, 1, len(own) // 10])):
+                at = rnd.randrange(len(own))
+                own[at : at + rnd.randint(0, 1)] = rnd.choices(["software", "the", "other", "mit", "2.0"], k=rnd.randint(0, 2))
+                own = own or ["x"]
+            have += own + data.prose(rnd.randrange(99), rnd.choice([0, 0, 3, 40]))
+        block = licenses.words(" ".join(have))
+        want = {(a, b, t.name, e) for a, b, _, t, e in matcher.confirmed(block)}
+        assert {(a, b, t.name, e) for a, b, _, t, e in matcher.winners(block)} == want
+
+
+def test_a_license_beside_its_variant_keeps_its_name():
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    alike = ["AGPL-3.0 notice", "GPL-3.0 notice", "LGPL-2.1 notice", "GPL-2.0 notice", "MIT full", "MIT", "BSD-3-Clause", "BSD-2-Clause"]
+    for order in itertools.permutations(alike, 3):
+        found = matcher.find(" ".join(licenses.TEMPLATES[name] for name in order))[1]
+        assert [(f["template"], f["verdict"]) for f in found] == [(name, "exact") for name in order]
+
+
 def test_quality_values_equal_the_definition(spark):
     rows = data.texts() + [(200, "a b c d e f g h\n" * 4), (201, "x | y | z\n" * 3 + "One real line ends here.")]
     got = quality.assess(data.documents(spark, rows)).collect()
