@@ -106,15 +106,27 @@ def metrics(log: DataFrame, round_: str) -> DataFrame:
 
 
 def after_warmup(log: DataFrame, warmup: int, by: str = "backend") -> DataFrame:
-    """Drop the first ``warmup`` requests of each group; a null group is one too.
+    """Drop the first ``warmup`` requests of each group; a null group is one too, a null time comes first.
 
-    Requests are numbered over range-sorted parts, so a hot backend stays spread over many tasks
-    whatever ``warmup`` is.
+    Requests per group and minute tell the minute in which the warm-up ends. Later rows stay as they
+    are read; only those of that minute are numbered, over range-sorted parts, so a hot backend or
+    minute stays spread over many tasks whatever ``warmup`` is.
     """
     if warmup <= 0:
         return log
-    numbered = scan.running(log, ["ts", "seq"], {"_nth": ("sum", F.lit(1).cast("bigint"))}, by=[by])
-    return numbered.filter(F.col("_nth") > warmup).drop("_nth")
+    minute = F.coalesce(F.expr("unix_micros(ts) div 60000000"), F.lit(-(2**63)).cast("long"))
+    rows = log.withColumn("_minute", minute)
+    counts = rows.groupBy(by, "_minute").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = F.sum("_n").over(Window.partitionBy(by).orderBy("_minute")) - F.col("_n")
+    ends = counts.withColumn("_ahead", ahead).filter((F.col("_ahead") < warmup) & (F.col("_ahead") + F.col("_n") >= warmup))
+    # One row per group that outlasts the warm-up; groups without one are dropped whole.
+    ends = session.durable(ends.select(by, F.col("_minute").alias("_end"), "_ahead"), "warmup")
+    rows = matched(rows, ends, [by], "inner")
+    last = scan.running(
+        rows.filter("_minute = _end"), ["ts", "seq"], {"_nth": ("sum", F.lit(1).cast("bigint"))}, by=[by]
+    )
+    last = last.filter(F.col("_ahead") + F.col("_nth") > warmup)
+    return rows.filter("_minute > _end").select(log.columns).unionAll(last.select(log.columns))
 
 
 def load_report(log: DataFrame, ok_status: int = 201, by: str = "backend", width: float = 1.0) -> DataFrame:

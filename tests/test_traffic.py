@@ -4,7 +4,7 @@ import math
 import random
 import statistics
 from collections import Counter, defaultdict
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -194,6 +194,25 @@ def test_warmup_and_report(log):
         assert row.p95 == pytest.approx(statistics.quantiles([r[4] for r in own], n=100)[94])
 
 
+def test_warmup_of_any_length_drops_the_first_rows_of_each_group(spark):
+    begin = datetime(1969, 12, 31, 23, 50, tzinfo=timezone.utc)
+    rows = []
+    for seq in range(400):
+        group = ["hot", "hot", "hot", None, "late"][seq % 5]
+        second = None if seq % 37 == 3 else (7 * seq) % 1200 if group != "hot" else 600 + seq % 3
+        rows.append((seq, None if second is None else begin + timedelta(seconds=second), group))
+    frame = spark.createDataFrame(rows, "seq long, ts timestamp, backend string").repartition(5)
+    first = datetime(1, 1, 1, tzinfo=timezone.utc)
+    for warmup in (0, 1, 20, 79, 80, 81, 239, 240, 1000):
+        want = set()
+        for group in ("hot", None, "late"):
+            own = sorted((r for r in rows if r[2] == group), key=lambda r: (r[1] or first, r[0]))
+            want |= {r[0] for r in own[warmup:]}
+        kept = [r.seq for r in traffic.after_warmup(frame, warmup).collect()]
+        assert sorted(kept) == sorted(want), warmup
+    assert traffic.after_warmup(frame.limit(0), 20).count() == 0
+
+
 def test_gate_and_metrics(log):
     frame = log.withColumn("backend", traffic.backend_name(F.col("backend")))
     assert traffic.gate(frame, 1e9).filter("passed").count() == 0
