@@ -105,22 +105,32 @@ def metrics(log: DataFrame, round_: str) -> DataFrame:
     return requests.unionByName(errors).unionByName(gauge)
 
 
+def _warmup_end(counts: DataFrame, by: str, span: str, warmup: int) -> DataFrame:
+    """The span in which the ``warmup``-th request of each group lies, and how many lie ahead of the span."""
+    ahead = F.col("_before") + F.sum("_n").over(Window.partitionBy(by).orderBy(span)) - F.col("_n")
+    ends = counts.withColumn("_ahead", ahead).filter((F.col("_ahead") < warmup) & (F.col("_ahead") + F.col("_n") >= warmup))
+    return ends.select(by, F.col(span).alias("_end"), "_ahead")
+
+
 def after_warmup(log: DataFrame, warmup: int, by: str = "backend") -> DataFrame:
     """Drop the first ``warmup`` requests of each group; a null group is one too, a null time comes first.
 
-    Requests per group and minute tell the minute in which the warm-up ends. Later rows stay as they
-    are read; only those of that minute are numbered, over range-sorted parts, so a hot backend or
+    Requests per group and day, then those per minute of one day, tell the minute in which the warm-up
+    ends. Later rows stay as they are read; only those of that minute are numbered, over range-sorted parts, so a hot backend or
     minute stays spread over many tasks whatever ``warmup`` is.
     """
     if warmup <= 0:
         return log
     minute = F.coalesce(F.expr("unix_micros(ts) div 60000000"), F.lit(-(2**63)).cast("long"))
     rows = log.withColumn("_minute", minute)
-    counts = rows.groupBy(by, "_minute").agg(F.count(F.lit(1)).alias("_n"))
-    ahead = F.sum("_n").over(Window.partitionBy(by).orderBy("_minute")) - F.col("_n")
-    ends = counts.withColumn("_ahead", ahead).filter((F.col("_ahead") < warmup) & (F.col("_ahead") + F.col("_n") >= warmup))
+    counts = session.durable(rows.groupBy(by, "_minute").agg(F.count(F.lit(1)).alias("_n")), "warmup-counts")
+    counts = counts.withColumn("_day", F.expr("_minute div 1440"))
+    days = counts.groupBy(by, "_day").agg(F.sum("_n").alias("_n")).withColumn("_before", F.lit(0))
+    last_day = _warmup_end(days, by, "_day", warmup)
+    minutes = matched(counts, last_day.withColumnsRenamed({"_end": "_last", "_ahead": "_before"}), [by], "inner")
+    ends = _warmup_end(minutes.filter("_day = _last"), by, "_minute", warmup)
     # One row per group that outlasts the warm-up; groups without one are dropped whole.
-    ends = session.durable(ends.select(by, F.col("_minute").alias("_end"), "_ahead"), "warmup")
+    ends = session.durable(ends, "warmup")
     rows = matched(rows, ends, [by], "inner")
     last = scan.running(
         rows.filter("_minute = _end"), ["ts", "seq"], {"_nth": ("sum", F.lit(1).cast("bigint"))}, by=[by]
