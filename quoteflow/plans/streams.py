@@ -21,7 +21,7 @@ def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = inputs.table(spark, sf_dir, "events").schema
     # A pattern that only the table's own name fits: unlike a plain path it may be a file or a folder.
     raw = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
-    return inputs.messages(session.spread(inputs.carts(raw)))
+    return inputs.messages(session.spread(inputs.carts(raw), inputs.size(spark, sf_dir, "events")))
 
 
 def _validated(spark: SparkSession, sf_dir: str, root: str) -> str:
@@ -225,6 +225,7 @@ def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
             job_table,
             f"{root}/checkpoint",
             outcomes=outcomes,
+            tasks=session.tasks(spark, inputs.size(spark, sf_dir, "events")),
         ),
     )
     kept_back = str(sum(streams.repeated(query) for query in ended))

@@ -256,6 +256,21 @@ def test_deliveries_within_the_span_are_one_message_and_later_ones_meet_the_tabl
     assert set(state(store[1])) == set("abcde") and store[0].latest().count() == 5
 
 
+def test_a_stateful_worker_writes_a_small_batch_with_few_tasks(spark, store, tmp_path):
+    source = str(tmp_path / "topic")
+    sent = [job(f"j{n}", QUOTE, QUOTE) for n in range(300)]
+    batch(spark, *sent, sent[0]).withColumn("arrived", F.col("timestamp")).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+    deliveries = streams.first_deliveries(stream, "1 day").drop("arrived")
+    query = streams.job_worker(deliveries, *store, str(tmp_path / "check"), tasks=3)
+    query.awaitTermination()
+    assert streams.repeated(query) == 1
+    assert [o.numShufflePartitions for o in query.lastProgress.stateOperators] == [3]
+    assert store[0].latest().count() == 600 and len(state(store[1])) == 300
+    # Small partitions were joined: no bucket of the few bytes has more than one file.
+    assert len(store[0].history().inputFiles()) <= store[0].buckets
+
+
 def test_text_behind_a_message_makes_it_unreadable(spark):
     good = json.dumps(job("j", QUOTE)[1])
     texts = [good, f" {good}\n", f"{good}] , [{good}", f"{good},1", f"{good}]", f"{good} x", "", " ", f"[{good}]", f"{good},", None]
