@@ -74,7 +74,9 @@ def job_message_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_quotes_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A job's quotes read back by the ids listed in the job."""
-    quotes, done = jobs.run(pricing.checked_messages(spark, sf_dir))
+    # Both sides of the join come from the messages, which are parsed once and stored.
+    valid = pricing.checked_messages(spark, sf_dir).filter(F.col("job_id").isNotNull() & F.col("quotes").isNotNull())
+    quotes, done = jobs.run(session.durable(valid.select("job_id", "timestamp", "quotes"), "valid-jobs"))
     rows = jobs.ordered_quotes(done, quotes)
     return rows.select("job_id", "position", "id", F.col("total").cast("string").alias("total"))
 

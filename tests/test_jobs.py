@@ -1,6 +1,7 @@
 """Submission, redelivery, partial failure and poison on the job path."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from quoteflow import schemas
 from quoteflow.operators import contract, diff, jobs
+from quoteflow.plans import jobs as job_plans
 from quoteflow.sinks import tables
 from quoteflow.sinks.tables import KeyedTable
 from quoteflow.sources import messages as sources, tables as lookups
@@ -271,6 +273,12 @@ def test_a_stateful_worker_writes_a_small_batch_with_few_tasks(spark, store, tmp
     assert len(store[0].history().inputFiles()) <= store[0].buckets
 
 
+def test_the_quotes_of_a_job_are_joined_from_messages_parsed_once(spark):
+    sf_dir = os.environ.get("QUOTEFLOW_TEST_SF", "/root/testdata/sf0.001")
+    plan = job_plans.job_quotes_in_order(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "parseJson" not in plan and "valid-jobs" in plan
+
+
 def test_text_behind_a_message_makes_it_unreadable(spark):
     good = json.dumps(job("j", QUOTE)[1])
     texts = [good, f" {good}\n", f"{good}] , [{good}", f"{good},1", f"{good}]", f"{good} x", "", " ", f"[{good}]", f"{good},", None]

@@ -5,7 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from quoteflow import session
 from quoteflow.operators import fanout, parse
+from quoteflow.plans import inputs
 
 # A cart with a price as text, as a whole number and as a fraction; a coupon given, null and left out.
 VALID = {
@@ -177,3 +179,20 @@ def test_dead_letter_keeps_payload_and_reason(checked):
     assert row.why == "malformed JSON"
     assert [h.key for h in row.headers] == ["dlq.error", "dlq.source.topic"]
     assert bytes(row.headers[1].value) == b"quote-jobs"
+
+
+def test_events_of_one_row_group_are_parsed_by_many_tasks(spark, tmp_path):
+    made = spark.range(50).selectExpr(
+        "id as event_id", "id % 7 as user_id", "'view' as event_type", "id + 0.5D as value",
+        """'{"k": 3}' as props""", "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id) as ts",
+    )
+    made.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    before = spark.conf.get(session.SPREAD)
+    spark.conf.unset(session.SPREAD)
+    try:
+        events = inputs.events(spark, str(tmp_path))
+        assert events.rdd.getNumPartitions() == 3 * spark.sparkContext.defaultParallelism
+        assert sorted(r.e for r in events.collect()) == list(range(50))
+    finally:
+        spark.conf.set(session.SPREAD, before)
+    assert session.tasks(spark, 1 << 40) == int(before)

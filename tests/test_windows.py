@@ -210,3 +210,15 @@ def test_final_only_writes_a_window_once_it_is_closed(spark, tmp_path):
         streams.region_stats(checked, table, str(tmp_path / "check"), final_only=True).awaitTermination()
     rows = table.history().filter("region = 'IN' and quote_count is not null").collect()
     assert [(r.window_start.minute, r.quote_count) for r in rows] == [(0, 2)]
+
+
+def test_the_state_of_open_windows_has_the_partitions_asked_for(spark, tmp_path):
+    source = str(tmp_path / "events")
+    row = "'j' as job_id, 0 as position, 'EU' as region, 1 as item_count, 5L as gross_amount_cents, 'c' as coupon"
+    spark.sql(f"select {row}, timestamp'2024-01-01 00:00:00' as timestamp").write.parquet(source)
+    table = KeyedTable(spark, str(tmp_path / "stats"), schemas.REGION_STATS, ["region", "window_start"]).create()
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+    query = streams.region_stats(stream, table, str(tmp_path / "check"), tasks=2)
+    query.awaitTermination()
+    assert {o.numShufflePartitions for p in query.recentProgress for o in p.stateOperators} == {2}
+    assert [r.quote_count for r in table.latest().collect()] == [1]
