@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,6 +16,9 @@ from quoteflow import session
 # One call of a text function sees about this many characters (or one longer text).
 _SLICE_CHARS = 4_000_000
 
+# Rows of a batch in :func:`small_batches`.
+_BATCH_ROWS = 1000
+
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -79,6 +83,23 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Tables written in here hand wide rows to Python a few at a time.
+
+    Spark's own batches hold 10,000 rows or 64 MB; the JVM, which doubles a buffer to make it grow, and the
+    worker would each hold that more than once, for every core.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= _BATCH_ROWS:
+        spark.conf.set(name, str(_BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables written by :func:`stored` that no later phase reads."""
     for df in tables:
@@ -97,6 +118,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+# So many rows of a batch are Python objects at a time.
+_SLICE_ROWS = 256
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The batch's rows, turned into Python objects a few at a time: wide ones do not all exist twice."""
+    for start in range(0, batch.num_rows, _SLICE_ROWS):
+        yield from zip(*[c.to_pylist() for c in batch.slice(start, _SLICE_ROWS).columns])
+
+
 def per_group(
     df: DataFrame,
     keys: Sequence[str],
@@ -124,7 +155,7 @@ def per_group(
 
         key, members, made = None, [], []
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
+            for row in _rows(batch):
                 if row[:width] != key:
                     if members:
                         made += fn(key, members)

@@ -43,7 +43,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from quoteflow.llm.common import discard, per_group, per_text, release, stored
+from quoteflow.llm.common import discard, per_group, per_text, release, slices, small_batches, stored
 from quoteflow.llm.graphs import components
 
 WORDS = 5
@@ -312,7 +312,7 @@ def _checked(docs: DataFrame, texts: DataFrame, pruned: DataFrame) -> DataFrame:
                 [pa.array(c, f.type) for c, f in zip(zip(*made), arrow)], schema=arrow
             )
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             made, held = [], 0
             for key, text, groups in zip(*[c.to_pylist() for c in batch.columns]):
                 payload = shingles(text).tobytes()
@@ -336,7 +336,8 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``n_links`` (different texts linked to it), ``copies`` (rows with this text) and ``stands`` (whether
     it is the text of its class with the smallest id)."""
     spark = docs.sparkSession
-    rows = stored(_signed(docs), "near-rows")
+    with small_batches(spark):
+        rows = stored(_signed(docs), "near-rows")
     texts = stored(
         rows.groupBy("key").agg(
             F.min("doc_id").alias("first_id"),
@@ -349,9 +350,10 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     signed, rows = rows, stored(rows.select("doc_id", "key"), "near-keys")
     discard(signed)
     release(spark)
-    pruned = stored(_pruned(texts), "near-pruned")
-    release(spark)
-    found = stored(_checked(docs, texts, pruned), "near-links")
+    with small_batches(spark):
+        pruned = stored(_pruned(texts), "near-pruned")
+        release(spark)
+        found = stored(_checked(docs, texts, pruned), "near-links")
     discard(pruned)
     release(spark)
     links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
@@ -396,8 +398,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     A class is what links reach, so unrelated texts under one id are kept, each as its own class.
     """
     _, texts = classes(docs)
-    chosen = texts.filter("stands").select(F.col("key").alias("chosen"), F.col("first_id").alias("first"))
+    # Structs are equal where both ids are null, so they can be join and grouping keys as they are.
+    chosen = texts.filter("stands").select("key", F.struct(F.col("first_id").alias("id")).alias("who"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # out of the way of other names
-    rows = docs.select(row, F.col("doc_id").alias("id"), _key(F.col("text")).alias("key"))
-    same = (F.col("key") == F.col("chosen")) & F.col("id").eqNullSafe(F.col("first"))
-    return rows.join(chosen, same).dropDuplicates(["id", "key"]).select("row.*")
+    rows = docs.select(row, F.struct(F.col("doc_id").alias("id")).alias("who"), _key(F.col("text")).alias("key"))
+    # Repeated rows go before the join, on the join's keys: whole texts are shuffled and sorted once.
+    return rows.dropDuplicates(["key", "who"]).join(chosen, ["key", "who"]).select("row.*")

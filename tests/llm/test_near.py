@@ -2,8 +2,9 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
-from quoteflow.llm import graphs, near
+from quoteflow.llm import common, graphs, near
 from tests.llm import data
 
 
@@ -110,6 +111,48 @@ def test_unrelated_texts_under_one_id_all_stay(spark):
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(rows[:3])
 
 
+def test_a_row_of_each_class_is_found_in_one_shuffle_of_the_texts(spark):
+    rows = [(1, "a b"), (1, "a b"), (2, "a b"), (None, None), (None, ""), (None, "c"), (3, "c"), (4, "d")]
+    kept = near.one_of_each(data.documents(spark, rows))
+    assert sorted((str(r.doc_id), r.text or "") for r in kept.collect()) == [
+        ("1", "a b"), ("3", "c"), ("4", "d"), ("None", ""),
+    ]
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        kept = near.one_of_each(data.documents(spark, rows))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+    # The texts' and the classes'.
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_wide_rows_go_to_python_in_small_batches(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def rows_of_batches(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    before = spark.conf.get(name)
+    sizes = spark.range(0, 5000, 1, 1).mapInArrow(rows_of_batches, "n long")
+    with common.small_batches(spark):
+        assert max(r.n for r in sizes.collect()) <= 1000
+    assert spark.conf.get(name) == before
+    seen = {}
+
+    def write(df, label):
+        seen[label] = int(spark.conf.get(name))
+        return common.stored(df, label)
+
+    monkeypatch.setattr(near, "stored", write)
+    near.one_of_each(data.documents(spark, [(1, "a b c d e f g"), (2, "a b c d e f g h")])).collect()
+    assert max(seen[x] for x in ("near-rows", "near-pruned", "near-links")) <= 1000
+    assert spark.conf.get(name) == before
+
+
 def test_pruning_drops_hopeless_pairs_and_keeps_links():
     fewest = near.fewest_matches()
     assert sorted(fewest) == list(range(16, 97, 16))
