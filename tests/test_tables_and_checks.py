@@ -3,12 +3,14 @@
 import json
 import random
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from quoteflow import rules, schemas, session
 from quoteflow.operators import diff, evolve, fanout, parse, reconcile
+from quoteflow.plans import checks
 from quoteflow.sinks import jdbc, kafka
 from quoteflow.sinks.log import files
 from quoteflow.sinks.tables import KeyedTable, latest_by, publish
@@ -311,6 +313,30 @@ def test_only_parts_that_differ_are_compared_by_rows(spark):
     assert diff.compare_tree(none, none, ["k"]).count() == 0 and diff.compare_tree(a, none, ["k"]).count() == 3000
 
 
+def test_a_cross_read_compares_every_column(spark, monkeypatch):
+    line = ("pen", 2, Decimal("1.50"), Decimal("3.00"))
+    money = [Decimal(n) for n in ("3.00", "0.00", "0.54", "49.00", "52.54")]
+    quote = ["IN", "INR", "SAVE10", [line], *money, "2024-01-01T00:00:00Z"]
+    columns = schemas.QUOTE.names[1:]
+    other = {name: None for name in columns} | {"line_items": [(*line[:2], Decimal("1.51"), line[3])]}
+    written = [("same", *quote), *((name, *quote) for name in columns)]
+    read = [("same", *quote)]
+    for i, name in enumerate(columns):
+        read.append((name, *quote[:i], other[name], *quote[i + 1 :]))
+
+    # What the query hands to the comparison, of the quotes as they were written and as they are read.
+    compare, handed = diff.compare, []
+    monkeypatch.setattr(checks.diff, "compare", lambda left, right, keys: handed.append((left, right)) or left)
+    for rows in (written, read):
+        answers = spark.createDataFrame(rows, schemas.QUOTE).withColumns(
+            {"job_id": F.lit("job-1"), "position": F.lit(0), "e": F.lit(1).cast("long"), "case": F.lit("job-1/0")}
+        )
+        monkeypatch.setattr(checks, "_answers", lambda *_, answers=answers: answers)
+        checks.cross_read_diff(spark, "")
+    got = compare(handed[0][0], handed[1][1], ["id"]).collect()
+    assert {r.id: r.verdict for r in got} == dict.fromkeys(columns, "different")
+
+
 def test_a_ledger_names_the_batch(spark, tmp_path):
     schema = T.StructType().add("k", "long").add("v", "string")
     table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"]).create()
